@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableship.functions.columns import col, quoted
+from tableship.functions.columns import col
 
 _BITS = 63
 
@@ -56,7 +56,7 @@ def _comparable(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         parts = []
         for field in dtype.fields:
-            member = value.getField(quoted(field.name))
+            member = value.getField(field.name)
             parts += [member.isNull(), _comparable(member, field.dataType)]
         return F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
     if isinstance(dtype, T.ArrayType):

@@ -37,10 +37,19 @@ def inside(path: str, folder: str) -> bool:
     return (plain_path(path) + "/").startswith(plain_path(folder) + "/")
 
 
+def plain_name(path: Column) -> Column:
+    """A path column without scheme and authority."""
+    return F.regexp_replace(path, _SCHEME, "")
+
+
 def relative_path(path: Column, root: str) -> Column:
     """Path below ``root``, whatever scheme the listing puts in front of it."""
-    bare = F.regexp_replace(path, _SCHEME, "")
-    return F.substring(bare, len(plain_path(root)) + 2, 2**31 - 1)
+    return F.substring(plain_name(path), len(plain_path(root)) + 2, 2**31 - 1)
+
+
+def decoded_path(name: str) -> Column:
+    """Plain form of a percent-encoded path, in which a plus sign is just itself."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def file_name(path: Column) -> Column:

@@ -67,7 +67,7 @@ def copy_files(
     a file and a repeated task only writes the same bytes again. ``check_content`` reads
     every chunk back. Outcomes are kept in ``{target}/_transfer``.
     """
-    manifest = file_manifest(spark, source).select("rel_path", "length")
+    manifest = file_manifest(spark, source, include_empty=True).select("rel_path", "length")
     starts = F.sequence(
         F.lit(0).cast("bigint"),
         F.greatest(F.col("length") - 1, F.lit(0)),

@@ -208,7 +208,7 @@ def export_nested(spark, sf_dir):
 
 @query(
     "SELECT count(*) AS row_count, CAST(11 AS BIGINT) AS column_count, "
-    "CAST(count(*) // 10000 AS BIGINT) AS file_count, true AS has_bytes FROM lineitem"
+    "CAST(greatest(1, count(*) // 10000) AS BIGINT) AS file_count, true AS has_bytes FROM lineitem"
 )
 def export_summary(spark, sf_dir):
     export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=10_000)
@@ -218,7 +218,7 @@ def export_summary(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(count(*) // 10000 AS BIGINT) AS file_count, true AS sizes_match, "
+    "SELECT CAST(greatest(1, count(*) // 10000) AS BIGINT) AS file_count, true AS sizes_match, "
     "true AS means_match FROM lineitem"
 )
 def file_stats(spark, sf_dir):
@@ -237,7 +237,7 @@ def file_stats(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(count(*) // 10000 AS BIGINT) AS files, count(*) AS rows_in_files, "
+    "SELECT CAST(greatest(1, count(*) // 10000) AS BIGINT) AS files, count(*) AS rows_in_files, "
     "CAST(1 AS BIGINT) AS versions FROM lineitem"
 )
 def file_manifest(spark, sf_dir):
@@ -257,8 +257,8 @@ def transfer_rewrite(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(count(*) // 10000 AS BIGINT) AS total_files, "
-    "CAST(count(*) // 10000 AS BIGINT) AS copied, true AS complete FROM lineitem"
+    "SELECT CAST(greatest(1, count(*) // 10000) AS BIGINT) AS total_files, "
+    "CAST(greatest(1, count(*) // 10000) AS BIGINT) AS copied, true AS complete FROM lineitem"
 )
 def transfer_files(spark, sf_dir):
     export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=10_000)
@@ -275,7 +275,7 @@ def transfer_files_content(spark, sf_dir):
     return spark.read.parquet(copy)
 
 
-@query("SELECT 'same' AS status, CAST(count(*) // 10000 AS BIGINT) AS files FROM lineitem")
+@query("SELECT 'same' AS status, CAST(greatest(1, count(*) // 10000) AS BIGINT) AS files FROM lineitem")
 def compare_manifests(spark, sf_dir):
     export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=10_000)
     copy = fresh_folder(spark, "copy")

@@ -5,16 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableship.functions.paths import file_name, megabytes_of, path_version, relative_path
+from tableship.functions.paths import (
+    decoded_path,
+    file_name,
+    megabytes_of,
+    path_version,
+    plain_name,
+    relative_path,
+)
 from tableship.session import sibling_session
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def file_manifest(
+    spark: SparkSession, path: str, glob: str | None = None, include_empty: bool = False
+) -> DataFrame:
     """One row per visible file below ``path``:
     ``rel_path, file_name, length, modified, version, path``.
 
-    Markers and other hidden files are left out, empty files are kept. A missing path
-    raises. Contents are never read: only ``path``, ``length`` and the time are selected.
+    Markers and other hidden files are left out. A missing path raises. Contents are
+    never read: only ``path``, ``length`` and the time are selected. A scan passes over
+    files of zero bytes; ``include_empty`` adds them, without a time, from the names in
+    Spark's listing.
     """
     # Scans are split by file size, so a listing of 100 TB would be planned as hundreds of
     # thousands of tasks although it opens no file; a cap keeps it at a few per core.
@@ -23,7 +34,15 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
     reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    found = reader.load(path)
+    files = reader.load(path)
+    found = files.select("path", "length", "modificationTime")
+    if include_empty:
+        names = session.createDataFrame([(name,) for name in files.inputFiles()], "encoded string")
+        listed = names.select(decoded_path("encoded").alias("path"))
+        known = found.select(plain_name(F.col("path")).alias("plain"))
+        empty = listed.join(known, plain_name(F.col("path")) == F.col("plain"), "left_anti")
+        empty = empty.withColumn("length", F.lit(0).cast("bigint"))
+        found = found.unionByName(empty, allowMissingColumns=True)
     return found.select(
         relative_path(F.col("path"), path).alias("rel_path"),
         file_name(F.col("path")).alias("file_name"),
@@ -53,8 +72,8 @@ def file_rows(spark: SparkSession, path: str) -> DataFrame:
     counts = data.groupBy(F.col("_metadata.file_path").alias("encoded")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    decoded = F.url_decode(F.replace("encoded", F.lit("+"), F.lit("%2B")))
-    counts = counts.select(relative_path(decoded, path).alias("rel_path"), "row_count")
+    inner = relative_path(decoded_path("encoded"), path)
+    counts = counts.select(inner.alias("rel_path"), "row_count")
     return (
         file_manifest(spark, path)
         .join(counts, "rel_path", "left")
