@@ -25,7 +25,7 @@ from tableship.operators.publish import (
 )
 from tableship.operators.reconcile import (
     duplicate_keys,
-    key_outcomes,
+    key_differences,
     reconcile,
     reconcile_totals,
 )

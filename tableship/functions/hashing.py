@@ -26,9 +26,28 @@ def row_hash(df: DataFrame, seed: int | None = None) -> Column:
     return F.xxhash64(*parts)
 
 
+def hash_parts(hashes: Column) -> list[Column]:
+    """A hash as four numbers of 16 bits, the first one signed, lowest bits last.
+
+    Their sums are plain 64-bit additions that hold for 10^14 rows, where the hashes
+    themselves would overflow after two and decimals would cost several times more.
+    """
+    low = F.lit(0xFFFF).cast("bigint")
+    return [
+        F.shiftright(hashes, 48),
+        F.shiftright(hashes, 32).bitwiseAND(low),
+        F.shiftright(hashes, 16).bitwiseAND(low),
+        hashes.bitwiseAND(low),
+    ]
+
+
 def hash_total(hashes: Column) -> Column:
-    """Order-free sum of row hashes; 38 digits hold 10^19 rows of 64 bits."""
-    return F.coalesce(F.sum(hashes.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    """Order-free sum of row hashes as ``decimal(38,0)``; 0 for no rows."""
+    total = F.lit(0).cast("decimal(38,0)")
+    for shift, part in zip((48, 32, 16, 0), hash_parts(hashes)):
+        weight = F.lit(1 << shift).cast("decimal(15,0)")
+        total = total + F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") * weight
+    return total.cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from tableship.session import MIB
 ROWS_PER_FILE = 100_000
 FILE_BYTES = 128 * MIB
 ROW_RULE_LIMIT = 1_000
+RANGE_LIMIT = 20_000
 
 
 def target_files(
@@ -42,9 +43,12 @@ def arrange_ordered(
     tie_break: list[str] | tuple[str, ...] = (),
     hash_name: str | None = None,
 ) -> DataFrame:
-    """``files`` partitions of consecutive ranges of ``order_by``, newest first, each sorted.
+    """Partitions of consecutive ranges of ``order_by``, newest first, each sorted.
 
-    Written out, file ``i`` holds newer rows than file ``i + 1``. The ranges are cut by
+    Written out, file ``i`` holds newer rows than file ``i + 1``. There is a partition for
+    each of ``files``, up to ``RANGE_LIMIT``: a shuffle has a block for every pair of tasks,
+    and beyond that each sorted partition rather is cut into several files by the writer.
+    The ranges are cut by
     the row hash below the keys and by a running number below that, so neither one
     timestamp nor one row repeated for a third of the table ends up in one partition.
     The cut must come out the same when a task is repeated, so ``df`` has to be a plain
@@ -58,7 +62,7 @@ def arrange_ordered(
     keys = newest_first(order_by, list(tie_break))
     ranged = (
         df.withColumn(copy_no, F.monotonically_increasing_id())
-        .repartitionByRange(files, *keys, hash_name, copy_no)
+        .repartitionByRange(min(files, RANGE_LIMIT), *keys, hash_name, copy_no)
         .sortWithinPartitions(*keys, hash_name)
         .drop(copy_no)
     )
@@ -79,5 +83,7 @@ def arrange_unordered(df: DataFrame, files: int) -> DataFrame:
 
 
 def rows_cap(rows: int, files: int) -> int:
-    """Most rows in one file: twice the even share."""
-    return max(1, -(-2 * rows // files))
+    """Most rows in one file: twice the even share where each file has its own partition,
+    which are never quite even; the even share where a partition is cut into files."""
+    slack = 2 if files <= RANGE_LIMIT else 1
+    return max(1, -(-slack * rows // files))

@@ -1,8 +1,10 @@
 """Does the target hold exactly the rows of the source?
 
-Both sides are stacked as ``(side, hash)`` and aggregated together: one shuffle of
-narrow rows that are combined inside each task first, no join, and no key or copied
-row whose group could grow large.
+Rows are compared through their hashes, in two steps. First both sides are summed up in
+a few thousand buckets; after a good copy all buckets agree, and the comparison of two
+tables of any size has shuffled no more than those sums. Only rows of buckets that
+differ are then grouped one by one. Groups are combined inside each task before they are
+shuffled, so neither a frequent key nor a row copied very often is a burden.
 """
 
 from __future__ import annotations
@@ -10,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableship.functions.columns import col
-from tableship.functions.hashing import fingerprint, hash_total, row_hash
+from tableship.functions.columns import col, quoted
+from tableship.functions.hashing import fingerprint, hash_parts, row_hash
+
+BUCKETS = 4096
 
 
 class SchemaMismatchError(ValueError):
@@ -59,66 +63,65 @@ def reconcile_totals(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def reconcile(
-    source: DataFrame, target: DataFrame, keys: list[str] | tuple[str, ...] | None = None
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str] | tuple[str, ...] | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Rows per status, ``(status, n)``.
+    """Rows per status, ``(status, n)``, statuses without rows left out.
 
-    Without ``keys`` whole rows are compared as a bag: ``same``, ``missing`` from the
-    target, ``extra`` in the target, copies counted. With ``keys``, ``n`` counts keys, and
-    a key whose rows differ between the sides is ``changed``.
+    Without ``keys`` whole rows are compared as a bag, copies counted: ``same``,
+    ``missing`` from the target, ``extra`` in the target. With ``keys``, rows whose key is
+    on both sides with other contents are ``changed``; ``n`` then counts rows of the
+    source, for ``extra`` those of the target.
     """
     require_same_schema(source, target)
+    stacked = _stacked(source, target, keys, buckets)
+    per_bucket = _balance(stacked, [BUCKET])
+    settled = per_bucket.where(_balanced()).select(
+        F.lit("same").alias("status"), F.col(IN_SOURCE).alias("n")
+    )
+    suspects = _balance(_in_unsettled_buckets(stacked, per_bucket), _group_columns(keys))
     if keys:
-        return key_outcomes(source, target, keys).groupBy("status").agg(
-            F.count(F.lit(1)).alias("n")
+        in_detail = suspects.select(
+            _key_status().alias("status"), F.greatest(IN_SOURCE, _only_target()).alias("n")
         )
-    balance = _row_balance(source, target)
-    totals = balance.agg(
-        F.sum(F.least("in_source", "in_target")).alias("same"),
-        F.sum(F.greatest(F.col("in_source") - F.col("in_target"), F.lit(0))).alias("missing"),
-        F.sum(F.greatest(F.col("in_target") - F.col("in_source"), F.lit(0))).alias("extra"),
-    )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(s).alias("status"), F.col(s).alias("n"))
-            for s in ("same", "missing", "extra")
-        ]
-    )
-    return totals.select(F.inline(pairs)).where(F.col("n") > 0)
+    else:
+        gap = F.col(IN_SOURCE) - F.col(IN_TARGET)
+        in_detail = suspects.select(
+            F.inline(
+                F.array(
+                    _status_row("same", F.least(IN_SOURCE, IN_TARGET)),
+                    _status_row("missing", F.greatest(gap, F.lit(0).cast("bigint"))),
+                    _status_row("extra", F.greatest(-gap, F.lit(0).cast("bigint"))),
+                )
+            )
+        )
+    counted = settled.unionByName(in_detail).groupBy("status").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") > 0)
 
 
-def key_outcomes(
-    source: DataFrame, target: DataFrame, keys: list[str] | tuple[str, ...]
+def key_differences(
+    source: DataFrame,
+    target: DataFrame,
+    keys: list[str] | tuple[str, ...],
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """One row per key with ``in_source``, ``in_target`` (row counts) and ``status``.
+    """One row per key that is not the same on both sides: the key, ``in_source`` and
+    ``in_target`` (row counts) and ``status`` (``missing``, ``extra`` or ``changed``).
 
-    A key need not be unique: its rows are compared as a bag by their count and hash sum.
+    A key need not be unique: its rows are compared as a bag.
     """
     require_same_schema(source, target)
-
-    def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(
-            *map(col, keys), row_hash(df).alias("__row_hash"), F.lit(sign == 1).alias("__from_source")
-        )
-
-    stacked = side(source, 1).unionByName(side(target, -1))
-    from_source = F.col("__from_source")
-    grouped = stacked.groupBy(*map(col, keys)).agg(
-        F.count_if(from_source).alias("in_source"),
-        F.count_if(~from_source).alias("in_target"),
-        hash_total(F.when(from_source, F.col("__row_hash"))).alias("__source_hash"),
-        hash_total(F.when(~from_source, F.col("__row_hash"))).alias("__target_hash"),
-    )
-    same = (F.col("in_source") == F.col("in_target")) & (
-        F.col("__source_hash") == F.col("__target_hash")
+    stacked = _stacked(source, target, keys, buckets)
+    suspects = _in_unsettled_buckets(stacked, _balance(stacked, [BUCKET]))
+    outcome = _balance(suspects, _group_columns(keys)).select(
+        *map(col, keys),
+        F.col(IN_SOURCE).alias("in_source"),
+        F.col(IN_TARGET).alias("in_target"),
+        _key_status().alias("status"),
     )
-    status = (
-        F.when(F.col("in_target") == 0, "missing")
-        .when(F.col("in_source") == 0, "extra")
-        .when(same, "same")
-        .otherwise("changed")
-    )
-    return grouped.withColumn("status", status).drop("__source_hash", "__target_hash")
+    return outcome.where(F.col("status") != "same")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
@@ -127,19 +130,80 @@ def duplicate_keys(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFram
     return counted.where(F.col("row_count") > 1)
 
 
-def _row_balance(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Copies of every distinct row on each side. Rows are told apart by 128 hash bits:
-    at 10^12 rows 64 bits would already confuse some thousands of pairs."""
+# Helpers. Names start with two underscores so that they meet no column of the data.
+
+BUCKET, HASH, HASH2, SIGN = "__bucket", "__hash", "__hash2", "__sign"
+IN_SOURCE, IN_TARGET = "__in_source", "__in_target"
+GAPS = [f"__gap{i}" for i in range(4)]
+
+
+def _stacked(source: DataFrame, target: DataFrame, keys, buckets: int) -> DataFrame:
+    """Rows of both sides: bucket, grouping columns, row hash and side (1 or -1).
+
+    Without keys rows are grouped by 128 hash bits: at 10^12 rows 64 bits would already
+    confuse some thousands of pairs.
+    """
 
-    def side(df: DataFrame, in_source: int) -> DataFrame:
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        hashed = row_hash(df)
+        if keys:
+            group = list(map(col, keys))
+            bucket = F.pmod(row_hash(df.select(*group)), F.lit(buckets))
+        else:
+            group = [row_hash(df, seed=1).alias(HASH2)]
+            bucket = F.pmod(hashed, F.lit(buckets))
         return df.select(
-            row_hash(df).alias("h1"),
-            row_hash(df, seed=1).alias("h2"),
-            F.lit(in_source).cast("bigint").alias("in_source"),
-            F.lit(1 - in_source).cast("bigint").alias("in_target"),
+            *group,
+            bucket.alias(BUCKET),
+            hashed.alias(HASH),
+            F.lit(sign).cast("bigint").alias(SIGN),
         )
 
-    stacked = side(source, 1).unionByName(side(target, 0))
-    return stacked.groupBy("h1", "h2").agg(
-        F.sum("in_source").alias("in_source"), F.sum("in_target").alias("in_target")
+    return side(source, 1).unionByName(side(target, -1))
+
+
+def _group_columns(keys) -> list[str]:
+    return [quoted(k) for k in keys] if keys else [HASH, HASH2]
+
+
+def _balance(stacked: DataFrame, by: list[str]) -> DataFrame:
+    """Row counts of each side per group, and by how much their hash sums differ."""
+    from_source = F.col(SIGN) > 0
+    gaps = [
+        F.sum(part * F.col(SIGN)).alias(name)
+        for part, name in zip(hash_parts(F.col(HASH)), GAPS)
+    ]
+    return stacked.groupBy(*by).agg(
+        F.count_if(from_source).alias(IN_SOURCE), F.count_if(~from_source).alias(IN_TARGET), *gaps
+    )
+
+
+def _balanced() -> Column:
+    same = F.col(IN_SOURCE) == F.col(IN_TARGET)
+    for gap in GAPS:
+        same = same & (F.col(gap) == 0)
+    return same
+
+
+def _in_unsettled_buckets(stacked: DataFrame, per_bucket: DataFrame) -> DataFrame:
+    """Rows of buckets whose sides differ. The list of these buckets is safe to broadcast:
+    it has at most as many entries as there are buckets."""
+    unsettled = per_bucket.where(~_balanced()).select(BUCKET)
+    return stacked.join(F.broadcast(unsettled), BUCKET, "left_semi")
+
+
+def _key_status() -> Column:
+    return (
+        F.when(F.col(IN_TARGET) == 0, "missing")
+        .when(F.col(IN_SOURCE) == 0, "extra")
+        .when(_balanced(), "same")
+        .otherwise("changed")
     )
+
+
+def _only_target() -> Column:
+    return F.when(F.col(IN_SOURCE) == 0, F.col(IN_TARGET)).otherwise(0)
+
+
+def _status_row(status: str, n: Column) -> Column:
+    return F.struct(F.lit(status).alias("status"), n.alias("n"))

@@ -45,7 +45,8 @@ def migrate(
     The copy lands where the table will read it. It is checked there, against the hash
     taken while the source was exported, and only then the table is pointed at it: with
     ``strict`` rows that fail a check never go live, otherwise the report says so.
-    ``check_export`` adds a read-back of the export before the copy.
+    ``check_export`` adds a read-back of the export before the copy. ``transfer_mode="none"``
+    leaves the copy out, for a target that can read the export where it is.
     """
     export = export_dataset(
         source,
@@ -58,8 +59,10 @@ def migrate(
     )
     if check_export:
         verify_export(spark, export)
-    location = dataset_path(import_root, name, export.version)
-    transfer_dataset(spark, export.path, location, mode=transfer_mode)
+    location = export.path
+    if transfer_mode != "none":
+        location = dataset_path(import_root, name, export.version)
+        transfer_dataset(spark, export.path, location, mode=transfer_mode)
     report = verification_report(
         read_dataset(spark, location),
         time_column,

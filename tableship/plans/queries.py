@@ -394,6 +394,27 @@ def reconcile_rows(spark, sf_dir):
     return ts.reconcile(lineitem, lineitem.where("l_returnflag <> 'R'"))
 
 
+@query("SELECT 'same' AS status, count(*) AS n FROM lineitem")
+def reconcile_equal(spark, sf_dir):
+    """Line items against their export, which holds the same rows in another order."""
+    export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate")
+    return ts.reconcile(_table(spark, sf_dir, "lineitem"), spark.read.parquet(export.path))
+
+
+@query(
+    "SELECT o_orderkey, CAST(1 AS BIGINT) AS in_source, "
+    "CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS BIGINT) AS in_target, "
+    "CASE WHEN o_orderstatus = 'P' THEN 'missing' ELSE 'changed' END AS status "
+    "FROM orders WHERE o_orderstatus = 'P' OR o_totalprice > 9000"
+)
+def key_differences(spark, sf_dir):
+    """Orders left out of a copy, and orders whose price was altered in it."""
+    orders = _table(spark, sf_dir, "orders")
+    altered = F.when(F.col("o_totalprice") > 9000, 0.0).otherwise(F.col("o_totalprice"))
+    target = orders.where("o_orderstatus <> 'P'").withColumn("o_totalprice", altered)
+    return ts.key_differences(orders, target, ["o_orderkey"])
+
+
 @query(
     "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem "
     "GROUP BY 1, 2 HAVING count(*) > 1"

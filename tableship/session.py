@@ -25,15 +25,21 @@ def get_session(app_name: str = "tableship", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def cluster_conf(data_bytes: int, shuffle_partition_bytes: int = 128 * MIB) -> dict[str, str]:
-    """Settings for moving ``data_bytes``: enough initial shuffle partitions that
-    each holds about ``shuffle_partition_bytes``; AQE merges the ones left small."""
-    partitions = min(max(200, -(-data_bytes // shuffle_partition_bytes)), 200_000)
+def cluster_conf(data_bytes: int) -> dict[str, str]:
+    """Settings for moving ``data_bytes``.
+
+    A shuffle has a block for every pair of map and reduce tasks. Reduce tasks are
+    planned for 128 MiB each and map tasks likewise, until there would be more than
+    20,000 and 200,000 of them; from there on tasks grow instead. AQE merges what turns
+    out small.
+    """
+    reducers = min(max(200, -(-data_bytes // (128 * MIB))), 20_000)
+    split = min(max(128 * MIB, -(-data_bytes // 200_000)), 1024 * MIB)
     return {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_partition_bytes}b",
-        "spark.sql.files.maxPartitionBytes": f"{128 * MIB}b",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{128 * MIB}b",
+        "spark.sql.files.maxPartitionBytes": f"{split}b",
         "spark.sql.session.timeZone": "UTC",
     }
 

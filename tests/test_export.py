@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import tableship as ts
 from tableship.functions.hashing import fingerprint
+from tableship.operators import layout
 from tableship.operators.layout import arrange_ordered, rows_cap
 from tableship.sources.resolve import EmptySourceError
 
@@ -40,6 +41,22 @@ def test_large_tables_are_sized_by_bytes():
 
 def test_rows_cap():
     assert rows_cap(10, 3) == 7 and rows_cap(0, 1) == 1
+    assert rows_cap(10**12, 10**6) == 10**6
+
+
+def test_more_files_than_ranges(spark, folder, monkeypatch):
+    """Beyond the limit of ranges files still follow each other in order."""
+    monkeypatch.setattr(layout, "RANGE_LIMIT", 2)
+    export = ts.export_dataset(
+        source(spark, "lineitem"), folder, "l", order_by="l_shipdate", rows_per_file=600
+    )
+    dates = []
+    for file in parts(export.path):
+        found = [r[0] for r in spark.read.parquet(file).select("l_shipdate").collect()]
+        assert len(found) <= 600
+        dates += found
+    assert len(parts(export.path)) >= 10
+    assert dates == sorted(dates, reverse=True) and len(dates) == 6000
 
 
 def test_ordered_export_layout(spark, folder):

@@ -24,7 +24,7 @@ def move(spark, source, folder, table_name, **options):
     )
 
 
-@pytest.mark.parametrize("mode", ["rewrite", "files"])
+@pytest.mark.parametrize("mode", ["rewrite", "files", "none"])
 def test_table_arrives(spark, load, folder, table_name, mode):
     source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
     done = move(

@@ -87,10 +87,12 @@ def test_shared_folder_is_the_cluster_setting(spark):
 
 
 def test_cluster_conf_grows_with_the_data():
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert cluster_conf(1 << 20)[key] == "200"
-    assert cluster_conf(1 << 40)[key] == "8192"
-    assert cluster_conf(100 << 40)[key] == "200000"
+    reducers = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
+    small, middle, large = cluster_conf(1 << 20), cluster_conf(1 << 40), cluster_conf(100 << 40)
+    assert (small[reducers], middle[reducers], large[reducers]) == ("200", "8192", "20000")
+    assert small[split] == middle[split] == "134217728b"
+    assert 500 << 20 < int(large[split][:-1]) < 600 << 20
 
 
 @pytest.mark.parametrize(
