@@ -13,6 +13,7 @@ from tableship.functions.hashing import hash_total, row_hash
 from tableship.functions.paths import dataset_path, inside, new_version
 from tableship.operators.layout import (
     FILE_BYTES,
+    ROW_RULE_LIMIT,
     ROWS_PER_FILE,
     arrange_ordered,
     arrange_unordered,
@@ -74,7 +75,7 @@ def export_dataset(
         raise EmptySourceError(f"no rows in {source.label}")
 
     total_bytes = None
-    if source.location and rows // rows_per_file > 1:
+    if source.location and rows // rows_per_file > ROW_RULE_LIMIT:
         total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
     files = target_files(rows, rows_per_file, total_bytes, file_bytes)
 

@@ -144,17 +144,22 @@ def _stacked(source: DataFrame, target: DataFrame, keys, buckets: int) -> DataFr
     confuse some thousands of pairs.
     """
 
+    if buckets & (buckets - 1):
+        raise ValueError("the number of buckets has to be a power of two")
+
     def side(df: DataFrame, sign: int) -> DataFrame:
         hashed = row_hash(df)
         if keys:
             group = list(map(col, keys))
-            bucket = F.pmod(row_hash(df.select(*group)), F.lit(buckets))
+            bucket = row_hash(df.select(*group))
         else:
             group = [row_hash(df, seed=1).alias(HASH2)]
-            bucket = F.pmod(hashed, F.lit(buckets))
+            bucket = hashed
         return df.select(
             *group,
-            bucket.alias(BUCKET),
+            # A column that cannot be null: with another one the optimizer would guard the
+            # join below by a filter, and the bucket sums would be computed twice over.
+            bucket.bitwiseAND(F.lit(buckets - 1).cast("bigint")).alias(BUCKET),
             hashed.alias(HASH),
             F.lit(sign).cast("bigint").alias(SIGN),
         )

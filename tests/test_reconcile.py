@@ -100,7 +100,7 @@ def test_null_keys_and_keys_that_recur(spark):
     assert [tuple(r) for r in ts.duplicate_keys(left, ["k"]).collect()] == [(None, 2)]
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 4096])
+@pytest.mark.parametrize("buckets", [1, 8, 4096])
 @pytest.mark.parametrize("keys", [None, ["o_orderkey"]])
 def test_any_number_of_buckets_gives_the_same_counts(orders, buckets, keys):
     target = tampered(orders, "value changed").where("o_orderkey % 50 <> 1")
