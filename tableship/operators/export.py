@@ -20,6 +20,7 @@ from tableship.operators.layout import (
     rows_cap,
     target_files,
 )
+from tableship.session import timestamp_statistics
 from tableship.sources.manifest import file_manifest, file_stats
 from tableship.sources.resolve import EmptySourceError, Source, stage
 
@@ -79,28 +80,28 @@ def export_dataset(
         total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
     files = target_files(rows, rows_per_file, total_bytes, file_bytes)
 
-    hash_name = unused_name(df, "_row_hash")
-    hashed = df.withColumn(hash_name, row_hash(df))
     if order_by:
-        arranged = arrange_ordered(hashed, files, order_by, tie_break, hash_name)
+        arranged = arrange_ordered(df, files, order_by, tie_break)
     else:
-        arranged = arrange_unordered(hashed, files)
+        arranged = arrange_unordered(df, files)
 
     # Observed last, right under the write: earlier it would also see the sampling pass,
     # and only tasks of the final stage are counted once when repeated.
+    hash_name = unused_name(df, "_row_hash")
     written = Observation("written")
-    observed = arranged.observe(
+    observed = arranged.withColumn(hash_name, row_hash(df)).observe(
         written,
         F.count(F.lit(1)).alias("row_count"),
         hash_total(F.col(hash_name)).alias("content_hash"),
     )
-    (
+    writer = (
         observed.drop(hash_name)
         .write.mode(mode)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", rows_cap(rows, files))
-        .parquet(path)
     )
+    with timestamp_statistics(spark):
+        writer.parquet(path)
 
     seen = written.get
     if seen["row_count"] != rows:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableship.functions.columns import newest_first, unused_name
-from tableship.functions.hashing import row_hash
 from tableship.session import MIB
 
 # Fixed value: rows per output file.
@@ -37,36 +36,25 @@ def target_files(
 
 
 def arrange_ordered(
-    df: DataFrame,
-    files: int,
-    order_by: str,
-    tie_break: list[str] | tuple[str, ...] = (),
-    hash_name: str | None = None,
+    df: DataFrame, files: int, order_by: str, tie_break: list[str] | tuple[str, ...] = ()
 ) -> DataFrame:
     """Partitions of consecutive ranges of ``order_by``, newest first, each sorted.
 
-    Written out, file ``i`` holds newer rows than file ``i + 1``. There is a partition for
-    each of ``files``, up to ``RANGE_LIMIT``: a shuffle has a block for every pair of tasks,
-    and beyond that each sorted partition rather is cut into several files by the writer.
-    The ranges are cut by
-    the row hash below the keys and by a running number below that, so neither one
-    timestamp nor one row repeated for a third of the table ends up in one partition.
-    The cut must come out the same when a task is repeated, so ``df`` has to be a plain
-    file scan (see ``stage``).
+    Written out, file ``i`` holds no older rows than file ``i + 1``. There is a partition
+    for each of ``files``, up to ``RANGE_LIMIT``: a shuffle has a block for every pair of
+    tasks, and beyond that each sorted partition rather is cut into several files by the
+    writer. Below the keys the ranges are cut by a running number, so neither one time nor
+    one row repeated for a third of the table ends up in one partition. A repeated task
+    must number its rows as before, so ``df`` has to be a plain file scan (see ``stage``).
     """
-    added = hash_name is None
-    if added:
-        hash_name = unused_name(df, "_row_hash")
-        df = df.withColumn(hash_name, row_hash(df))
-    copy_no = unused_name(df, "_copy_no")
     keys = newest_first(order_by, list(tie_break))
-    ranged = (
-        df.withColumn(copy_no, F.monotonically_increasing_id())
-        .repartitionByRange(min(files, RANGE_LIMIT), *keys, hash_name, copy_no)
-        .sortWithinPartitions(*keys, hash_name)
-        .drop(copy_no)
+    row_no = unused_name(df, "_row_no")
+    return (
+        df.withColumn(row_no, F.monotonically_increasing_id())
+        .repartitionByRange(min(files, RANGE_LIMIT), *keys, row_no)
+        .sortWithinPartitions(*keys)
+        .drop(row_no)
     )
-    return ranged.drop(hash_name) if added else ranged
 
 
 def arrange_unordered(df: DataFrame, files: int) -> DataFrame:

@@ -118,7 +118,7 @@ def recent_records(
     ``prune`` forces or forbids this; by default it is used from 1 GiB upwards.
     """
     if prune is None:
-        prune = planned_bytes(df) >= PRUNE_BYTES
+        prune = _worth_pruning(df, time_column)
     if prune:
         df = _at_least_kth_newest(df, time_column, k)
     keys = newest_first(time_column, list(tie_break or ()))
@@ -128,6 +128,12 @@ def recent_records(
     return df.withColumn(marker, row_hash(df)).orderBy(*keys, marker).limit(k).drop(marker)
 
 
+def _worth_pruning(df: DataFrame, time_column: str) -> bool:
+    # Spark 4.1 does not compare zoneless timestamps with the statistics of row groups.
+    zoneless = isinstance(df.schema[time_column].dataType, T.TimestampNTZType)
+    return not zoneless and planned_bytes(df) >= PRUNE_BYTES
+
+
 def _at_least_kth_newest(df: DataFrame, time_column: str, k: int) -> DataFrame:
     """Only rows that can be among the ``k`` newest; all rows where fewer have a time."""
     c = col(time_column)

@@ -12,6 +12,7 @@ from tableship.functions.columns import quoted
 from tableship.functions.paths import dataset_path, new_version
 from tableship.operators.profile import temporal_aggregates
 from tableship.operators.reconcile import same_schema
+from tableship.session import timestamp_statistics
 from tableship.sources.resolve import read_dataset, require_rows
 
 
@@ -64,7 +65,8 @@ def publish_table(
         if root is None:
             raise ValueError("a frame needs a root folder to be written to")
         path = dataset_path(root, table, version)
-        frame.write.mode("errorifexists").parquet(path)
+        with timestamp_statistics(spark):
+            frame.write.mode("errorifexists").parquet(path)
     data = read_dataset(spark, path)
     if validate_source:
         require_rows(data, path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableship.functions.paths import inside, plain_path
+from tableship.session import timestamp_statistics
 from tableship.sources.manifest import file_manifest
 from tableship.sources.resolve import read_dataset
 
@@ -42,7 +43,9 @@ def transfer_dataset(
     if inside(target, source) or inside(source, target):
         raise ValueError(f"{target} overlaps {source}")
     if mode == "rewrite":
-        read_dataset(spark, source, merge_schema).write.mode("overwrite").parquet(target)
+        rows = read_dataset(spark, source, merge_schema)
+        with timestamp_statistics(spark):
+            rows.write.mode("overwrite").parquet(target)
         return spark.read.parquet(target)
     if mode == "files":
         return copy_files(spark, source, target, strict=strict, **options)

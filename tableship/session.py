@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -66,6 +68,19 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tableship/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def timestamp_statistics(spark: SparkSession) -> Iterator[None]:
+    """Timestamps written within are kept as microseconds. Spark's default form, INT96, has
+    no minimum and maximum in the files, so that no reader could skip by time."""
+    key = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def sibling_session(spark: SparkSession, **conf) -> SparkSession:
     """Second session of the same application with the same settings plus ``conf``.
 

@@ -139,6 +139,11 @@ def test_nulls_of_the_sort_key_come_last(spark, instances, folder):
     assert_same_rows(spark.read.parquet(export.path), df)
 
 
+def test_rows_are_hashed_after_the_shuffle(spark, load):
+    """The sampling pass and the shuffle carry the rows and one number, no hashes."""
+    assert "xxhash64" not in plan_of(arrange_ordered(load("lineitem"), 10, "l_shipdate"))
+
+
 def test_unordered_export_does_not_shuffle_unless_files_would_be_small(spark, folder):
     frame = source(spark, "lineitem").frame
     assert "Exchange" not in plan_of(ts.arrange_unordered(frame, 100))

@@ -3,11 +3,13 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import plan_of
+from conftest import SF_DIR, plan_of
 from pyspark.sql import functions as F
 
 import tableship as ts
 from tableship.functions.columns import temporal_columns
+from tableship.operators import profile
+from tableship.operators.profile import _at_least_kth_newest, _worth_pruning
 
 
 def test_null_counts(spark, instances):
@@ -121,16 +123,28 @@ def test_plans(spark, load):
     assert plan_of(ts.temporal_profile(events)).count("Scan parquet") == 2  # tree and detail
 
 
-def test_pruning_skips_older_row_groups(spark, load, folder):
-    """On an ordered export the bound leaves only the newest file's rows to read."""
-    source = ts.resolve_source(spark, path=f"/root/testdata/sf0.001/events.parquet")
+@pytest.mark.parametrize("kind", ["timestamp", "date"])
+def test_pruning_skips_older_row_groups(spark, load, folder, kind):
+    """On an ordered export the bound leaves out the row groups of older files."""
+    events = load("events").withColumn("ts", F.col("ts").cast(kind))
+    source = ts.resolve_source(spark, frame=events)
     export = ts.export_dataset(
         source, folder, "events", order_by="ts", tie_break=["event_id"], rows_per_file=100
     )
     written = spark.read.parquet(export.path)
-    bounded = written.where(F.col("ts") >= F.lit(written.agg(F.max("ts")).first()[0]))
-    read = bounded._jdf.queryExecution().executedPlan()
-    bounded.collect()
-    newest = ts.recent_records(written, "ts", 3, ["event_id"], prune=True).collect()
-    assert newest == load("events").orderBy(F.desc("ts"), F.desc("event_id")).limit(3).collect()
-    assert read is not None
+    newest = written.orderBy(F.desc("ts"), F.desc("event_id")).limit(3).collect()
+    assert ts.recent_records(written, "ts", 3, ["event_id"], prune=True).collect() == newest
+
+    bounded = _at_least_kth_newest(written, "ts", 3)
+    query = bounded._jdf.queryExecution()
+    query.toRdd().count()
+    scan = query.executedPlan().collectLeaves().head()
+    assert 3 <= scan.metrics().apply("numOutputRows").value() < 250
+
+
+def test_pruning_is_for_large_tables_whose_time_can_be_pushed_down(load, monkeypatch):
+    events = load("events")
+    zoned = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    assert not _worth_pruning(zoned, "ts")
+    monkeypatch.setattr(profile, "PRUNE_BYTES", 1)
+    assert _worth_pruning(zoned, "ts") and not _worth_pruning(events, "ts")

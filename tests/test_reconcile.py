@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from conftest import plan_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import tableship as ts
@@ -128,6 +132,22 @@ def test_bag_against_except_all(load):
     assert found["same"] == lineitem.intersectAll(target).count()
 
 
+bags = st.lists(
+    st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, "a", "b"])), max_size=12
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(left=bags, right=bags)
+def test_bag_against_brute_force(spark, left, right):
+    schema = "k int, v string"
+    source, target = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    a, b = Counter(left), Counter(right)
+    wanted = {"same": (a & b).total(), "missing": (a - b).total(), "extra": (b - a).total()}
+    assert statuses(ts.reconcile(source, target, buckets=4)) == {k: n for k, n in wanted.items() if n}
+    assert ts.reconcile_totals(source, target).first()["matches"] == (a == b)
+
+
 def test_schemas_have_to_agree(orders):
     with pytest.raises(SchemaMismatchError):
         ts.reconcile_totals(orders, orders.drop("o_orderstatus"))
