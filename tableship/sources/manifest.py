@@ -24,8 +24,8 @@ def file_manifest(
 
     Markers and other hidden files are left out. A missing path raises. Contents are
     never read: only ``path``, ``length`` and the time are selected. A scan passes over
-    files of zero bytes; ``include_empty`` adds them, without a time, from the names in
-    Spark's listing.
+    files of zero bytes; ``include_empty`` adds them, without a time. Only if the listing
+    names more files than the scan finds, its names are fetched to tell which.
     """
     # Scans are split by file size, so a listing of 100 TB would be planned as hundreds of
     # thousands of tasks although it opens no file; a cap keeps it at a few per core.
@@ -36,7 +36,7 @@ def file_manifest(
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     found = files.select("path", "length", "modificationTime")
-    if include_empty:
+    if include_empty and len(files._jdf.inputFiles()) > found.count():
         names = session.createDataFrame([(name,) for name in files.inputFiles()], "encoded string")
         listed = names.select(decoded_path("encoded").alias("path"))
         known = found.select(plain_name(F.col("path")).alias("plain"))

@@ -58,8 +58,8 @@ def resolve_source(
 def read_dataset(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """Parquet directory as a DataFrame.
 
-    Without ``merge_schema`` Spark takes one file's schema and silently leaves out the
-    columns only other files have, so a directory of mixed schemas is refused.
+    Without ``merge_schema`` Spark takes the first file's schema and silently leaves out
+    columns that only other files have; a directory where this would happen is refused.
     """
     merged = spark.read.option("mergeSchema", "true").parquet(path)
     if merge_schema:

@@ -105,8 +105,9 @@ def test_one_value_in_a_third_of_the_rows_is_spread(spark, load, hot):
             "ts", F.when(F.col("event_id") % 3 == 0, F.lit("2024-01-15").cast("timestamp_ntz")).otherwise(F.col("ts"))
         )
     else:
-        one = events.where("event_id = 7")
-        events = events.unionByName(one.crossJoin(spark.range(500)).drop("id"))
+        copies = F.explode(F.sequence(F.lit(1), F.lit(500))).alias("n")
+        one = events.where("event_id = 7").select("*", copies).drop("n")
+        events = events.unionByName(one)
     arranged = arrange_ordered(events, 10, "ts")
     sizes = [r["count"] for r in arranged.groupBy(F.spark_partition_id()).count().collect()]
     mean = events.count() / 10

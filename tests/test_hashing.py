@@ -99,6 +99,6 @@ def test_fingerprint_of_nothing(load):
 
 def test_fingerprint_sum_does_not_overflow(spark):
     df = spark.range(1).select(F.lit("x").alias("c"))
-    copies = df.crossJoin(spark.range(200_000)).select("c")
+    copies = spark.range(200_000).select(F.lit("x").alias("c"))
     one = fingerprint(df).first()["content_hash"]
     assert fingerprint(copies).first()["content_hash"] == one * 200_000

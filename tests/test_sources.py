@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import glob
 import os
+import shutil
 
 import pytest
 from conftest import SF_DIR, assert_same_rows
@@ -45,11 +47,21 @@ def test_missing_and_empty_directories(spark, folder):
 
 
 def test_mixed_schemas_are_refused_or_merged(spark, folder):
-    spark.range(3).write.parquet(f"{folder}/m")
-    spark.range(2).withColumn("extra", F.lit("x")).write.mode("append").parquet(f"{folder}/m")
+    """Whichever file Spark looks at first, no column is lost."""
+    narrow, wide = spark.range(3), spark.range(2).withColumn("extra", F.lit("x"))
+    for name, frames in (("narrow_first", [narrow, wide]), ("wide_first", [wide, narrow])):
+        os.makedirs(f"{folder}/{name}")
+        for i, frame in enumerate(frames):
+            frame.coalesce(1).write.parquet(f"{folder}/parts/{name}{i}")
+            part = glob.glob(f"{folder}/parts/{name}{i}/*.parquet")[0]
+            shutil.copy(part, f"{folder}/{name}/part-{i}.parquet")
     with pytest.raises(MixedSchemaError):
-        ts.read_dataset(spark, f"{folder}/m")
-    assert sorted(ts.read_dataset(spark, f"{folder}/m", merge_schema=True).columns) == ["extra", "id"]
+        ts.read_dataset(spark, f"{folder}/narrow_first")
+    for df in (
+        ts.read_dataset(spark, f"{folder}/narrow_first", merge_schema=True),
+        ts.read_dataset(spark, f"{folder}/wide_first"),
+    ):
+        assert sorted(df.columns) == ["extra", "id"] and df.count() == 5
 
 
 def test_parquet_view_with_odd_path(spark, load, folder):
