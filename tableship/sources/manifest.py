@@ -72,8 +72,9 @@ def file_rows(spark: SparkSession, path: str) -> DataFrame:
     counts = data.groupBy(F.col("_metadata.file_path").alias("encoded")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    inner = relative_path(decoded_path("encoded"), path)
-    counts = counts.select(inner.alias("rel_path"), "row_count")
+    # Never null, or else the optimizer would test it for null on every row of the scan.
+    rel_path = F.coalesce(relative_path(decoded_path("encoded"), path), F.lit(""))
+    counts = counts.select(rel_path.alias("rel_path"), "row_count")
     return (
         file_manifest(spark, path)
         .join(counts, "rel_path", "left")
