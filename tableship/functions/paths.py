@@ -43,8 +43,10 @@ def plain_name(path: Column) -> Column:
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """Path below ``root``, whatever scheme the listing puts in front of it."""
-    return F.substring(plain_name(path), len(plain_path(root)) + 2, 2**31 - 1)
+    """Path below ``root``, whatever scheme the listing puts in front of it; the base name
+    where ``root`` is the file itself."""
+    below = F.substring(plain_name(path), len(plain_path(root)) + 2, 2**31 - 1)
+    return F.when(below == "", file_name(path)).otherwise(below)
 
 
 def decoded_path(name: str) -> Column:

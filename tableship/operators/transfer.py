@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableship.functions.paths import inside, plain_path
+from tableship.functions.paths import inside, plain_name, plain_path
 from tableship.session import timestamp_statistics
 from tableship.sources.manifest import file_manifest
 from tableship.sources.resolve import read_dataset
@@ -70,22 +70,24 @@ def copy_files(
     a file and a repeated task only writes the same bytes again. ``check_content`` reads
     every chunk back. Outcomes are kept in ``{target}/_transfer``.
     """
-    manifest = file_manifest(spark, source, include_empty=True).select("rel_path", "length")
+    manifest = file_manifest(spark, source, include_empty=True)
     starts = F.sequence(
         F.lit(0).cast("bigint"),
         F.greatest(F.col("length") - 1, F.lit(0)),
         F.lit(split_bytes).cast("bigint"),
     )
-    chunks = manifest.select("rel_path", "length", F.explode(starts).alias("start"))
-    chunks = chunks.withColumn("size", F.least(F.col("length") - F.col("start"), F.lit(split_bytes)))
+    size = F.least(F.col("length") - F.col("start"), F.lit(split_bytes))
+    chunks = manifest.select(
+        "rel_path", plain_name(F.col("path")).alias("source"), "length", F.explode(starts).alias("start")
+    ).select("rel_path", "source", "start", size.alias("size"))
 
     transfer_id = uuid.uuid4().hex
     log = f"{target.rstrip('/')}/{LOG_FOLDER}/{transfer_id}"
-    roots = plain_path(source), plain_path(target), transfer_id
+    root = plain_path(target)
     tasks = _task_count(spark, chunks)
 
-    copied = chunks.select("rel_path", "start", "size").repartition(tasks)
-    copied = copied.mapInPandas(_chunk_copier(*roots, attempts, check_content), CHUNK_OUTCOME)
+    copier = _chunk_copier(root, transfer_id, attempts, check_content)
+    copied = chunks.repartition(tasks).mapInPandas(copier, CHUNK_OUTCOME)
     copied.write.parquet(f"{log}/chunks")
 
     # The log is read back, so nothing below can trigger the copy a second time.
@@ -95,7 +97,7 @@ def copy_files(
         F.count(F.lit(1)).alias("chunks"),
         F.max("error").alias("error"),
     )
-    finished = per_file.mapInPandas(_file_finisher(*roots), FILE_OUTCOME)
+    finished = per_file.mapInPandas(_file_finisher(root, transfer_id), FILE_OUTCOME)
     finished.write.parquet(f"{log}/files")
 
     outcomes = spark.read.schema(FILE_OUTCOME).parquet(f"{log}/files")
@@ -133,7 +135,7 @@ def _task_count(spark: SparkSession, chunks: DataFrame) -> int:
 # that workers do not need this package on their path.
 
 
-def _chunk_copier(source_root, target_root, transfer_id, attempts, check_content):
+def _chunk_copier(target_root, transfer_id, attempts, check_content):
     def copy_batches(batches):
         import hashlib
         import os
@@ -158,7 +160,7 @@ def _chunk_copier(source_root, target_root, transfer_id, attempts, check_content
                 sha.update(data)
             return sha.hexdigest()
 
-        def copy(rel_path, start, size):
+        def copy(rel_path, source, start, size):
             final = os.path.join(target_root, rel_path)
             folder, name = os.path.split(final)
             part = os.path.join(folder, f".{name}.{transfer_id}")
@@ -167,7 +169,7 @@ def _chunk_copier(source_root, target_root, transfer_id, attempts, check_content
             out = os.open(part, os.O_WRONLY | os.O_CREAT, 0o644)
             try:
                 at = start
-                for data in blocks(os.path.join(source_root, rel_path), start, size):
+                for data in blocks(source, start, size):
                     sha.update(data)
                     view = memoryview(data)
                     while view:
@@ -180,26 +182,24 @@ def _chunk_copier(source_root, target_root, transfer_id, attempts, check_content
                 raise OSError(f"{part} differs from its source at {start}")
             return sha.hexdigest()
 
-        def outcome(rel_path, start, size):
+        def outcome(rel_path, source, start, size):
             for attempt in range(1, attempts + 1):
                 try:
-                    return rel_path, start, size, copy(rel_path, start, size), None
+                    return rel_path, start, size, copy(rel_path, source, start, size), None
                 except OSError as e:
                     if attempt == attempts:
                         return rel_path, start, size, None, f"{type(e).__name__}: {e}"
 
         columns = ["rel_path", "start", "size", "sha256", "error"]
         for batch in batches:
-            rows = [
-                outcome(r, int(a), int(n))
-                for r, a, n in zip(batch["rel_path"], batch["start"], batch["size"])
-            ]
+            given = zip(batch["rel_path"], batch["source"], batch["start"], batch["size"])
+            rows = [outcome(r, s, int(a), int(n)) for r, s, a, n in given]
             yield pd.DataFrame(rows, columns=columns)
 
     return copy_batches
 
 
-def _file_finisher(source_root, target_root, transfer_id):
+def _file_finisher(target_root, transfer_id):
     def finish_batches(batches):
         import os
 

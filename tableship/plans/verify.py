@@ -75,6 +75,7 @@ def verification_report(
     time_column: str,
     *,
     id_column: str | None = None,
+    check_ids: bool = True,
     expected_rows: int | None = None,
     expected_hash: Decimal | None = None,
     expected_columns: list[str] | None = None,
@@ -130,7 +131,7 @@ def verification_report(
         days = per_day.agg(F.count("day").alias("days"), F.sum("n").alias("n")).first()
         return (days["n"] or 0) == totals()["rows"], f"{days['days']:,} days"
 
-    def check_ids():
+    def check_unique():
         rows = totals()["rows"]
         ids = df.agg(F.count_distinct(col(id_column)).alias("n")).first()["n"]
         return ids == rows, f"{ids:,} ids in {rows:,} rows"
@@ -146,8 +147,8 @@ def verification_report(
         ("date_range", check_range),
         ("date_distribution", check_days),
     ]
-    if id_column:
-        checks.append(("unique_ids", check_ids))
+    if id_column and check_ids:
+        checks.append(("unique_ids", check_unique))
     if expected_hash is not None:
         checks.append(("content", check_content))
     rows = [(name, *_isolated(check)) for name, check in checks]

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import DataFrame, SparkSession
@@ -91,4 +90,4 @@ def plan_of(df: DataFrame) -> str:
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-__all__ = ["Decimal", "SF_DIR", "assert_same_rows", "bag", "plan_of"]
+__all__ = ["SF_DIR", "assert_same_rows", "bag", "plan_of"]

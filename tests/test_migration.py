@@ -49,6 +49,14 @@ def test_second_migration_replaces_the_first(spark, load, folder, table_name):
     assert os.path.isdir(f"{folder}/in/t/20240101_000000")
 
 
+def test_ids_need_not_be_counted(spark, folder, table_name):
+    source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
+    done = move(
+        spark, source, folder, table_name, time_column="ts", id_column="event_id", check_ids=False
+    )
+    assert "unique_ids" not in passed(done.report)
+
+
 def test_table_to_table(spark, load, folder, table_name):
     spark.sql("CREATE SCHEMA IF NOT EXISTS tableship_tests")
     load("orders").write.saveAsTable(f"{table_name}_source")
@@ -120,8 +128,8 @@ def test_profile_source(spark, load):
 def test_task_functions_need_no_package_on_the_workers(folder):
     """Workers unpickle the copying functions without importing this package."""
     functions = [
-        transfer._chunk_copier("/a", "/b", "id", 1, True),
-        transfer._file_finisher("/a", "/b", "id"),
+        transfer._chunk_copier("/b", "id", 1, True),
+        transfer._file_finisher("/b", "id"),
     ]
     with open(f"{folder}/functions", "wb") as f:
         f.write(dumps(functions))

@@ -61,6 +61,22 @@ def test_files_keep_directories_and_empty_files(spark, load, folder):
     assert digests(f"{folder}/copy") == digests(f"{folder}/p")
 
 
+def test_odd_file_names(spark, folder):
+    os.makedirs(f"{folder}/s/x=1 %20+y")
+    for name, content in (("100% +a b.bin", b"abc"), ("50%25 c+d.bin", b""), ("ü.bin", b"")):
+        with open(f"{folder}/s/x=1 %20+y/{name}", "wb") as f:
+            f.write(content)
+    outcomes = ts.copy_files(spark, f"{folder}/s", f"{folder}/t")
+    assert outcomes.count() == 3 and outcomes.where("NOT ok").count() == 0
+    assert digests(f"{folder}/t") == digests(f"{folder}/s")
+
+
+def test_a_single_file(spark, load, folder):
+    outcomes = ts.copy_files(spark, f"{SF_DIR}/region.parquet", f"{folder}/t")
+    assert [r["rel_path"] for r in outcomes.collect()] == ["region.parquet"]
+    assert_same_rows(spark.read.parquet(f"{folder}/t"), load("region"))
+
+
 def test_outcomes_do_not_copy_again(spark, dataset, folder):
     outcomes = ts.copy_files(spark, dataset, f"{folder}/copy")
     victim = glob.glob(f"{folder}/copy/*.parquet")[0]
