@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from tableship.functions.hashing import row_hash
 from tableship.session import sibling_session
 
 PRUNE_BYTES = 1 << 30
+PRUNED_FILES = 1_000
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -113,12 +115,12 @@ def recent_records(
 ) -> DataFrame:
     """The ``k`` newest rows. Ties fall to ``tie_break`` (descending), without one to the row hash.
 
-    On a large table the ``k`` newest times are looked up first, reading that one column;
-    the wide scan then carries a pushed-down bound and skips row groups that are older.
+    On a large table the ``k`` newest times and the files that hold them are looked up
+    first, reading that one column; the wide scan then opens only these files.
     ``prune`` forces or forbids this; by default it is used from 1 GiB upwards.
     """
     if prune is None:
-        prune = _worth_pruning(df, time_column)
+        prune = planned_bytes(df) >= PRUNE_BYTES
     if prune:
         df = _at_least_kth_newest(df, time_column, k)
     keys = newest_first(time_column, list(tie_break or ()))
@@ -128,19 +130,23 @@ def recent_records(
     return df.withColumn(marker, row_hash(df)).orderBy(*keys, marker).limit(k).drop(marker)
 
 
-def _worth_pruning(df: DataFrame, time_column: str) -> bool:
-    # Spark 4.1 does not compare zoneless timestamps with the statistics of row groups.
-    zoneless = isinstance(df.schema[time_column].dataType, T.TimestampNTZType)
-    return not zoneless and planned_bytes(df) >= PRUNE_BYTES
-
-
 def _at_least_kth_newest(df: DataFrame, time_column: str, k: int) -> DataFrame:
     """Only rows that can be among the ``k`` newest; all rows where fewer have a time."""
     c = col(time_column)
     newest = df.select(c.alias("t")).where(F.col("t").isNotNull())
     newest = newest.orderBy(F.col("t").desc()).limit(k)
     bound = newest.agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")).first()
-    return df.where(c >= F.lit(bound["t"])) if bound["n"] == k else df
+    if bound["n"] < k:
+        return df
+    df = df.where(c >= F.lit(bound["t"]))
+    try:
+        files = df.select(F.col("_metadata.file_path").alias("file")).distinct()
+    except AnalysisException:
+        return df  # not a scan of files
+    names = [r["file"] for r in files.limit(PRUNED_FILES + 1).collect()]
+    if len(names) > PRUNED_FILES:
+        return df  # very many rows share the newest times: the bound alone has to do
+    return df.where(F.col("_metadata.file_path").isin(names))
 
 
 def planned_bytes(df: DataFrame) -> int:

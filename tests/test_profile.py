@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import tableship as ts
 from tableship.functions.columns import temporal_columns
 from tableship.operators import profile
-from tableship.operators.profile import _at_least_kth_newest, _worth_pruning
+from tableship.operators.profile import _at_least_kth_newest
 
 
 def test_null_counts(spark, instances):
@@ -123,28 +123,46 @@ def test_plans(spark, load):
     assert plan_of(ts.temporal_profile(events)).count("Scan parquet") == 2  # tree and detail
 
 
-@pytest.mark.parametrize("kind", ["timestamp", "date"])
-def test_pruning_skips_older_row_groups(spark, load, folder, kind):
-    """On an ordered export the bound leaves out the row groups of older files."""
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+@pytest.mark.parametrize("ordered", [True, False])
+def test_pruning_opens_only_files_with_new_rows(spark, load, folder, kind, ordered):
     events = load("events").withColumn("ts", F.col("ts").cast(kind))
-    source = ts.resolve_source(spark, frame=events)
-    export = ts.export_dataset(
-        source, folder, "events", order_by="ts", tie_break=["event_id"], rows_per_file=100
-    )
-    written = spark.read.parquet(export.path)
+    path = f"{folder}/100% odd+name"
+    if ordered:
+        events = events.repartitionByRange(10, F.desc("ts"))
+    else:
+        events = events.repartition(10, "event_id")
+    events.write.parquet(path)
+    written = spark.read.parquet(path)
     newest = written.orderBy(F.desc("ts"), F.desc("event_id")).limit(3).collect()
     assert ts.recent_records(written, "ts", 3, ["event_id"], prune=True).collect() == newest
+    if kind != "date":
+        assert files_read(_at_least_kth_newest(written, "ts", 3)) <= (1 if ordered else 3)
+
 
-    bounded = _at_least_kth_newest(written, "ts", 3)
-    query = bounded._jdf.queryExecution()
+def files_read(df) -> int:
+    query = df._jdf.queryExecution()
     query.toRdd().count()
-    scan = query.executedPlan().collectLeaves().head()
-    assert 3 <= scan.metrics().apply("numOutputRows").value() < 250
+    return query.executedPlan().collectLeaves().head().metrics().apply("numFiles").value()
+
+
+def test_pruning_where_very_many_rows_are_new(spark, load, folder, monkeypatch):
+    """All rows share one time, in more files than are looked up."""
+    events = load("events").withColumn("ts", F.lit("2024-01-01").cast("timestamp"))
+    events.repartition(5).write.parquet(f"{folder}/t")
+    written = spark.read.parquet(f"{folder}/t")
+    monkeypatch.setattr(profile, "PRUNED_FILES", 2)
+    assert files_read(_at_least_kth_newest(written, "ts", 3)) == 5
+    rows = ts.recent_records(written, "ts", 3, ["event_id"], prune=True).collect()
+    assert rows == events.orderBy(F.desc("event_id")).limit(3).collect()
 
 
-def test_pruning_is_for_large_tables_whose_time_can_be_pushed_down(load, monkeypatch):
+def test_pruning_is_for_large_tables(load, monkeypatch):
     events = load("events")
-    zoned = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    assert not _worth_pruning(zoned, "ts")
+    looked_up = []
+    monkeypatch.setattr(profile, "_at_least_kth_newest", lambda df, *_: looked_up.append(1) or df)
+    ts.recent_records(events, "ts", 3, ["event_id"])
+    assert not looked_up
     monkeypatch.setattr(profile, "PRUNE_BYTES", 1)
-    assert _worth_pruning(zoned, "ts") and not _worth_pruning(events, "ts")
+    ts.recent_records(events, "ts", 3, ["event_id"])
+    assert looked_up
