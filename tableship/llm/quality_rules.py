@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tableship.llm.common import SPACES, packed, packed_texts, staged
 
@@ -52,9 +53,7 @@ DEFAULTS = Limits()
 def count_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (a struct of all columns of ``docs``) and the counts named in ``COUNTS``."""
     rows = packed(docs)
-    schema = rows.schema
-    for name in COUNTS:
-        schema = schema.add(name, "long")
+    schema = StructType([*rows.schema, *(StructField(name, LongType()) for name in COUNTS)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
