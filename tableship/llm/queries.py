@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tableship.llm import quality_rules
+from tableship.llm import quality_rules, secret_scan
 from tableship.llm.common import table
 
 QUERIES = {}
@@ -34,3 +34,25 @@ def op6_quality_rules(spark, sf_dir):
         "base_failed",
         "kept",
     )
+
+
+@query()
+def op10_secret_scan(spark, sf_dir):
+    found = secret_scan.scan_narrow(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    def count(kind):
+        of_kind = F.filter("spans", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    counts = [count(kind) for kind in secret_scan.KINDS[:3]]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
