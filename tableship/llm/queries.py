@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tableship.llm import quality_rules, secret_scan
+from tableship.llm import license_scan, quality_rules, secret_scan
 from tableship.llm.common import table
 
 QUERIES = {}
@@ -56,3 +56,31 @@ def op10_secret_scan(spark, sf_dir):
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op9_license_scan(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+
+    def labels(places):
+        names = F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"])))
+        return F.array_join(names, ",")
+
+    found = found.withColumns(
+        {
+            "base": F.filter("places", lambda p: p["base"]),
+            "kept": F.filter("places", lambda p: p["kept"]),
+        }
+    )
+    starts = F.transform("base", lambda p: p["start"].cast("long"))
+    trust = F.array_max(F.transform("kept", lambda p: p["trust"]))
+    return found.select(
+        F.col("row").getField("doc_id").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(F.col("base")).alias("base_labels"),
+        labels(F.col("kept")).alias("labels"),
+        F.coalesce(trust.cast("double"), F.lit(0.0)).alias("score"),
+    )
