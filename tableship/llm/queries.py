@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tableship.llm import license_scan, quality_rules, secret_scan
+from tableship.llm import license_scan, quality_classifier, quality_rules, secret_scan
 from tableship.llm.common import table
 
 QUERIES = {}
@@ -84,3 +84,15 @@ def op9_license_scan(spark, sf_dir):
         labels(F.col("kept")).alias("labels"),
         F.coalesce(trust.cast("double"), F.lit(0.0)).alias("score"),
     )
+
+
+@query()
+def op3_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_classifier.classify(docs, labels)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        "held_out",
+        "score",
+        F.col("accepted").cast("int").alias("predicted"),
+    )
