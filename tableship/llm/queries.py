@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import hashlib
 
-from tableship.llm import license_scan, quality_classifier, quality_rules, secret_scan
+import public_tokenizers
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField
+
+from tableship.llm import (
+    chunk_reuse,
+    license_scan,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+)
 from tableship.llm.common import table
+from tableship.llm.tokens import decode
 
 QUERIES = {}
 ORACLES = {}
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(sql: str | None = None):
     def register(function):
         QUERIES[function.__name__] = function
@@ -96,3 +110,19 @@ def op3_quality_classifier(spark, sf_dir):
         "score",
         F.col("accepted").cast("int").alias("predicted"),
     )
+
+
+@query()
+def op7_chunk_reuse(spark, sf_dir):
+    def digests(encoder, ids):
+        text = decode(encoder, ids)
+        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
+
+    fields = [
+        StructField("n_tokens", LongType()),
+        StructField("ids_sha256", StringType()),
+        StructField("decoded_sha256", StringType()),
+    ]
+    docs = table(spark, sf_dir, "documents")
+    found = chunk_reuse.encode_documents(docs, TOKENIZER, digests, fields)
+    return found.withColumnRenamed("id", "doc_id")
