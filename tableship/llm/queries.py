@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 from tableship.llm import (
     chunk_reuse,
     license_scan,
+    packing,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -126,3 +127,9 @@ def op7_chunk_reuse(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = chunk_reuse.encode_documents(docs, TOKENIZER, digests, fields)
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op2_pattern_packing(spark, sf_dir):
+    cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack(cut).withColumnRenamed("id", "doc_id")
