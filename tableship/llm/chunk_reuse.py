@@ -48,7 +48,7 @@ class Options:
     least: int = 64
     most: int = 4096
     shared: int = 65_536
-    window: int = 16
+    window: int = 8
 
 
 DEFAULTS = Options()
