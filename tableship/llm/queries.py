@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 from tableship.llm import (
     chunk_reuse,
     license_scan,
+    ngram_join,
     packing,
     quality_classifier,
     quality_rules,
@@ -133,3 +134,13 @@ def op7_chunk_reuse(spark, sf_dir):
 def op2_pattern_packing(spark, sf_dir):
     cut = packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
     return packing.pack(cut).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op4_ngram_jaccard_join(spark, sf_dir):
+    joined = ngram_join.join(table(spark, sf_dir, "documents"))
+    return joined.select(
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+    )
