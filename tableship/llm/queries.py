@@ -16,6 +16,7 @@ from tableship.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    vector_search,
 )
 from tableship.llm.common import table
 from tableship.llm.tokens import decode
@@ -144,3 +145,27 @@ def op4_ngram_jaccard_join(spark, sf_dir):
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
     )
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id
+        WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r
+        FROM scored
+    )
+    SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
+    """
+)
+def op1_vector_search(spark, sf_dir):
+    found = vector_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
