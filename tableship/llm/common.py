@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +58,33 @@ def id_remainder(id_column: Column, divisor: int) -> Column:
     """crc32 of the identifier as text, modulo ``divisor``; a null identifier counts as ''."""
     as_text = F.coalesce(id_column.cast("string"), F.lit(""))
     return F.crc32(as_text.cast("binary")) % divisor
+
+
+class IdMarks:
+    """A bit array of fixed size (one megabyte) that says of an identifier that it is not
+    among those given, or that it may be. It goes to every worker, however many there are."""
+
+    WORDS = 1 << 17
+
+    def __init__(self, rows: DataFrame, column: str) -> None:
+        marked = rows.select(self.place(F.col(column).cast("long")).alias("place"))
+        bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+        word = F.expr("CAST(place DIV 64 AS INT)")
+        words = marked.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+        marks = np.zeros(self.WORDS, np.int64)
+        for row in words:
+            marks[row["word"]] = row["bits"]
+        self._marks = rows.sparkSession.sparkContext.broadcast(marks.view(np.uint64))
+
+    @classmethod
+    def place(cls, ids: Column) -> Column:
+        """Place of an identifier in the array; null for null."""
+        return F.when(
+            ids.isNotNull(), F.pmod(F.xxhash64(ids), F.lit(64 * cls.WORDS))
+        )
+
+    def hit(self, places: pa.Array) -> np.ndarray:
+        known = places.is_valid().to_numpy(zero_copy_only=False)
+        at = places.fill_null(0).to_numpy().astype(np.int64)
+        bits = self._marks.value[at >> 6] >> (at & 63).astype(np.uint64)
+        return known & ((bits & np.uint64(1)) == 1)

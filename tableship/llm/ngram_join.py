@@ -38,14 +38,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from tableship.llm.common import staged, texts
+from tableship.llm.common import IdMarks, packed, staged, texts
 from tableship.llm.components import components
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 _BITMAP_WORDS = 16
-_MARK_WORDS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -242,6 +241,46 @@ def join(
     )
 
 
+def keep(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", options: Options = DEFAULTS
+) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest identifier, and
+    one row of it. Documents without words stay, as do rows without an identifier.
+
+    Most documents stay and are recognised by a bit array of the identifiers that need a
+    decision, so their texts are passed on as they are read; only the others are joined.
+    """
+    joined = join(docs, id_column, text, options).where("n > 0 AND id IS NOT NULL")
+    found = joined.groupBy("id").agg(
+        F.min("component").alias("component"), F.count("*").alias("copies")
+    )
+    decided = staged(
+        found.where("component <> id OR copies > 1").select(
+            F.col("id").alias("decided_id"), (F.col("component") != F.col("id")).alias("out")
+        ),
+        "decided",
+    )
+    marks = IdMarks(decided, "decided_id")
+    ids = F.col("row").getField(id_column).cast("long")
+    rows = packed(docs).select("row", IdMarks.place(ids).alias("place"))
+    schema = StructType([*rows.schema, StructField("marked", BooleanType())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marked = pa.array(marks.hit(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, marked], schema.names)
+
+    worded = F.coalesce(F.col("row").getField(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    open_case = F.col("marked") & worded & ids.isNotNull()
+    rows = rows.mapInArrow(mark, schema)
+    passed = rows.where(~open_case).select("row.*")
+    judged = rows.where(open_case).join(decided, ids == F.col("decided_id"), "left")
+    # Not decided upon: marked by chance. Not out: repeated, of which one row stays.
+    chance = judged.where(F.col("out").isNull()).select("row.*")
+    repeated = judged.where(~F.col("out")).dropDuplicates(["decided_id"]).select("row.*")
+    return passed.unionByName(chance).unionByName(repeated)
+
+
 def _similar(firsts: DataFrame, options: Options) -> DataFrame:
     """Spanning forests of the pairs that share a first token and that sizes and bitmaps do
     not rule out."""
@@ -300,27 +339,14 @@ def _sets(
     A bit array of fixed size says which identifiers may be wanted, so texts are not shuffled
     to find out; the join that follows drops what it lets through by chance.
     """
-    place = F.pmod(F.xxhash64("first"), F.lit(64 * _MARK_WORDS))
-    words = (
-        wanted.select((place / 64).cast("int").alias("word"), F.expr("1L").alias("one"), place.alias("p"))
-        .select("word", F.call_function("shiftleft", "one", (F.col("p") % 64).cast("int")).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()
-    )  # at most _MARK_WORDS rows
-    marks = np.zeros(_MARK_WORDS, np.int64)
-    for row in words:
-        marks[row["word"]] = row["bits"]
-    marks = docs.sparkSession.sparkContext.broadcast(marks.view(np.uint64))
+    marks = IdMarks(wanted, "first")
     schema = StructType(
         [StructField("id", LongType()), StructField("class", BinaryType()), StructField("tokens", BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
-            hit = (marks.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            chosen = batch.filter(pa.array(hit == 1))
+            chosen = batch.filter(pa.array(marks.hit(batch.column(0))))
             sets = [token_set(raw, options.words) for raw in texts(chosen, text)]
             arrays = [
                 chosen.column(1),
@@ -331,7 +357,7 @@ def _sets(
 
     ids = F.col(id_column).cast("long")
     rows = docs.where(F.col(id_column).isNotNull()).select(
-        F.pmod(F.xxhash64(ids), F.lit(64 * _MARK_WORDS)).alias("place"), ids.alias("id"), text
+        IdMarks.place(ids).alias("place"), ids.alias("id"), text
     )
     return rows.mapInArrow(run, schema)
 
