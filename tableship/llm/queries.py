@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from tableship.llm import (
     chunk_reuse,
+    gated_lm,
     license_scan,
     ngram_join,
     packing,
@@ -18,7 +19,7 @@ from tableship.llm import (
     secret_scan,
     vector_search,
 )
-from tableship.llm.common import table
+from tableship.llm.common import id_remainder, table
 from tableship.llm.tokens import decode
 
 QUERIES = {}
@@ -169,3 +170,18 @@ def op4_ngram_jaccard_join(spark, sf_dir):
 def op1_vector_search(spark, sf_dir):
     found = vector_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op8_gated_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = gated_lm.score(docs, id_remainder(F.col("doc_id"), 7) != 2)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("trains")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
