@@ -18,6 +18,7 @@ from tableship.llm import (
     quality_rules,
     secret_scan,
     vector_search,
+    warc_revisits,
 )
 from tableship.llm.common import id_remainder, table
 from tableship.llm.tokens import decode
@@ -185,3 +186,91 @@ def op8_gated_lm(spark, sf_dir):
         "base_score",
         "score",
     )
+
+
+def archive_records(pages):
+    """Records of an archive made of ``pages``: each page is a full response, every third one
+    was visited again later, and of those every seventh had changed since."""
+    start = 1_704_067_200  # the first second of 2024
+    tag = F.md5("html")
+
+    def record(number, kind, seconds, etag, body):
+        headers = F.create_map(
+            F.lit("ETag"), etag,
+            F.lit("Date"), F.concat(F.lit("second "), seconds.cast("string")),
+            F.lit("Content-Type"), F.lit(f"text/html; {kind}"),
+        )
+        return (
+            number.alias("record_id"),
+            F.lit(kind).alias("kind"),
+            F.col("url"),
+            F.timestamp_seconds(seconds + start).alias("time"),
+            headers.alias("headers"),
+            body.alias("body"),
+        )
+
+    crawled = F.pmod(F.col("page_id") * 7919, F.lit(2_592_000))
+    again = crawled + F.pmod(F.col("page_id") * 104_729, F.lit(864_000)) + 1
+    changed = F.col("page_id") % 21 == 0
+    responses = pages.select(
+        *record(F.col("page_id") * 2, "response", crawled, tag, F.col("html"))
+    )
+    revisits = pages.where("page_id % 3 = 0").select(
+        *record(
+            F.col("page_id") * 2 + 1,
+            "revisit",
+            again,
+            F.when(changed, F.md5(F.concat("html", F.lit("x")))).otherwise(tag),
+            F.lit(None).cast("string"),
+        )
+    )
+    return responses.unionByName(revisits)
+
+
+@query(
+    """
+    WITH p AS (
+        SELECT *, (page_id * 7919) % 2592000 AS crawled,
+               (page_id * 7919) % 2592000 + (page_id * 104729) % 864000 + 1 AS again,
+               regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^https?://', '', 'i') AS bare
+        FROM pages
+    ), c AS (
+        SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)),
+                 ':(80|443)$', ''), '^www\\.', '')
+               || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS base,
+               list_sort(list_filter(string_split(regexp_extract(bare, '\\?(.*)$', 1), '&'),
+                 lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|fbclid|gclid|ref)(=|$)')))
+                 AS asked
+        FROM p
+    ), k AS (
+        SELECT *, base || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END
+               AS canonical
+        FROM c
+    ), m AS (
+        SELECT r.page_id * 2 + 1 AS record_id, r.canonical, r.page_id AS asker, s.page_id AS hit,
+               row_number() OVER (PARTITION BY r.page_id ORDER BY s.crawled DESC, s.page_id DESC) AS n
+        FROM k r LEFT JOIN k s ON s.canonical = r.canonical
+             AND (s.crawled, s.page_id * 2) < (r.again, r.page_id * 2 + 1)
+        WHERE r.page_id % 3 = 0
+    )
+    SELECT m.record_id, m.canonical, m.hit * 2 AS response_id,
+           CASE WHEN hit IS NULL THEN 'unresolved'
+                WHEN asker % 21 <> 0 AND md5(a.html) = md5(h.html) THEN 'matched'
+                ELSE 'mismatch' END AS outcome,
+           CASE WHEN asker % 21 <> 0 AND md5(a.html) = md5(h.html) THEN md5(h.html) END AS body_md5,
+           CASE WHEN asker % 21 <> 0 AND md5(a.html) = md5(h.html)
+                THEN 'text/html; response' ELSE 'text/html; revisit' END AS content_type
+    FROM m LEFT JOIN pages a ON a.page_id = asker LEFT JOIN pages h ON h.page_id = hit
+    WHERE n = 1
+    """
+)
+def op5_warc_revisits(spark, sf_dir):
+    resolved = warc_revisits.resolve(archive_records(table(spark, sf_dir, "pages")))
+    return resolved.select(
+        "record_id",
+        "canonical",
+        "response_id",
+        "outcome",
+        F.md5("body").alias("body_md5"),
+        F.col("headers")["content-type"].alias("content_type"),
+    )
