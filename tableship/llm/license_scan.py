@@ -25,21 +25,22 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Fixed values of the contract: phrases that always count, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-_V = r"(?: version| v| ver)?"
+#: What stands before a version number, its space included.
+_V = r"(?:(?: version| ver| v)? | v)"
 _LATER = r"(?: or (?:any later version|later|newer))?"
 
 #: Names of licenses in words: label, keyword, regular expression.
 FAMILIES = (
-    ("apache-1.1", "apache", r"apache(?: software)? license" + _V + " 1 1"),
-    ("apache-2.0", "apache", r"apache(?: software)?(?: license)?" + _V + " 2(?: 0)?"),
-    ("afl-3.0", "academic", r"academic free license" + _V + " 3 0"),
-    ("agpl-3.0", "affero", r"gnu affero general public license(?:" + _V + " 3(?: 0)?)?" + _LATER),
-    ("artistic-2.0", "artistic", r"artistic license(?:" + _V + " 2(?: 0)?)?"),
+    ("apache-1.1", "apache", r"apache(?: software)? license" + _V + "1 1"),
+    ("apache-2.0", "apache", r"apache(?: software)?(?: license)?" + _V + "2(?: 0)?"),
+    ("afl-3.0", "academic", r"academic free license" + _V + "3 0"),
+    ("agpl-3.0", "affero", r"gnu affero general public license(?:" + _V + "3(?: 0)?)?" + _LATER),
+    ("artistic-2.0", "artistic", r"artistic license(?:" + _V + "2(?: 0)?)?"),
     ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)"),
-    ("bsl-1.0", "boost", r"boost software license(?:" + _V + " 1 0)?"),
-    ("busl-1.1", "business", r"business source license(?:" + _V + " 1 1)?"),
+    ("bsl-1.0", "boost", r"boost software license(?:" + _V + "1 0)?"),
+    ("busl-1.1", "business", r"business source license(?:" + _V + "1 1)?"),
     ("cc0-1.0", "cc0", r"(?:creative commons )?cc0(?: 1 0)?(?: universal)?"),
     ("cc-by-2.0", "cc", r"(?:creative commons )?cc by 2 0"),
     ("cc-by-3.0", "cc", r"(?:creative commons )?cc by 3 0"),
@@ -54,31 +55,31 @@ FAMILIES = (
     ("cc-by-nc", "commons", r"creative commons attribution non ?commercial(?: [1-4] [05])?"),
     ("cc-by-nd", "commons", r"creative commons attribution no ?derivatives(?: [1-4] [05])?"),
     ("cddl-1.0", "cddl", r"(?:common development and distribution license|cddl)(?: 1 0)?"),
-    ("cecill-2.1", "cecill", r"cecill(?:" + _V + " 2(?: 1)?)?"),
-    ("cpl-1.0", "common", r"common public license(?:" + _V + " 1 0)?"),
-    ("ecl-2.0", "educational", r"educational community license(?:" + _V + " 2 0)?"),
-    ("epl-1.0", "eclipse", r"eclipse public license" + _V + " 1 0"),
-    ("epl-2.0", "eclipse", r"eclipse public license(?:" + _V + " 2 0)?"),
-    ("eupl-1.2", "european", r"european union public licen[cs]e(?:" + _V + " 1 2)?"),
-    ("gfdl-1.3", "documentation", r"gnu free documentation license(?:" + _V + " 1 [1-3])?"),
-    ("gpl-1.0", "general", r"(?:gnu )?general public license" + _V + " 1(?: 0)?" + _LATER),
-    ("gpl-2.0", "general", r"(?:gnu )?general public license" + _V + " 2(?: 0)?" + _LATER),
-    ("gpl-3.0", "general", r"(?:gnu )?general public license" + _V + " 3(?: 0)?" + _LATER),
-    ("gpl", "gpl", r"(?:gnu )?gpl(?:v[123]|" + _V + " [123](?: 0)?)?" + _LATER),
+    ("cecill-2.1", "cecill", r"cecill(?:" + _V + "2(?: 1)?)?"),
+    ("cpl-1.0", "common", r"common public license(?:" + _V + "1 0)?"),
+    ("ecl-2.0", "educational", r"educational community license(?:" + _V + "2 0)?"),
+    ("epl-1.0", "eclipse", r"eclipse public license" + _V + "1 0"),
+    ("epl-2.0", "eclipse", r"eclipse public license(?:" + _V + "2 0)?"),
+    ("eupl-1.2", "european", r"european union public licen[cs]e(?:" + _V + "1 2)?"),
+    ("gfdl-1.3", "documentation", r"gnu free documentation license(?:" + _V + "1 [1-3])?"),
+    ("gpl-1.0", "general", r"(?:gnu )?general public license" + _V + "1(?: 0)?" + _LATER),
+    ("gpl-2.0", "general", r"(?:gnu )?general public license" + _V + "2(?: 0)?" + _LATER),
+    ("gpl-3.0", "general", r"(?:gnu )?general public license" + _V + "3(?: 0)?" + _LATER),
+    ("gpl", "gpl", r"(?:gnu )?gpl(?:v[123]|" + _V + "[123](?: 0)?)?" + _LATER),
     ("isc", "isc", r"isc license"),
-    ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public license" + _V + " 2(?: 1)?" + _LATER),
-    ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public license" + _V + " 3(?: 0)?" + _LATER),
-    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?:v[23]|" + _V + " [23](?: [01])?)?" + _LATER),
-    ("lppl-1.3", "latex", r"latex project public license(?:" + _V + " 1 3[abc]?)?"),
+    ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public license" + _V + "2(?: 1)?" + _LATER),
+    ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public license" + _V + "3(?: 0)?" + _LATER),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?:v[23]|" + _V + "[23](?: [01])?)?" + _LATER),
+    ("lppl-1.3", "latex", r"latex project public license(?:" + _V + "1 3[abc]?)?"),
     ("mit", "mit", r"mit(?: x11| expat)?"),
-    ("mpl-1.1", "mozilla", r"mozilla public license" + _V + " 1 [01]"),
-    ("mpl-2.0", "mozilla", r"mozilla public license(?:" + _V + " 2(?: 0)?)?"),
+    ("mpl-1.1", "mozilla", r"mozilla public license" + _V + "1 [01]"),
+    ("mpl-2.0", "mozilla", r"mozilla public license(?:" + _V + "2(?: 0)?)?"),
     ("ms-pl", "microsoft", r"microsoft public license"),
-    ("odbl-1.0", "database", r"open (?:data commons )?(?:open )?database license(?:" + _V + " 1 0)?"),
-    ("ofl-1.1", "font", r"(?:sil )?open font license(?:" + _V + " 1 1)?"),
-    ("osl-3.0", "open", r"open software license(?:" + _V + " 3 0)?"),
-    ("php-3.01", "php", r"php license(?:" + _V + " 3 01?)?"),
-    ("psf-2.0", "python", r"python software foundation license(?:" + _V + " 2)?"),
+    ("odbl-1.0", "database", r"open (?:data commons )?(?:open )?database license(?:" + _V + "1 0)?"),
+    ("ofl-1.1", "font", r"(?:sil )?open font license(?:" + _V + "1 1)?"),
+    ("osl-3.0", "open", r"open software license(?:" + _V + "3 0)?"),
+    ("php-3.01", "php", r"php license(?:" + _V + "3 01?)?"),
+    ("psf-2.0", "python", r"python software foundation license(?:" + _V + "2)?"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
     ("wtfpl", "public", r"do what the fuck you want to public license"),
     ("zlib", "zlib", r"zlib(?: libpng)?"),

@@ -35,7 +35,8 @@ _CONTINUATION = bytes(range(0x80, 0xC0))
 
 @dataclass(frozen=True)
 class Limits:
-    """A document fails where a count passes its limit; a host where its shrunk rate does."""
+    """A document fails where a count passes its limit; a host where its shrunk rate passes both
+    its limit and the overall rate, by ``caution`` posterior standard deviations."""
 
     min_words: int = 20
     repeat_percent: int = 30
@@ -44,6 +45,7 @@ class Limits:
     min_word_length: int = 2
     max_word_length: int = 15
     host_rate: float = 0.50
+    caution: float = 2.0
     max_prior_weight: float = 1e6
 
 
@@ -115,10 +117,13 @@ def host_verdicts(judged: DataFrame, host: str, limits: Limits = DEFAULTS) -> Da
     ).otherwise(F.lit(limits.max_prior_weight))
     prior = moments.select(mean.alias("mean"), F.greatest(F.lit(0.0), weight).alias("weight"))
     rate = (f + F.col("mean") * F.col("weight")) / (n + F.col("weight"))
+    spread_of_rate = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (n + F.col("weight") + 1))
     return (
         hosts.join(F.broadcast(prior))  # one row
-        .select("host", "n_docs", "n_failed", rate.alias("rate"))
-        .withColumn("rejected", F.col("rate") > limits.host_rate)
+        .select("host", "n_docs", "n_failed", "mean", "weight", rate.alias("rate"))
+        .withColumn("least", F.col("rate") - limits.caution * spread_of_rate)
+        .withColumn("rejected", F.col("least") > F.greatest(F.lit(limits.host_rate), F.col("mean")))
+        .select("host", "n_docs", "n_failed", "rate", "rejected")
     )
 
 
