@@ -54,6 +54,32 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
+    """Sorted rows in batches that end where a run of equal values in the first ``keys``
+    columns ends, with the starts of the runs and the number of rows."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = pa.concat_batches([*rest, batch]) if rest else batch
+        starts = _starts(batch, keys)
+        last = starts[-1]
+        if last:
+            yield batch.slice(0, last), starts
+        rest = [batch.slice(last)]
+    if rest:
+        yield rest[0], [*_starts(rest[0], keys), rest[0].num_rows]
+
+
+def _starts(batch: pa.RecordBatch, keys: int) -> list[int]:
+    change = np.zeros(batch.num_rows, bool)
+    change[0] = True
+    for k in range(keys):
+        values = batch.column(k).to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change).tolist()
+
+
 def id_remainder(id_column: Column, divisor: int) -> Column:
     """crc32 of the identifier as text, modulo ``divisor``; a null identifier counts as ''."""
     as_text = F.coalesce(id_column.cast("string"), F.lit(""))

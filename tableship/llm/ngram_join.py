@@ -40,11 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from tableship.llm.common import IdMarks, packed, staged, texts
+from tableship.llm.common import IdMarks, packed, runs, staged, texts
 from tableship.llm.components import components
 
+#: Groups of at most so many rows are compared together with others.
+_FEW = 8
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-_BITMAP_WORDS = 16
 
 
 @dataclass(frozen=True)
@@ -102,16 +103,21 @@ def prefix(tokens: np.ndarray, percent: int, number: int, frequent=None) -> np.n
     if frequent is not None and len(frequent[0]):
         listed, counts = frequent
         at = np.minimum(np.searchsorted(listed, tokens), len(listed) - 1)
-        weight = np.where(listed[at] == tokens, counts[at], 0)
-        return tokens[np.lexsort((ranks, weight))[:p]]
+        often = listed[at] == tokens
+        # The top bit, then how often, then the rank: frequent tokens come last, by count.
+        weight = np.minimum(counts[at[often]], 2**31 - 1).astype(np.uint64)
+        ranks >>= np.uint64(1)
+        ranks[often] = np.uint64(2**63) | (weight << np.uint64(32)) | (ranks[often] >> np.uint64(31))
     return tokens[np.argpartition(ranks, p - 1)[:p]] if p < len(tokens) else tokens
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
     """Parity of the number of tokens per place: two bitmaps differ in no more places than
-    the sets differ in tokens."""
-    places = _order(tokens, 99) >> np.uint64(64 - 10)
-    odd = np.bincount(places.astype(np.int64), minlength=64 * _BITMAP_WORDS) & 1
+    the sets differ in tokens. It has 1,024 bits or, for large sets, about half as many as
+    tokens; the exclusive or of its halves is the bitmap of half the size."""
+    bits = max(1024, 1 << (len(tokens) // 2).bit_length())
+    places = _order(tokens, 99) & np.uint64(bits - 1)
+    odd = np.bincount(places.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
@@ -295,8 +301,8 @@ def _similar(firsts: DataFrame, options: Options) -> DataFrame:
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 3):
-            yield _edges(*_bitmap_forest(group, options))
+        for rows, starts in runs(batches, 3):
+            yield _edges(*_bitmap_pairs(rows, starts, options))
 
     return rows.mapInArrow(compare, "a long, b long").distinct()
 
@@ -325,8 +331,11 @@ def _links(
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 3):
-            yield _edges(*_verified_forest(group, options))
+        for rows, starts in runs(batches, 3):
+            for start, stop in zip(starts, starts[1:], strict=False):
+                if stop - start > 1:
+                    group = rows.slice(start, stop - start)
+                    yield _edges(*_verified_forest(group, options))
 
     return rows.mapInArrow(verify, "a long, b long")
 
@@ -381,36 +390,6 @@ def _block_pairs(rows: DataFrame, key: str, member: str, size: int) -> DataFrame
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with equal values in the first ``keys`` columns, also over batch ends. Runs
-    of two or more rows come whole; groups of single rows are skipped."""
-    rest: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        change[0] = last is None or any(c[0] != v for c, v in zip(columns, last, strict=True))
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        starts = np.flatnonzero(change).tolist()
-        last = [c[-1] for c in columns]
-        bounds = [*starts, batch.num_rows]
-        if bounds[0] > 0:
-            rest.append(batch.slice(0, bounds[0]))
-        for start, stop in zip(bounds, bounds[1:], strict=False):
-            if rest:
-                whole = pa.concat_batches(rest) if len(rest) > 1 else rest[0]
-                if whole.num_rows > 1:
-                    yield whole
-            rest = [batch.slice(start, stop - start)]
-    if rest:
-        whole = pa.concat_batches(rest) if len(rest) > 1 else rest[0]
-        if whole.num_rows > 1:
-            yield whole
-
-
 def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
@@ -441,21 +420,92 @@ def _apart(block: np.ndarray, low: int, high: int) -> np.ndarray | bool:
     return True if low == high else block[:, None] != block[None, :]
 
 
-def _bitmap_forest(group: pa.RecordBatch, options: Options) -> tuple[list[int], list[int]]:
-    ids = group.column(4).to_numpy()
-    n = group.column(5).to_numpy()
-    bits = np.frombuffer(b"".join(group.column(6).to_pylist()), np.uint64)
-    bits = bits.reshape(len(ids), _BITMAP_WORDS)
-    differ = np.bitwise_count(bits[:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-    total = n[:, None] + n[None, :]
-    t = options.percent
-    # 100 * shared >= t * (total - shared), with shared at most (total - differ) / 2.
-    near = (100 + t) * (total - differ) >= 2 * t * total
-    near &= (100 + t) * np.minimum(n[:, None], n[None, :]) >= t * total
-    near &= ids[:, None] != ids[None, :]
-    block = group.column(3).to_numpy()
-    near &= _apart(block, group.column(1)[0].as_py(), group.column(2)[0].as_py())
-    return _forest(ids, near)
+def _may_link(n: np.ndarray, m: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes that differ in at least so many tokens may be linked:
+    ``100 * shared >= t * (total - shared)`` with shared at most ``(total - differ) / 2``."""
+    total = n + m
+    shared = np.minimum(total - differ, 2 * np.minimum(n, m))
+    return (100 + percent) * shared >= 2 * percent * total
+
+
+def _bitmap_pairs(
+    rows: pa.RecordBatch, starts: list[int], options: Options
+) -> tuple[list[int], list[int]]:
+    """Pairs that may be linked, or a spanning forest of them, for each group of ``rows``.
+
+    Groups of a few rows, which most are, are compared all at once: each row with the next
+    one, the one after that and so on, as long as they are of one group.
+    """
+    ids, n = rows.column(4).to_numpy(), rows.column(5).to_numpy()
+    low, high, block = (rows.column(k).to_numpy() for k in (1, 2, 3))
+    maps = rows.column(6).to_pylist()
+    sizes = np.diff(starts)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    few = (sizes <= _FEW)[group]
+    a, b = [], []
+    for step in range(1, _FEW):
+        at = np.flatnonzero(few[:-step] & (group[step:] == group[:-step])) if step < len(ids) else []
+        if not len(at):
+            break
+        to = at + step
+        apart = (low[at] == high[at]) | (block[at] != block[to])
+        sized = _may_link(n[at], n[to], np.zeros(len(at), np.int64), options.percent)
+        pick = np.flatnonzero(apart & sized & (ids[at] != ids[to]))
+        at, to = at[pick], to[pick]
+        differ = _differences([maps[k] for k in at], [maps[k] for k in to])
+        near = _may_link(n[at], n[to], differ, options.percent)
+        a += ids[at[near]].tolist()
+        b += ids[to[near]].tolist()
+    for k in np.flatnonzero(sizes > _FEW).tolist():
+        part = slice(starts[k], starts[k + 1])
+        near = _near_bitmaps(n[part], maps[part], options.percent)
+        near &= ids[part, None] != ids[None, part]
+        near &= _apart(block[part], low[starts[k]], high[starts[k]])
+        more = _forest(ids[part], near)
+        a += more[0]
+        b += more[1]
+    return a, b
+
+
+def _differences(one: list[bytes], two: list[bytes]) -> np.ndarray:
+    """Places in which bitmaps differ, pair by pair; the larger is folded to the smaller."""
+    differ = np.zeros(len(one), np.int64)
+    kinds: dict[tuple[int, int], list[int]] = {}
+    for k, (x, y) in enumerate(zip(one, two, strict=True)):
+        kinds.setdefault((len(x), len(y)), []).append(k)
+    for (p, q), at in kinds.items():
+        x = _fold(np.frombuffer(b"".join([one[k] for k in at]), np.uint64).reshape(len(at), -1), q)
+        y = _fold(np.frombuffer(b"".join([two[k] for k in at]), np.uint64).reshape(len(at), -1), p)
+        differ[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return differ
+
+
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    while 8 * bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _near_bitmaps(n: np.ndarray, maps: list[bytes], percent: int) -> np.ndarray:
+    """All pairs of a block. Bitmaps of other than equal or adjacent sizes belong to sets too
+    different in size to be linked."""
+    near = np.zeros((len(n), len(n)), bool)
+    lengths = np.array([len(m) for m in maps])
+    for size in np.unique(lengths).tolist():
+        own = np.flatnonzero(lengths == size)
+        x = np.frombuffer(b"".join([maps[k] for k in own]), np.uint64).reshape(len(own), -1)
+        for other in (size, 2 * size):
+            to = np.flatnonzero(lengths == other)
+            if not len(to):
+                continue
+            y = np.frombuffer(b"".join([maps[k] for k in to]), np.uint64).reshape(len(to), -1)
+            y = _fold(y, size)
+            for row, k in enumerate(own):
+                differ = np.bitwise_count(x[row] ^ y).sum(axis=1, dtype=np.int64)
+                near[k, to] = _may_link(n[k], n[to], differ, percent)
+            near[np.ix_(to, own)] |= near[np.ix_(own, to)].T
+    return near
 
 
 def _verified_forest(group: pa.RecordBatch, options: Options) -> tuple[list[int], list[int]]:

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableship.llm.common import staged
-from tableship.llm.ngram_join import _groups
+from tableship.llm.common import runs, staged
 
 
 @dataclass(frozen=True)
@@ -200,9 +199,11 @@ def _bounds(entries: DataFrame, asked: DataFrame, options: Options) -> DataFrame
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["query_id", "number", "entry", "low", "high"]
-        for group in _groups(batches, 2):
-            for columns in _block_bounds(group, ranges.value, options):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        for part, starts in runs(batches, 2):
+            for start, stop in zip(starts, starts[1:], strict=False):
+                group = part.slice(start, stop - start)
+                for columns in _block_bounds(group, ranges.value, options):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return met.mapInArrow(
         compare, "query_id long, number long, entry long, low double, high double"
