@@ -22,9 +22,11 @@ other columns, so their names are free.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,22 +38,24 @@ from tableship.llm.common import slices, staged, texts
 
 #: The end of a text; no word is equal to it.
 END = b"\n"
-SHAPES = 50
+SHAPES = 25
 
 
 @dataclass(frozen=True)
 class Options:
     """``hidden``: size of the state; ``classes`` of ``members`` frequent words each;
     ``frequent``: share of all tokens from which on counts are broadcast; ``window``: tokens
-    through which gradients flow; ``batch``: documents side by side; ``first_share``: one in so
-    many documents trains the first round; ``rate``: step size."""
+    through which gradients flow; ``lanes``: documents side by side; ``held``: documents that
+    are dealt to the lanes at once; ``first_share``: one in so many documents trains the first
+    round; ``rate``: step size."""
 
     hidden: int = 16
-    classes: int = 32
-    members: int = 64
+    classes: int = 16
+    members: int = 96
     frequent: int = 1 << 18
     window: int = 16
-    batch: int = 512
+    lanes: int = 512
+    held: int = 8192
     first_share: int = 16
     rate: float = 0.05
 
@@ -64,7 +68,7 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def shape(word: bytes) -> int:
-    """Class of a word that has no place of its own: its letters, its end and its length."""
+    """Class of a word that has no place of its own: its letters and its end."""
     text = word.decode("utf-8", "replace")
     letters = 0
     if not word.isascii():
@@ -75,7 +79,7 @@ def shape(word: bytes) -> int:
     end = 0 if last.isalpha() else 1 if last == "." else 2 if last == "," else 3
     if end == 3 and last.isdigit():
         end = 4
-    return letters * 10 + end * 2 + (len(text) > 8)
+    return letters * 5 + end
 
 
 # Counts
@@ -215,14 +219,14 @@ class Model:
         mass = np.zeros(places)
         mass[: len(lex.core)] = lex.core_counts + 1
         member = np.full(places, -1e9)
-        member[: len(lex.core)] = np.log(mass[: len(lex.core)])
+        member[: len(lex.core)] = np.log(mass[: len(lex.core)] / mass.sum())
         groups = mass.reshape(options.classes, options.members).sum(axis=1)
         groups = np.concatenate([groups, lex.shape_counts + 1])
         arrays = [
             rng.normal(0, 0.1, (places + SHAPES, 3 * h)),
             rng.normal(0, 0.3 / np.sqrt(h), (h, 3 * h)),
             rng.normal(0, 0.1, (h, options.classes + SHAPES)),
-            np.log(np.maximum(groups, 1e-3)),
+            np.log(np.maximum(groups, 1e-3) / groups.sum()),
             rng.normal(0, 0.1, (options.classes, h, options.members)),
             member.reshape(options.classes, options.members),
         ]
@@ -241,23 +245,18 @@ class Model:
             at += a.size
         return Model(self.options, arrays)
 
-    def windows(self, batch: list[np.ndarray]) -> Iterator[tuple]:
-        """For documents sorted from long to short: per window the number of documents at each
-        step, the states before each step, the symbols, and what backpropagation needs."""
-        lengths = np.array([len(d) for d in batch])
+    def windows(self, lanes: Lanes, size: int) -> Iterator[tuple]:
+        """Per window the number of lanes at each step, the symbols, the states before them, and
+        what backpropagation needs."""
         h = self.options.hidden
-        state = np.zeros((len(batch), h), np.float32)
-        for start in range(0, int(lengths[0]) if len(batch) else 0, self.options.window):
-            stop = min(start + self.options.window, int(lengths[0]))
-            here = int((lengths > start).sum())
-            symbols = np.zeros((stop - start, here), np.int32)
-            for k in range(here):
-                part = batch[k][start:stop]
-                symbols[: len(part), k] = part
-            active = [int((lengths > t).sum()) for t in range(start, stop)]
+        state = np.zeros((lanes.symbols.shape[1], h), np.float32)
+        for start in range(0, len(lanes.active), size):
+            active = lanes.active[start : start + size]
+            symbols = lanes.symbols[start : start + len(active)]
+            going = lanes.going[start : start + len(active), :, None]
             steps = []
             for t, n in enumerate(active):
-                old = state[:n]
+                old = state[:n] * going[t, :n]  # a new document starts from nothing
                 given = self.inputs[symbols[t, :n]]
                 carried = old @ self.recurrent
                 gates = 1 / (1 + np.exp(-(given[:, : 2 * h] + carried[:, : 2 * h])))
@@ -267,7 +266,7 @@ class Model:
                 state = new + update * (old - new)
             flat = np.concatenate([symbols[t, :n] for t, n in enumerate(active)])
             before = np.concatenate([step[0] for step in steps])
-            yield active, flat, before, steps
+            yield start, active, flat, before, going, steps
 
     def outputs(self, symbols: np.ndarray, before: np.ndarray, gradients=None):
         """Natural log probability of each symbol given the state before it: of its class, and
@@ -279,9 +278,7 @@ class Model:
         group = np.where(core, symbols // o.members, o.classes + symbols - places)
         rows = np.arange(len(symbols))
         logits = before @ self.to_class + self.class_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        shares = np.exp(logits)
-        sums = shares.sum(axis=1, keepdims=True)
+        shares, sums = _exponentials(logits)
         logs = logits[rows, group] - np.log(sums[:, 0])
         back = None
         if gradients is not None:
@@ -300,9 +297,7 @@ class Model:
             member = symbols[at] - g * o.members
             state = before[at]
             logits = state @ self.to_member[g] + self.member_bias[g]
-            logits -= logits.max(axis=1, keepdims=True)
-            shares = np.exp(logits)
-            sums = shares.sum(axis=1, keepdims=True)
+            shares, sums = _exponentials(logits)
             line = np.arange(len(at))
             logs[at] += logits[line, member] - np.log(sums[:, 0])
             if gradients is not None:
@@ -313,11 +308,11 @@ class Model:
                 back[at] += shares @ self.to_member[g].T
         return logs, back
 
-    def train(self, batch: list[np.ndarray], squares: list[np.ndarray]) -> None:
-        """One pass over a batch; a step per window."""
+    def train(self, lanes: Lanes, squares: list[np.ndarray]) -> None:
+        """One pass over the lanes; a step per window."""
         h = self.options.hidden
-        for active, symbols, before, steps in self.windows(batch):
-            gradients = [np.zeros_like(a) for a in self.arrays()]
+        for _, active, symbols, before, going, steps in self.windows(lanes, self.options.window):
+            gradients = [None, *(np.zeros_like(a) for a in self.arrays()[1:])]
             _, back = self.outputs(symbols, before, gradients)
             given = np.empty((len(symbols), 3 * h), np.float32)
             ends = np.cumsum(active)
@@ -332,44 +327,90 @@ class Model:
                 through = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
                 gradients[1] += old.T @ through
                 given[ends[t] - n : ends[t]] = np.concatenate([d_update, d_reset, d_new], axis=1)
-                later[:n] = d * update + through @ self.recurrent.T + back[ends[t] - n : ends[t]]
+                d = d * update + through @ self.recurrent.T + back[ends[t] - n : ends[t]]
+                later[:n] = d * going[t, :n]
+            # Only the rows of symbols that occurred change.
             order = np.argsort(symbols, kind="stable")
-            kinds, first = np.unique(symbols[order], return_index=True)
-            gradients[0][kinds] = np.add.reduceat(given[order], first, axis=0)
-            for array, gradient, square in zip(self.arrays(), gradients, squares, strict=True):
+            ordered = symbols[order]
+            first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+            gradients[0] = np.add.reduceat(given[order], first, axis=0)
+            kinds = ordered[first]
+            for k, (array, gradient) in enumerate(zip(self.arrays(), gradients, strict=True)):
                 gradient /= len(symbols)
-                square += gradient * gradient
-                array -= self.options.rate * gradient / (np.sqrt(square) + 1e-6)
-
-    def log10s(self, batch: list[np.ndarray]) -> np.ndarray:
-        """Log10 probability of the symbols of each document (sorted from long to short)."""
-        sums = np.zeros(len(batch))
-        for active, symbols, before, _ in self.windows(batch):
+                rows = kinds if k == 0 else slice(None)
+                square = squares[k][rows] + gradient * gradient
+                squares[k][rows] = square
+                array[rows] -= self.options.rate * gradient / (np.sqrt(square) + 1e-6)
+
+    def log10s(self, lanes: Lanes) -> np.ndarray:
+        """Log10 probability of the symbols of each document of the lanes."""
+        sums = np.zeros(lanes.documents)
+        for start, active, symbols, before, _, _ in self.windows(lanes, 4 * self.options.window):
             logs, _ = self.outputs(symbols, before)
-            at = 0
-            for n in active:
-                sums[:n] += logs[at : at + n]
-                at += n
+            owner = lanes.owner[start : start + len(active)]
+            owner = np.concatenate([owner[t, :n] for t, n in enumerate(active)])
+            sums += np.bincount(owner, weights=logs, minlength=len(sums))
         return sums / np.log(10)
 
 
+@dataclass
+class Lanes:
+    """Documents dealt to lanes and set one after the other: symbols by step and lane, whether
+    a state goes on, whose symbol it is, and the number of lanes at each step."""
+
+    symbols: np.ndarray
+    going: np.ndarray
+    owner: np.ndarray
+    active: list[int]
+    documents: int
+
+    @classmethod
+    def of(cls, documents: list[np.ndarray], count: int) -> Lanes:
+        """The longest documents first, each to the shortest lane, so lanes end together."""
+        heap = [(0, k) for k in range(max(1, min(count, len(documents))))]
+        dealt: list[list[int]] = [[] for _ in heap]
+        for k in sorted(range(len(documents)), key=lambda k: -len(documents[k])):
+            size, lane = heap[0]
+            dealt[lane].append(k)
+            heapq.heapreplace(heap, (size + len(documents[k]), lane))
+        dealt.sort(key=lambda lane: -sum(len(documents[k]) for k in lane))
+        sizes = [sum(len(documents[k]) for k in lane) for lane in dealt]
+        shape_ = (sizes[0], len(dealt))
+        symbols, owner = np.zeros(shape_, np.int32), np.zeros(shape_, np.int32)
+        going = np.ones(shape_, np.float32)
+        for column, lane in enumerate(dealt):
+            at = 0
+            for k in lane:
+                stop = at + len(documents[k])
+                symbols[at:stop, column] = documents[k]
+                owner[at:stop, column] = k
+                going[at, column] = 0
+                at = stop
+        active = (len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")).tolist()
+        return cls(symbols, going, owner, active, len(documents))
+
+
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of rows and their sums. Logarithms of shares are small; only if they ever
+    are not, the largest of each row is taken off first."""
+    shares = np.exp(logits)
+    sums = shares.sum(axis=1, keepdims=True)
+    if not np.isfinite(sums).all() or not sums.all():
+        logits -= logits.max(axis=1, keepdims=True)
+        shares = np.exp(logits)
+        sums = shares.sum(axis=1, keepdims=True)
+    return shares, sums
+
+
 def _symbols(lex: Lexicon, words: list[bytes], places: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of the words, and their numbers in the lexicon (-1: rare)."""
-    get = lex.numbers.get
-    numbers = np.array([get(w, -1) for w in words], np.int64)
+    numbers = np.fromiter(map(lex.numbers.get, words, repeat(-1)), np.int32, len(words))
     symbols = lex.symbols[numbers]
     for k in np.flatnonzero(numbers < 0).tolist():
         symbols[k] = places + shape(words[k])
     return symbols, numbers
 
 
-def _long_first(documents: list[np.ndarray], size: int) -> Iterator[tuple[list[int], list]]:
-    order = sorted(range(len(documents)), key=lambda k: -len(documents[k]))
-    for start in range(0, len(order), size):
-        chosen = order[start : start + size]
-        yield chosen, [documents[k] for k in chosen]
-
-
 def train(
     docs: DataFrame, training: Column, lex: Lexicon, text: str = "text", options: Options = DEFAULTS
 ) -> Model:
@@ -387,11 +428,10 @@ def train(
             own = given.value.load(np.frombuffer(given.value.dump(), "<f4"))
             squares = [np.full_like(a, 1e-3) for a in own.arrays()]
             places, tokens = options.classes * options.members, 0
-            for batch in slices(batches, 4 * options.batch):
+            for batch in slices(batches, options.held):
                 found = [_symbols(words.value, words_of(raw), places)[0] for raw in texts(batch)]
                 tokens += sum(map(len, found))
-                for _, documents in _long_first(found, options.batch):
-                    own.train(documents, squares)
+                own.train(Lanes.of(found, options.lanes), squares)
             if tokens:
                 yield _weighted([np.frombuffer(own.dump(), "<f4")], [tokens])
 
@@ -445,7 +485,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         key = (context.partitionId() if context else 0) << 40
-        for batch in slices(batches, 4 * options.batch):
+        for batch in slices(batches, options.held):
             yield _scored(batch, key, words.value, model.value, base)
             key += batch.num_rows
 
@@ -499,8 +539,7 @@ def _scored(batch: pa.RecordBatch, key: int, lex: Lexicon, model: Model, base: f
         rare = Counter(words[k] for k in np.flatnonzero(~frequent).tolist())
         rares.append([{"word": w, "n": n} for w, n in rare.items()])
     scores = np.array(extra)
-    for chosen, documents in _long_first(symbols, o.batch):
-        scores[chosen] += model.log10s(documents)
+    scores += model.log10s(Lanes.of(symbols, o.lanes))
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
     return pa.RecordBatch.from_arrays(
         [

@@ -106,7 +106,7 @@ def test_order_helps_the_model(spark):
         return " ".join(words)
 
     docs = spark.createDataFrame([full(k, chain(k)) for k in range(900)], SCHEMA).repartition(2)
-    scored = gated_lm.score(docs, F.col("doc_id") % 7 != 2, options=gated_lm.Options(batch=64, first_share=4))
+    scored = gated_lm.score(docs, F.col("doc_id") % 7 != 2, options=gated_lm.Options(lanes=64, first_share=4))
     row = scored.where("NOT trains").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).head()
     assert row.s > 0.75 * row.b  # logarithms: less is worse
 
@@ -134,15 +134,14 @@ def test_gradients_equal_differences():
     )
     options = gated_lm.Options(hidden=3, classes=2, members=2, window=8)
     start = gated_lm.Model.start(lex, options)
-    batch = [rng.integers(0, 6, n).astype(np.int32) for n in (8, 5)]
-    tokens = sum(map(len, batch))
+    documents = [rng.integers(0, 6, n).astype(np.int32) for n in (8, 5, 3)]
+    tokens = sum(map(len, documents))
+    batch = gated_lm.Lanes.of(documents, 2)
+    assert batch.active == [2] * 8
 
     def loss(model):
         return -model.log10s(batch).sum() * np.log(10) / tokens
 
-    class Kept(gated_lm.Model):
-        pass
-
     squares = [np.full_like(a, 1e12) for a in start.arrays()]  # one step of gradient / 1e6
     model = start.load(np.frombuffer(start.dump(), "<f4"))
     before = [a.astype(float) for a in model.arrays()]
