@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 
 from tableship.functions.columns import unused_name
 from tableship.functions.hashing import hash_total, row_hash
-from tableship.functions.paths import dataset_path, inside, new_version
+from tableship.functions.paths import dataset_path, default_store, inside, new_version
 from tableship.operators.layout import (
-    FILE_BYTES,
-    ROW_RULE_LIMIT,
     ROWS_PER_FILE,
     arrange_ordered,
     arrange_unordered,
@@ -51,13 +49,16 @@ def export_dataset(
     order_by: str | None = None,
     tie_break: list[str] | tuple[str, ...] = (),
     rows_per_file: int = ROWS_PER_FILE,
-    file_bytes: int = FILE_BYTES,
-    mode: str = "overwrite",
+    file_bytes: int | None = None,
+    ranges: int | None = None,
+    mode: str = "errorifexists",
 ) -> Export:
     """Write ``source`` to ``{root}/{name}/{version}`` as snappy Parquet.
 
     With ``order_by`` the files hold consecutive ranges, newest rows first; this costs a
-    range shuffle. Without it rows stay where the scan put them.
+    range shuffle into ``ranges`` partitions (by default one per file; fewer are cut into
+    files by the writer). Without it one even shuffle gives each file its share. A version
+    that is already there is never overwritten unless ``mode`` says so.
 
     Passes over the source: one count (answered from Parquet footers), the sampling
     pass of the range shuffle where ordered, and the write. Row count and content hash
@@ -65,24 +66,29 @@ def export_dataset(
     """
     version = version or new_version()
     path = dataset_path(root, name, version)
-    if source.location and (inside(path, source.location) or inside(source.location, path)):
+    spark = source.frame.sparkSession
+    store = default_store(spark)
+    if source.location and (
+        inside(path, source.location, store) or inside(source.location, path, store)
+    ):
         raise ValueError(f"{path} overlaps the source {source.location}")
 
     source = stage(source)
     df = source.frame
-    spark = df.sparkSession
     rows = df.count()
     if rows == 0:
         raise EmptySourceError(f"no rows in {source.label}")
 
     total_bytes = None
-    if source.location and rows // rows_per_file > ROW_RULE_LIMIT:
+    if file_bytes is not None:
         total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
     files = target_files(rows, rows_per_file, total_bytes, file_bytes)
+    ranges = min(files, ranges or files)
 
     if order_by:
-        arranged = arrange_ordered(df, files, order_by, tie_break)
+        arranged = arrange_ordered(df, ranges, order_by, tie_break)
     else:
+        ranges = files
         arranged = arrange_unordered(df, files)
 
     # Observed last, right under the write: earlier it would also see the sampling pass,
@@ -98,7 +104,7 @@ def export_dataset(
         observed.drop(hash_name)
         .write.mode(mode)
         .option("compression", "snappy")
-        .option("maxRecordsPerFile", rows_cap(rows, files))
+        .option("maxRecordsPerFile", rows_cap(rows, files, ranges))
     )
     with timestamp_statistics(spark):
         writer.parquet(path)

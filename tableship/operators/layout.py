@@ -6,72 +6,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableship.functions.columns import newest_first, unused_name
-from tableship.session import MIB
 
 # Fixed value: rows per output file.
 ROWS_PER_FILE = 100_000
-FILE_BYTES = 128 * MIB
-ROW_RULE_LIMIT = 1_000
-RANGE_LIMIT = 20_000
 
 
 def target_files(
     rows: int,
     rows_per_file: int = ROWS_PER_FILE,
     total_bytes: int | None = None,
-    file_bytes: int = FILE_BYTES,
-    row_rule_limit: int = ROW_RULE_LIMIT,
+    file_bytes: int | None = None,
 ) -> int:
-    """Number of output files.
-
-    The row rule is one file for each ``rows_per_file`` rows, at least one. On a very
-    large table of narrow rows it would give millions of small files, so where it
-    passes ``row_rule_limit`` files and the size is known, files of ``file_bytes``
-    bound the number.
-    """
-    files = max(1, rows // rows_per_file)
-    if total_bytes is None or files <= row_rule_limit:
-        return files
-    return min(files, max(row_rule_limit, -(-total_bytes // file_bytes)))
+    """Number of output files, by one rule at every size: one for each ``rows_per_file`` rows,
+    at least one; or, where ``file_bytes`` is given, one for each of so many of
+    ``total_bytes``, and never more than rows."""
+    if file_bytes is None:
+        return max(1, rows // rows_per_file)
+    if total_bytes is None:
+        raise ValueError("file_bytes needs total_bytes")
+    return max(1, min(rows, -(-total_bytes // file_bytes)))
 
 
 def arrange_ordered(
-    df: DataFrame, files: int, order_by: str, tie_break: list[str] | tuple[str, ...] = ()
+    df: DataFrame, ranges: int, order_by: str, tie_break: list[str] | tuple[str, ...] = ()
 ) -> DataFrame:
-    """Partitions of consecutive ranges of ``order_by``, newest first, each sorted.
+    """``ranges`` partitions of consecutive ranges of ``order_by``, newest first, each sorted.
 
-    Written out, file ``i`` holds no older rows than file ``i + 1``. There is a partition
-    for each of ``files``, up to ``RANGE_LIMIT``: a shuffle has a block for every pair of
-    tasks, and beyond that each sorted partition rather is cut into several files by the
-    writer. Below the keys the ranges are cut by a running number, so neither one time nor
-    one row repeated for a third of the table ends up in one partition. A repeated task
-    must number its rows as before, so ``df`` has to be a plain file scan (see ``stage``).
+    Written out, file ``i`` holds no older rows than file ``i + 1``. Below the keys the
+    ranges are cut by a running number, so neither one time nor one row repeated for a third
+    of the table ends up in one partition. A repeated task must number its rows as before, so
+    ``df`` has to be a plain file scan (see ``stage``).
     """
     keys = newest_first(order_by, list(tie_break))
     row_no = unused_name(df, "_row_no")
     return (
         df.withColumn(row_no, F.monotonically_increasing_id())
-        .repartitionByRange(min(files, RANGE_LIMIT), *keys, row_no)
+        .repartitionByRange(ranges, *keys, row_no)
         .sortWithinPartitions(*keys)
         .drop(row_no)
     )
 
 
 def arrange_unordered(df: DataFrame, files: int) -> DataFrame:
-    """Partitions for a write without an order; ``df`` has to be a plain file scan.
-
-    A scan is already split evenly by bytes, so where it has about as many splits as
-    files are wanted (or fewer) it is written as it is: no shuffle. Where it has far more,
-    the files would be small, and an even shuffle evens them out. ``coalesce`` is not
-    used: it would pull the scan itself into as few tasks as there are files.
-    """
-    if df.rdd.getNumPartitions() > 2 * files:
-        return df.repartition(files)
-    return df
+    """``files`` partitions of nearly equal size, by one even shuffle; ``df`` has to be a plain
+    file scan. ``coalesce`` is not used: it would pull the scan itself into as few tasks as
+    there are files."""
+    return df.repartition(files)
 
 
-def rows_cap(rows: int, files: int) -> int:
-    """Most rows in one file: twice the even share where each file has its own partition,
-    which are never quite even; the even share where a partition is cut into files."""
-    slack = 2 if files <= RANGE_LIMIT else 1
-    return max(1, -(-slack * rows // files))
+def rows_cap(rows: int, files: int, ranges: int) -> int:
+    """Most rows in one file: 0, no cap, where each file has a partition of its own; the even
+    share where a caller asks for fewer ranges, which are then cut by the writer."""
+    return 0 if ranges >= files else max(1, -(-rows // files))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +17,6 @@ from tableship.functions.columns import (
 from tableship.functions.hashing import row_hash
 from tableship.session import sibling_session
 
-PRUNE_BYTES = 1 << 30
-PRUNED_FILES = 1_000
-
 
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows"))
@@ -111,16 +107,13 @@ def recent_records(
     time_column: str,
     k: int = 10,
     tie_break: list[str] | tuple[str, ...] | None = None,
-    prune: bool | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """The ``k`` newest rows. Ties fall to ``tie_break`` (descending), without one to the row hash.
 
-    On a large table the ``k`` newest times and the files that hold them are looked up
-    first, reading that one column; the wide scan then opens only these files.
-    ``prune`` forces or forbids this; by default it is used from 1 GiB upwards.
+    ``prune`` looks up the ``k`` newest times first, reading that one column; the wide scan
+    then skips the files and row groups that are older by their statistics.
     """
-    if prune is None:
-        prune = planned_bytes(df) >= PRUNE_BYTES
     if prune:
         df = _at_least_kth_newest(df, time_column, k)
     keys = newest_first(time_column, list(tie_break or ()))
@@ -138,20 +131,7 @@ def _at_least_kth_newest(df: DataFrame, time_column: str, k: int) -> DataFrame:
     bound = newest.agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")).first()
     if bound["n"] < k:
         return df
-    df = df.where(c >= F.lit(bound["t"]))
-    try:
-        files = df.select(F.col("_metadata.file_path").alias("file")).distinct()
-    except AnalysisException:
-        return df  # not a scan of files
-    names = [r["file"] for r in files.limit(PRUNED_FILES + 1).collect()]
-    if len(names) > PRUNED_FILES:
-        return df  # very many rows share the newest times: the bound alone has to do
-    return df.where(F.col("_metadata.file_path").isin(names))
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Size of a plan's output as the optimizer estimates it; for a file scan, its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.where(c >= F.lit(bound["t"]))
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

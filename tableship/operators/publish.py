@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableship.functions.columns import quoted
-from tableship.functions.paths import dataset_path, new_version
+from tableship.functions.paths import dataset_path, new_version, version_of
 from tableship.operators.profile import temporal_aggregates
 from tableship.operators.reconcile import same_schema
 from tableship.session import timestamp_statistics
@@ -48,6 +48,8 @@ def publish_table(
     """
     if (path is None) == (frame is None):
         raise ValueError("give exactly one of path and frame")
+    if spark.catalog.tableExists(table) and table_kind(spark, table)[0] in _VIEWS:
+        raise ValueError(f"{table} is a view; drop it or publish under another name")
     ensure_namespace(spark, table)
 
     if provider != "parquet":
@@ -60,10 +62,10 @@ def publish_table(
         writer.createOrReplace()
         return table
 
-    version = version or new_version()
     if frame is not None:
         if root is None:
             raise ValueError("a frame needs a root folder to be written to")
+        version = version or new_version()
         path = dataset_path(root, table, version)
         with timestamp_statistics(spark):
             frame.write.mode("errorifexists").parquet(path)
@@ -71,24 +73,18 @@ def publish_table(
     if validate_source:
         require_rows(data, path)
 
+    version = version or version_of(path)
     exists = spark.catalog.tableExists(table)
     kept = table_properties(spark, table) if exists else {}
     wanted = {**kept, **(properties or {}), "tableship.version": version}
-    external = exists and spark.catalog.getTable(table).tableType == "EXTERNAL"
-    if external and same_schema(spark.table(table), data):
-        set_table_properties(spark, table, wanted)
+    kind, stored_as = table_kind(spark, table) if exists else (None, None)
+    external = kind == "EXTERNAL"
+    if external and stored_as == "parquet" and same_schema(spark.table(table), data):
+        # The location is the switch; properties only describe what is there already.
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+        set_table_properties(spark, table, wanted)
     elif exists:
-        # A new location cannot change columns, so a second entry takes the name over. No
-        # files are deleted: those of an external table outlive its entry, and a managed
-        # table is put aside under another name.
-        suffix = uuid.uuid4().hex[:8]
-        _create_table(spark, f"{table}__new_{suffix}", path, wanted)
-        if external:
-            spark.sql(f"DROP TABLE {table}")
-        else:
-            spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old_{suffix}")
-        spark.sql(f"ALTER TABLE {table}__new_{suffix} RENAME TO {table}")
+        _swap(spark, table, path, wanted, drop_old=external)
     else:
         _create_table(spark, table, path, wanted)
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
@@ -97,6 +93,41 @@ def publish_table(
     return path
 
 
+_VIEWS = ("VIEW", "TEMPORARY")
+
+
+def table_kind(spark: SparkSession, table: str) -> tuple[str, str]:
+    """Type of a table (``EXTERNAL``, ``MANAGED``, ``VIEW``, ``TEMPORARY``) and the format of its
+    files in lower case."""
+    kind = spark.catalog.getTable(table).tableType
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").head(1)
+    return kind, rows[0]["data_type"].lower() if rows else ""
+
+
+def _swap(
+    spark: SparkSession, table: str, path: str, properties: dict[str, str], drop_old: bool
+) -> None:
+    """A new entry takes the name over, since a new location can change neither columns nor
+    the format. The old entry is put aside first and, if external, dropped last; an error on
+    the way gives it its name back. No files are deleted: those of an external table outlive
+    its entry, and a managed table stays under its other name."""
+    suffix = uuid.uuid4().hex[:8]
+    old, new = f"{table}__old_{suffix}", f"{table}__new_{suffix}"
+    _create_table(spark, new, path, properties)
+    try:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    if drop_old:
+        spark.sql(f"DROP TABLE {old}")
+
+
 def _create_table(spark: SparkSession, table: str, path: str, properties: dict[str, str]) -> None:
     spark.sql(
         f"CREATE TABLE {table} USING PARQUET LOCATION {_text(path)} "

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableship.functions.paths import inside, plain_name, plain_path
-from tableship.session import timestamp_statistics
+from tableship.functions.paths import default_store, inside, plain_name, plain_path, store_of
+from tableship.session import sibling_session, timestamp_statistics
 from tableship.sources.manifest import file_manifest
 from tableship.sources.resolve import read_dataset
 
@@ -36,17 +37,26 @@ def transfer_dataset(
     """Copy the Parquet dataset ``source`` to ``target``.
 
     ``rewrite`` reads and writes rows: any file system Spark reaches, small files are
-    merged and large ones split at row groups. Returns the copy as a DataFrame.
+    merged and large ones split at row groups. Partition directories keep their layout and
+    their values as text, so ``'007'`` stays that. A target that is there already is refused.
+    Returns the copy as a DataFrame.
     ``files`` copies bytes, for folders that all executors mount: see ``copy_files``.
     Returns one outcome row per file.
     """
-    if inside(target, source) or inside(source, target):
+    store = default_store(spark)
+    if inside(target, source, store) or inside(source, target, store):
         raise ValueError(f"{target} overlaps {source}")
     if mode == "rewrite":
-        rows = read_dataset(spark, source, merge_schema)
-        with timestamp_statistics(spark):
-            rows.write.mode("overwrite").parquet(target)
-        return spark.read.parquet(target)
+        as_text = {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}
+        session = sibling_session(spark, **as_text)
+        rows = read_dataset(session, source, merge_schema)
+        # A scan that lists all files on its own does not see partition columns.
+        stored = session.read.option("recursiveFileLookup", "true").parquet(source).columns
+        partitions = [c for c in rows.columns if c not in stored]
+        with timestamp_statistics(session):
+            writer = rows.write.mode("errorifexists")
+            (writer.partitionBy(*partitions) if partitions else writer).parquet(target)
+        return session.read.parquet(target)
     if mode == "files":
         return copy_files(spark, source, target, strict=strict, **options)
     raise ValueError(f"unknown mode {mode!r}")
@@ -61,6 +71,7 @@ def copy_files(
     split_bytes: int = SPLIT_BYTES,
     attempts: int = 3,
     check_content: bool = True,
+    replace: bool = False,
 ) -> DataFrame:
     """Byte copy of every visible file below ``source``, one outcome row per file.
 
@@ -68,9 +79,26 @@ def copy_files(
     huge file is spread over many tasks. Chunks land in a hidden file beside the final
     name; once all chunks of a file are there it is renamed, so a reader never sees half
     a file and a repeated task only writes the same bytes again. ``check_content`` reads
-    every chunk back. Outcomes are kept in ``{target}/_transfer``.
+    every chunk back in a second job, so that a file with a hole is not finished. Outcomes are
+    kept in ``{target}/_transfer``.
+
+    Both folders have to be mounted by the driver and all executors: other schemes than
+    ``file`` are refused, and every task looks for a mark the driver has left in the target.
+    A target with visible files the source does not have is refused unless ``replace`` is set
+    (they then stay beside the copied ones), as is a source with hidden data such as a
+    table's log, which a copy of visible files would leave behind.
     """
+    store = default_store(spark)
+    for place in (source, target):
+        if store_of(place, store) != "file://":
+            raise ValueError(f"{place} is not a mounted folder; use mode='rewrite'")
+    _refuse_hidden_folders(plain_path(source))
     manifest = file_manifest(spark, source, include_empty=True)
+    if not replace and os.path.isdir(plain_path(target)):
+        there = file_manifest(spark, target, include_empty=True)
+        strange = there.join(manifest, "rel_path", "left_anti").select("rel_path").head(1)
+        if strange:
+            raise TransferError(f"{target} holds other files, such as {strange[0]['rel_path']}")
     starts = F.sequence(
         F.lit(0).cast("bigint"),
         F.greatest(F.col("length") - 1, F.lit(0)),
@@ -85,13 +113,23 @@ def copy_files(
     log = f"{target.rstrip('/')}/{LOG_FOLDER}/{transfer_id}"
     root = plain_path(target)
     tasks = _task_count(spark, chunks)
+    mark = os.path.join(root, LOG_FOLDER, f"mark-{transfer_id}")
+    os.makedirs(os.path.dirname(mark), exist_ok=True)
+    with open(mark, "w") as file:
+        file.write(transfer_id)
 
-    copier = _chunk_copier(root, transfer_id, attempts, check_content)
+    copier = _chunk_copier(root, transfer_id, attempts, mark)
     copied = chunks.repartition(tasks).mapInPandas(copier, CHUNK_OUTCOME)
     copied.write.parquet(f"{log}/chunks")
 
     # The log is read back, so nothing below can trigger the copy a second time.
     arrived = spark.read.schema(CHUNK_OUTCOME).parquet(f"{log}/chunks")
+    if check_content:
+        read_back = arrived.repartition(tasks).mapInPandas(
+            _chunk_checker(root, transfer_id), CHUNK_OUTCOME
+        )
+        read_back.write.parquet(f"{log}/checked")
+        arrived = spark.read.schema(CHUNK_OUTCOME).parquet(f"{log}/checked")
     per_file = arrived.groupBy("rel_path").agg(
         F.sum("size").alias("bytes"),
         F.count(F.lit(1)).alias("chunks"),
@@ -131,11 +169,62 @@ def _task_count(spark: SparkSession, chunks: DataFrame) -> int:
     return max(1, min(totals["n"], wanted))
 
 
-# The two functions below run inside tasks. They import what they need themselves, so
+#: Folders that Spark jobs leave in a dataset and that hold no data.
+_MARKERS = ("_temporary", LOG_FOLDER, "_committed", "_started")
+
+
+def _refuse_hidden_folders(root: str) -> None:
+    """Look at folders only, one at a time; their files are left to the manifest."""
+    if not os.path.isdir(root):
+        return
+    for folder, below, _ in os.walk(root):
+        hidden = [d for d in below if d[0] in "._" and "=" not in d and d not in _MARKERS]
+        if hidden:
+            raise TransferError(f"{folder}/{hidden[0]} would be left behind by a copy of files")
+        below[:] = [d for d in below if d not in _MARKERS]
+
+
+# The functions below run inside tasks. They import what they need themselves, so
 # that workers do not need this package on their path.
 
 
-def _chunk_copier(target_root, transfer_id, attempts, check_content):
+def _chunk_checker(target_root, transfer_id):
+    def check_batches(batches):
+        import hashlib
+        import os
+
+        import pandas as pd
+
+        def check(rel_path, start, size, sha256, error):
+            if isinstance(error, str):
+                return error
+            folder, name = os.path.split(os.path.join(target_root, rel_path))
+            sha = hashlib.sha256()
+            try:
+                with open(os.path.join(folder, f".{name}.{transfer_id}"), "rb") as f:
+                    f.seek(start)
+                    left = size
+                    while left and (data := f.read(min(8 << 20, left))):
+                        sha.update(data)
+                        left -= len(data)
+            except OSError as e:
+                return f"{type(e).__name__}: {e}"
+            if left or sha.hexdigest() != sha256:
+                return f"{rel_path} differs from its source at {start}"
+            return None
+
+        columns = ["rel_path", "start", "size", "sha256", "error"]
+        for batch in batches:
+            rows = [
+                (r, int(a), int(n), h, check(r, int(a), int(n), h, e))
+                for r, a, n, h, e in zip(*(batch[c] for c in columns))
+            ]
+            yield pd.DataFrame(rows, columns=columns)
+
+    return check_batches
+
+
+def _chunk_copier(target_root, transfer_id, attempts, mark):
     def copy_batches(batches):
         import hashlib
         import os
@@ -154,13 +243,16 @@ def _chunk_copier(target_root, transfer_id, attempts, check_content):
                     size -= len(data)
                     yield data
 
-        def digest(path, start, size):
-            sha = hashlib.sha256()
-            for data in blocks(path, start, size):
-                sha.update(data)
-            return sha.hexdigest()
+        def shared():
+            try:
+                with open(mark) as f:
+                    return f.read() == transfer_id
+            except OSError:
+                return False
 
         def copy(rel_path, source, start, size):
+            if not shared():
+                raise OSError(f"{target_root} here is not the folder the driver sees")
             final = os.path.join(target_root, rel_path)
             folder, name = os.path.split(final)
             part = os.path.join(folder, f".{name}.{transfer_id}")
@@ -178,8 +270,6 @@ def _chunk_copier(target_root, transfer_id, attempts, check_content):
                 os.fsync(out)
             finally:
                 os.close(out)
-            if check_content and digest(part, start, size) != sha.hexdigest():
-                raise OSError(f"{part} differs from its source at {start}")
             return sha.hexdigest()
 
         def outcome(rel_path, source, start, size):

@@ -49,6 +49,9 @@ def migrate(
     ``check_export`` adds a read-back of the export before the copy. ``transfer_mode="none"``
     leaves the copy out, for a target that can read the export where it is. ``check_ids=False``
     leaves out the distinct count of ids, the one check that shuffles a value of every row.
+
+    Neither export nor copy ever writes into a folder that is there already, so the rows a
+    live table shows stay as they are until the switch.
     """
     export = export_dataset(
         source,
@@ -72,7 +75,7 @@ def migrate(
         check_ids=check_ids,
         expected_rows=export.row_count,
         expected_hash=export.content_hash,
-        expected_columns=source.frame.columns,
+        expected_schema=source.frame.schema,
     )
     failed = [r["check_name"] for r in report.where("NOT passed").collect()]
     if failed and strict:

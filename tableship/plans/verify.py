@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tableship.functions.columns import col, day_of
 from tableship.functions.hashing import fingerprint, hash_total, row_hash
@@ -19,13 +20,15 @@ REPORT = "check_name string, passed boolean, detail string"
 
 
 def profile_source(source: Source) -> DataFrame:
-    """One row ``source, row_count, column_count, content_hash``; an empty source raises."""
+    """One row ``source, row_count, column_count, content_hash, table_schema``; an empty source
+    raises. Some rows of it are shown by ``preview(sample_rows(...))``."""
     df = require_rows(source.frame, source.label)
     return fingerprint(df).select(
         F.lit(source.label).alias("source"),
         "row_count",
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
         "content_hash",
+        F.lit(df.schema.simpleString()).alias("table_schema"),
     )
 
 
@@ -79,15 +82,18 @@ def verification_report(
     expected_rows: int | None = None,
     expected_hash: Decimal | None = None,
     expected_columns: list[str] | None = None,
+    expected_schema: StructType | None = None,
     recent: int = 5,
 ) -> DataFrame:
     """One row per check of a table; a check that fails with an error is a failed row and
     does not stop the others.
 
-    ``row_count``: not empty and as expected. ``table_schema``: columns as expected.
-    ``recent_records``: the newest rows can be read. ``date_range``: some row has a time.
-    ``date_distribution``: the days add up to all rows. With an ``id_column``,
-    ``unique_ids``: no id twice. With an ``expected_hash``, ``content``: same rows.
+    ``row_count``: not empty and as expected. ``table_schema``: columns have the expected
+    names, with an ``expected_schema`` the expected types too. ``recent_records``: the newest
+    rows can be read with all their columns, and are those the time range ends with.
+    ``date_range``: some row has a time. ``date_distribution``: the rows that have a day are
+    all rows. With an ``id_column``, ``unique_ids``: no id twice. With an ``expected_hash``,
+    ``content``: same rows. Counts, range, days and hash come from one scan.
     """
     spark = df.sparkSession
     found: dict[str, object] = {}
@@ -98,7 +104,11 @@ def verification_report(
             wanted = [F.count(F.lit(1)).alias("rows")]
             if time_column in df.columns:
                 c = col(time_column)
-                wanted += [F.min(c).alias("earliest"), F.max(c).alias("latest")]
+                wanted += [
+                    F.min(c).alias("earliest"),
+                    F.max(c).alias("latest"),
+                    F.count(day_of(df, time_column)).alias("dated"),
+                ]
             if expected_hash is not None:
                 wanted.append(hash_total(row_hash(df)).alias("content_hash"))
             found.update(df.agg(*wanted).first().asDict())
@@ -112,24 +122,25 @@ def verification_report(
 
     def check_schema():
         described = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-        return expected_columns is None or df.columns == expected_columns, described
+        as_named = expected_columns is None or df.columns == expected_columns
+        typed = lambda s: [(f.name, f.dataType.simpleString()) for f in s]
+        as_typed = expected_schema is None or typed(df.schema) == typed(expected_schema)
+        return as_named and as_typed, described
 
     def check_recent():
         newest = recent_records(df, time_column, recent, [id_column] if id_column else None)
-        readable = len(newest.select(col(time_column).alias("t")).collect())
-        wanted = min(recent, totals()["rows"])
-        return readable == wanted, f"{readable} of {wanted} newest rows"
+        rows = newest.collect()  # at most ``recent`` rows, read in full
+        wanted, latest = min(recent, totals()["rows"]), totals()["latest"]
+        newest_first = bool(rows) and rows[0][time_column] == latest
+        return len(rows) == wanted and newest_first, f"{len(rows)} of {wanted} newest rows"
 
     def check_range():
         seen = totals()
         return seen["earliest"] is not None, f"{seen['earliest']} to {seen['latest']}"
 
     def check_days():
-        per_day = df.groupBy(day_of(df, time_column).alias("day")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        days = per_day.agg(F.count("day").alias("days"), F.sum("n").alias("n")).first()
-        return (days["n"] or 0) == totals()["rows"], f"{days['days']:,} days"
+        seen = totals()
+        return seen["dated"] == seen["rows"], f"{seen['dated']:,} of {seen['rows']:,} rows have a day"
 
     def check_unique():
         rows = totals()["rows"]

@@ -27,16 +27,18 @@ def get_session(app_name: str = "tableship", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def cluster_conf(data_bytes: int) -> dict[str, str]:
+def cluster_conf(
+    data_bytes: int, max_reducers: int = 20_000, max_splits: int = 200_000
+) -> dict[str, str]:
     """Settings for moving ``data_bytes``.
 
     A shuffle has a block for every pair of map and reduce tasks. Reduce tasks are
     planned for 128 MiB each and map tasks likewise, until there would be more than
-    20,000 and 200,000 of them; from there on tasks grow instead. AQE merges what turns
-    out small.
+    ``max_reducers`` and ``max_splits`` of them; from there on tasks grow instead. AQE merges
+    what turns out small.
     """
-    reducers = min(max(200, -(-data_bytes // (128 * MIB))), 20_000)
-    split = min(max(128 * MIB, -(-data_bytes // 200_000)), 1024 * MIB)
+    reducers = min(max(200, -(-data_bytes // (128 * MIB))), max_reducers)
+    split = max(128 * MIB, -(-data_bytes // max_splits))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),

@@ -10,7 +10,7 @@ from tableship.functions.paths import (
     file_name,
     megabytes_of,
     path_version,
-    plain_name,
+    plain_path,
     relative_path,
 )
 from tableship.session import sibling_session
@@ -24,8 +24,8 @@ def file_manifest(
 
     Markers and other hidden files are left out. A missing path raises. Contents are
     never read: only ``path``, ``length`` and the time are selected. A scan passes over
-    files of zero bytes; ``include_empty`` adds them, without a time. Only if the listing
-    names more files than the scan finds, its names are fetched to tell which.
+    files of zero bytes; ``include_empty`` adds them, without a time, for folders that all
+    executors mount: tasks look through the folders below ``path`` for them.
     """
     # Scans are split by file size, so a listing of 100 TB would be planned as hundreds of
     # thousands of tasks although it opens no file; a cap keeps it at a few per core.
@@ -36,12 +36,8 @@ def file_manifest(
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
     found = files.select("path", "length", "modificationTime")
-    if include_empty and len(files._jdf.inputFiles()) > found.count():
-        names = session.createDataFrame([(name,) for name in files.inputFiles()], "encoded string")
-        listed = names.select(decoded_path("encoded").alias("path"))
-        known = found.select(plain_name(F.col("path")).alias("plain"))
-        empty = listed.join(known, plain_name(F.col("path")) == F.col("plain"), "left_anti")
-        empty = empty.withColumn("length", F.lit(0).cast("bigint"))
+    if include_empty:
+        empty = _empty_files(session, plain_path(path))
         found = found.unionByName(empty, allowMissingColumns=True)
     return found.select(
         relative_path(F.col("path"), path).alias("rel_path"),
@@ -53,6 +49,46 @@ def file_manifest(
     )
 
 
+def _empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` and ``length`` 0 of visible empty files. Folders are taken level by level, so
+    tasks share the work and no file name reaches the driver."""
+    folders = spark.createDataFrame([(root,)], "folder string")
+    kind = "folder string, path string"
+
+    def look(batches):
+        import os
+
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for folder in batch["folder"]:
+                if os.path.isfile(folder):
+                    entries = [(folder, True, False)]
+                elif os.path.isdir(folder):
+                    with os.scandir(folder) as found:
+                        entries = [(e.path, e.is_file(), e.is_dir()) for e in found]
+                else:
+                    entries = []
+                for path, is_file, is_dir in entries:
+                    name = os.path.basename(path)
+                    if name.startswith(".") or (name.startswith("_") and "=" not in name):
+                        continue
+                    if is_dir:
+                        rows.append((path, None))
+                    elif is_file and os.path.getsize(path) == 0:
+                        rows.append((None, path))
+            yield pd.DataFrame(rows, columns=["folder", "path"])
+
+    empty = spark.createDataFrame([], "path string")
+    while True:
+        level = folders.repartition("folder").mapInPandas(look, kind)
+        empty = empty.unionByName(level.where("path IS NOT NULL").select("path"))
+        folders = level.where("folder IS NOT NULL").select("folder")
+        if folders.isEmpty():
+            return empty.withColumn("length", F.lit(0).cast("bigint"))
+
+
 def file_stats(manifest: DataFrame) -> DataFrame:
     """One row ``file_count, total_bytes, total_mb, mean_mb``; zeros for no files."""
     total = F.coalesce(F.sum("length"), F.lit(0).cast("bigint"))

@@ -30,25 +30,45 @@ def test_row_rule(rows, files):
     assert ts.target_files(rows) == files
 
 
-def test_large_tables_are_sized_by_bytes():
+def test_one_rule_at_every_size():
     tib = 1 << 40
     assert ts.target_files(10**12) == 10**7
-    assert ts.target_files(10**12, total_bytes=100 * tib) == 819_200
-    assert ts.target_files(10**12, total_bytes=tib // 1024) == 1_000
-    assert ts.target_files(600_000, total_bytes=10) == 6
-    assert ts.target_files(10**9, total_bytes=100 * tib) == 10_000
+    assert ts.target_files(30_000, rows_per_file=10) == 3_000
+    assert ts.target_files(10**12, total_bytes=100 * tib) == 10**7
+    assert ts.target_files(10**12, total_bytes=100 * tib, file_bytes=128 << 20) == 819_200
+    assert ts.target_files(600_000, total_bytes=10, file_bytes=128 << 20) == 1
+    with pytest.raises(ValueError):
+        ts.target_files(1, file_bytes=1)
 
 
 def test_rows_cap():
-    assert rows_cap(10, 3) == 7 and rows_cap(0, 1) == 1
-    assert rows_cap(10**12, 10**6) == 10**6
+    assert rows_cap(10, 3, 3) == 0 and rows_cap(10, 3, 2) == 4
+    assert rows_cap(10**12, 10**6, 10**4) == 10**6
 
 
-def test_more_files_than_ranges(spark, folder, monkeypatch):
-    """Beyond the limit of ranges files still follow each other in order."""
-    monkeypatch.setattr(layout, "RANGE_LIMIT", 2)
+@pytest.mark.parametrize("ordered", [True, False])
+def test_files_are_as_many_as_planned_beyond_a_thousand(spark, folder, ordered):
     export = ts.export_dataset(
-        source(spark, "lineitem"), folder, "l", order_by="l_shipdate", rows_per_file=600
+        ts.resolve_source(spark, path=f"{SF_DIR}/lineitem.parquet"),
+        folder,
+        "l",
+        order_by="l_shipdate" if ordered else None,
+        rows_per_file=5,
+    )
+    assert export.planned_files == 1_200 == len(parts(export.path))
+
+
+def test_a_version_is_never_overwritten(spark, folder):
+    given = {"root": folder, "name": "orders", "version": "20240101_000000"}
+    ts.export_dataset(source(spark, "orders"), **given)
+    with pytest.raises(Exception, match="(?i)exists"):
+        ts.export_dataset(source(spark, "orders"), **given)
+
+
+def test_more_files_than_ranges(spark, folder):
+    """Files cut from fewer ranges still follow each other in order."""
+    export = ts.export_dataset(
+        source(spark, "lineitem"), folder, "l", order_by="l_shipdate", rows_per_file=600, ranges=2
     )
     dates = []
     for file in parts(export.path):
@@ -145,14 +165,9 @@ def test_rows_are_hashed_after_the_shuffle(spark, load):
     assert "xxhash64" not in plan_of(arrange_ordered(load("lineitem"), 10, "l_shipdate"))
 
 
-def test_unordered_export_does_not_shuffle_unless_files_would_be_small(spark, folder):
+def test_unordered_export_of_many_small_files(spark, folder):
     frame = source(spark, "lineitem").frame
-    assert "Exchange" not in plan_of(ts.arrange_unordered(frame, 100))
-    many = frame.repartition(40)
-    many.write.parquet(f"{folder}/many")
-    scan = spark.read.parquet(f"{folder}/many")
-    assert scan.rdd.getNumPartitions() > 2
-    assert ts.arrange_unordered(scan, 1).rdd.getNumPartitions() == 1
+    frame.repartition(40).write.parquet(f"{folder}/many")
     export = ts.export_dataset(
         ts.resolve_source(spark, path=f"{folder}/many"), folder, "one", rows_per_file=100_000
     )
