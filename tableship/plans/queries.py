@@ -348,14 +348,14 @@ def compare_manifests(spark, sf_dir):
 
 
 @query(
-    "SELECT 'same' AS status, CAST(greatest(1, count(*) // 10000) - 2 AS BIGINT) AS files "
+    "SELECT 'same' AS status, CAST(greatest(1, count(*) // 1000) - 2 AS BIGINT) AS files "
     "FROM lineitem UNION ALL SELECT 'missing', count(*) FROM region WHERE r_regionkey = 0 "
     "UNION ALL SELECT 'resized', count(*) FROM region WHERE r_regionkey = 1 "
     "UNION ALL SELECT 'extra', count(*) FROM region WHERE r_regionkey = 2"
 )
 def compare_manifests_damaged(spark, sf_dir):
     """The manifest of a copy in which one file is gone, one shorter and one too many."""
-    export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=10_000)
+    export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=1_000)
     manifest = ts.file_manifest(spark, export.path)
     number = F.regexp_extract("file_name", r"part-(\d+)", 1).cast("int")
     copy = manifest.where(number != 0).withColumn(

@@ -131,7 +131,7 @@ def verification_report(
         newest = recent_records(df, time_column, recent, [id_column] if id_column else None)
         rows = newest.collect()  # at most ``recent`` rows, read in full
         wanted, latest = min(recent, totals()["rows"]), totals()["latest"]
-        newest_first = bool(rows) and rows[0][time_column] == latest
+        newest_first = not rows or rows[0][time_column] == latest
         return len(rows) == wanted and newest_first, f"{len(rows)} of {wanted} newest rows"
 
     def check_range():

@@ -6,6 +6,7 @@ import os
 
 import pytest
 from conftest import SF_DIR, assert_same_rows
+from pyspark.sql import functions as F
 
 import tableship as ts
 from tableship.operators.transfer import TransferError
@@ -38,7 +39,9 @@ def test_rewrite(spark, load, dataset, folder):
 def test_rewrite_keeps_partition_columns(spark, load, folder):
     load("nation").write.partitionBy("n_regionkey").parquet(f"{folder}/p")
     copy = ts.transfer_dataset(spark, f"{folder}/p", f"{folder}/copy")
-    assert_same_rows(copy, spark.read.parquet(f"{folder}/p"))
+    text = F.col("n_regionkey").cast("string")
+    assert_same_rows(copy, spark.read.parquet(f"{folder}/p").withColumn("n_regionkey", text))
+    assert os.path.isdir(f"{folder}/copy/n_regionkey=3")
 
 
 @pytest.mark.parametrize("split", [1 << 30, 10_000])
