@@ -6,6 +6,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_points
+from tableship.plans import queries as named
 from tools.compare import connect, oracle_rows, rows_of
 
 
@@ -14,7 +15,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(named.QUERIES))
 def test_query(spark, duck, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     columns, wanted = oracle_rows(duck, entry_points.oracle_sql()[name])
