@@ -40,7 +40,65 @@ def query(sql: str | None = None):
     return register
 
 
-@query()
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    f"""
+    WITH w AS (
+        SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS.format("text")} AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)),
+                           lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS shown
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w)
+    ), repeated AS (
+        SELECT doc_id, i FROM windows
+        QUALIFY count(*) OVER (PARTITION BY doc_id, shown) > 1
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
+        FROM repeated, range(0, 8) AS offsets(j) GROUP BY doc_id
+    ), c AS (
+        SELECT w.doc_id, source, len(words)::BIGINT AS n_words,
+               coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+               (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT
+                   AS n_symbols,
+               len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+               coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+               length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+               length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower
+        FROM w LEFT JOIN covered USING (doc_id)
+    ), f AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 30 * n_lines
+               OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR n_upper > n_lower AS failed
+        FROM c
+    ), hosts AS (
+        SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (failed))::DOUBLE AS x
+        FROM f WHERE source IS NOT NULL GROUP BY source
+    ), moments AS (
+        SELECT sum(n) AS n, sum(x) / sum(n) AS mean, count(*) AS k,
+               (sum(x * x / n) - sum(x) * sum(x) / sum(n)
+                - (count(*) - 1) * (sum(x) / sum(n)) * (1 - sum(x) / sum(n)))
+               / nullif(sum(n) - sum(n * n) / sum(n), 0) AS between
+        FROM hosts
+    ), prior AS (
+        SELECT mean, CASE WHEN k > 1 AND between > 0 AND mean * (1 - mean) > 0
+               THEN greatest(0, least(1e6, mean * (1 - mean) / between - 1)) ELSE 1e6 END AS weight
+        FROM moments
+    ), rejected AS (
+        SELECT source FROM (
+            SELECT source, mean, (x + mean * weight) / (n + weight) AS rate,
+                   rate - 2 * sqrt(rate * (1 - rate) / (n + weight + 1)) AS least_rate
+            FROM hosts, prior
+        ) WHERE least_rate > greatest(0.5, mean)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT failed AND (source IS NULL OR source NOT IN (SELECT source FROM rejected)) AS kept
+    FROM f
+    """
+)
 def op6_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -139,7 +197,37 @@ def op2_pattern_packing(spark, sf_dir):
     return packing.pack(cut).withColumnRenamed("id", "doc_id")
 
 
-@query()
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, {_WORDS.format(_LOWER)} AS words FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+               WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+               ELSE list_distinct(list_transform(range(1, len(words) - 1),
+                    lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS tokens
+        FROM w
+    ), rows AS (
+        SELECT doc_id, len(tokens) AS n, unnest(tokens) AS token FROM sets
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS i
+        FROM rows a JOIN rows b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM shared WHERE 100 * i >= 90 * (na + nb - i)
+    ), both_ways AS (
+        SELECT a, b FROM links UNION SELECT b, a FROM links
+    ), reach AS (
+        SELECT a, b FROM both_ways
+        UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a
+    )
+    SELECT s.doc_id, len(s.tokens)::BIGINT AS n_shingles,
+           least(s.doc_id, min(r.b)) AS component_id
+    FROM sets s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.tokens
+    """
+)
 def op4_ngram_jaccard_join(spark, sf_dir):
     joined = ngram_join.join(table(spark, sf_dir, "documents"))
     return joined.select(
