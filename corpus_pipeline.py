@@ -17,14 +17,25 @@ from tableship.llm.common import staged, table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Rows of a batch between Spark and Python. Rows hold whole documents here, so the default of
+#: 10,000 would take hundreds of megabytes on either side.
+BATCH_ROWS = 1_000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail a rule nor come from a rejected host."""
+    _small_batches(spark)
     return rules.keep(docs)
 
 
 def quality_classification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts. It learns from all labelled documents, since the
     rules before have removed most of those with label 0."""
+    _small_batches(spark)
     described = staged(
         quality_classifier.describe(table(spark, sf_dir, "documents")), "quality-statistics"
     )
@@ -36,6 +47,7 @@ def quality_classification(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five words per token, similarity of 0.8
     or more."""
+    _small_batches(spark)
     return ngram_join.keep(docs, options=ngram_join.Options(percent=80, words=5))
 
 
@@ -51,6 +63,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
+    _small_batches(spark)
     return packing.pack(packing.pieces(docs, TOKENIZER)).withColumnRenamed("id", "doc_id")
 
 

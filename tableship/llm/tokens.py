@@ -36,7 +36,7 @@ class Encoder:
     ``longest`` characters never are.
     """
 
-    def __init__(self, path: str, capacity: int = 250_000, longest: int = 48) -> None:
+    def __init__(self, path: str, capacity: int = 100_000, longest: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
