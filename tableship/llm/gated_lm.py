@@ -246,14 +246,14 @@ class Model:
         return Model(self.options, arrays)
 
     def windows(self, lanes: Lanes, size: int) -> Iterator[tuple]:
-        """Per window the number of lanes at each step, the symbols, the states before them, and
-        what backpropagation needs."""
+        """Per window the places of its symbols in the lanes, the number of lanes at each step,
+        the symbols, the states before them, and what backpropagation needs."""
         h = self.options.hidden
-        state = np.zeros((lanes.symbols.shape[1], h), np.float32)
-        for start in range(0, len(lanes.active), size):
-            active = lanes.active[start : start + size]
-            symbols = lanes.symbols[start : start + len(active)]
-            going = lanes.going[start : start + len(active), :, None]
+        state = np.zeros((len(lanes.sizes), h), np.float32)
+        for start in range(0, int(lanes.sizes[0]), size):
+            active, places = lanes.window(start, size)
+            symbols = lanes.symbols[places]
+            going = lanes.going[places].astype(np.float32)[:, :, None]
             steps = []
             for t, n in enumerate(active):
                 old = state[:n] * going[t, :n]  # a new document starts from nothing
@@ -264,9 +264,9 @@ class Model:
                 new = np.tanh(given[:, 2 * h :] + reset * carried[:, 2 * h :])
                 steps.append((old, update, reset, new, carried[:, 2 * h :]))
                 state = new + update * (old - new)
-            flat = np.concatenate([symbols[t, :n] for t, n in enumerate(active)])
+            flat = np.concatenate([places[t, :n] for t, n in enumerate(active)])
             before = np.concatenate([step[0] for step in steps])
-            yield start, active, flat, before, going, steps
+            yield flat, active, lanes.symbols[flat], before, going, steps
 
     def outputs(self, symbols: np.ndarray, before: np.ndarray, gradients=None):
         """Natural log probability of each symbol given the state before it: of its class, and
@@ -345,23 +345,24 @@ class Model:
     def log10s(self, lanes: Lanes) -> np.ndarray:
         """Log10 probability of the symbols of each document of the lanes."""
         sums = np.zeros(lanes.documents)
-        for start, active, symbols, before, _, _ in self.windows(lanes, 4 * self.options.window):
+        for places, _, symbols, before, _, _ in self.windows(lanes, 4 * self.options.window):
             logs, _ = self.outputs(symbols, before)
-            owner = lanes.owner[start : start + len(active)]
-            owner = np.concatenate([owner[t, :n] for t, n in enumerate(active)])
-            sums += np.bincount(owner, weights=logs, minlength=len(sums))
+            sums += np.bincount(lanes.owner[places], weights=logs, minlength=len(sums))
         return sums / np.log(10)
 
 
 @dataclass
 class Lanes:
-    """Documents dealt to lanes and set one after the other: symbols by step and lane, whether
-    a state goes on, whose symbol it is, and the number of lanes at each step."""
+    """Documents dealt to lanes and set one after the other. By token, lane after lane: the
+    symbol, whether a state goes on, and whose symbol it is; by lane: where it starts and its
+    size. Steps by lanes are laid out for one window at a time, so memory is that of the
+    tokens, however much longer than the others one lane is."""
 
     symbols: np.ndarray
     going: np.ndarray
     owner: np.ndarray
-    active: list[int]
+    starts: np.ndarray
+    sizes: np.ndarray
     documents: int
 
     @classmethod
@@ -375,19 +376,26 @@ class Lanes:
             heapq.heapreplace(heap, (size + len(documents[k]), lane))
         dealt.sort(key=lambda lane: -sum(len(documents[k]) for k in lane))
         sizes = [sum(len(documents[k]) for k in lane) for lane in dealt]
-        shape_ = (sizes[0], len(dealt))
-        symbols, owner = np.zeros(shape_, np.int32), np.zeros(shape_, np.int32)
-        going = np.ones(shape_, np.float32)
-        for column, lane in enumerate(dealt):
-            at = 0
-            for k in lane:
-                stop = at + len(documents[k])
-                symbols[at:stop, column] = documents[k]
-                owner[at:stop, column] = k
-                going[at, column] = 0
-                at = stop
-        active = (len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")).tolist()
-        return cls(symbols, going, owner, active, len(documents))
+        order = [k for lane in dealt for k in lane]
+        lengths = [len(documents[k]) for k in order]
+        symbols = np.concatenate([np.zeros(0, np.int32), *(documents[k] for k in order)])
+        going = np.ones(len(symbols), bool)
+        going[[at for at, n in zip(np.cumsum([0, *lengths]).tolist(), lengths, strict=False) if n]] = False
+        owner = np.repeat(np.array(order, np.int32), lengths)
+        starts = np.cumsum([0, *sizes[:-1]])
+        return cls(symbols, going, owner, starts, np.array(sizes), len(documents))
+
+    def window(self, start: int, size: int) -> tuple[list[int], np.ndarray]:
+        """The number of lanes at each step, and the places by step and lane; those of a lane
+        that has ended are its last one."""
+        steps = np.arange(start, min(start + size, self.sizes[0]))
+        active = len(self.sizes) - np.searchsorted(self.sizes[::-1], steps, "right")
+        within = np.minimum(steps[:, None], self.sizes[: active[0]] - 1)
+        return active.tolist(), self.starts[: active[0]] + within
+
+    @property
+    def active(self) -> list[int]:
+        return self.window(0, int(self.sizes[0]))[0] if self.sizes[0] else []
 
 
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -158,5 +160,40 @@ def test_gradients_equal_differences():
         assert (values[0] - values[1]) / 2e-2 == pytest.approx(gradient[at], rel=0.08, abs=2e-3), name
 
 
+def small_model(**kind):
+    lex = gated_lm.Lexicon(
+        {}, np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.int64),
+        [gated_lm.END, b"a", b"b", b"c"], np.ones(4), np.ones(gated_lm.SHAPES), np.ones(gated_lm.SHAPES), 9, 5, 0,
+    )
+    return gated_lm.Model.start(lex, gated_lm.Options(hidden=3, classes=2, members=2, **kind))
+
+
+def test_one_very_long_text_takes_no_more_memory_than_its_words():
+    rng = np.random.default_rng(3)
+    model = small_model()
+    documents = [rng.integers(0, 6, n).astype(np.int32) for n in [1_000_000, *[20] * 600]]
+    tracemalloc.start()
+    try:
+        lanes = gated_lm.Lanes.of(documents, 512)
+        for _ in islice(model.windows(lanes, 64), 20):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100e6  # all steps by all lanes are 6 GB
+    last = lanes.window(999_990, 64)
+    assert last[0] == [1] * 10
+    assert (lanes.symbols[last[1][:, 0]] == documents[0][-10:]).all()
+
+
+def test_scores_do_not_depend_on_lanes_and_windows():
+    rng = np.random.default_rng(4)
+    documents = [rng.integers(0, 6, n).astype(np.int32) for n in (40, 1, 7, 13, 90, 2, 2, 21)]
+    alone = [small_model().log10s(gated_lm.Lanes.of([d], 1))[0] for d in documents]
+    for count in (1, 3, 8):
+        got = small_model(window=2).log10s(gated_lm.Lanes.of(documents, count))
+        assert got == pytest.approx(alone, rel=1e-5)
+
+
 def test_language_model_of_nothing(no_docs):
     assert gated_lm.score(no_docs, F.lit(True)).count() == 0
