@@ -1,8 +1,8 @@
 """License texts and notices: ordered signature rules over the words of a text.
 
 A text becomes its words, in lower case and with single spaces. Rules are regular
-expressions over such words; each names a keyword, and only rules whose keyword stands in
-the text are tried. A place found by one rule that lies inside a place of a rule with a
+expressions over such words; each names keywords, one of which is a word of whatever it matches,
+and only rules with a keyword that stands in the text are tried. A place found by one rule that lies inside a place of a rule with a
 higher priority, or of a longer match with the same priority, is dropped.
 
 Only built-in functions are used, row by row and without a shuffle, so the number of
@@ -29,14 +29,14 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 _V = r"(?:(?: version| ver| v)? | v)"
 _LATER = r"(?: or (?:any later version|later|newer))?"
 
-#: Names of licenses in words: label, keyword, regular expression.
+#: Names of licenses in words: label, keywords (with | between them), regular expression.
 FAMILIES = (
     ("apache-1.1", "apache", r"apache(?: software)? license" + _V + "1 1"),
     ("apache-2.0", "apache", r"apache(?: software)?(?: license)?" + _V + "2(?: 0)?"),
     ("afl-3.0", "academic", r"academic free license" + _V + "3 0"),
     ("agpl-3.0", "affero", r"gnu affero general public license(?:" + _V + "3(?: 0)?)?" + _LATER),
     ("artistic-2.0", "artistic", r"artistic license(?:" + _V + "2(?: 0)?)?"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
+    ("bsd-2-clause", "bsd|freebsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)"),
     ("bsl-1.0", "boost", r"boost software license(?:" + _V + "1 0)?"),
@@ -54,7 +54,7 @@ FAMILIES = (
     ("cc-by-sa", "commons", r"creative commons attribution share ?alike(?: [1-4] [05])?"),
     ("cc-by-nc", "commons", r"creative commons attribution non ?commercial(?: [1-4] [05])?"),
     ("cc-by-nd", "commons", r"creative commons attribution no ?derivatives(?: [1-4] [05])?"),
-    ("cddl-1.0", "cddl", r"(?:common development and distribution license|cddl)(?: 1 0)?"),
+    ("cddl-1.0", "cddl|development", r"(?:common development and distribution license|cddl)(?: 1 0)?"),
     ("cecill-2.1", "cecill", r"cecill(?:" + _V + "2(?: 1)?)?"),
     ("cpl-1.0", "common", r"common public license(?:" + _V + "1 0)?"),
     ("ecl-2.0", "educational", r"educational community license(?:" + _V + "2 0)?"),
@@ -65,11 +65,11 @@ FAMILIES = (
     ("gpl-1.0", "general", r"(?:gnu )?general public license" + _V + "1(?: 0)?" + _LATER),
     ("gpl-2.0", "general", r"(?:gnu )?general public license" + _V + "2(?: 0)?" + _LATER),
     ("gpl-3.0", "general", r"(?:gnu )?general public license" + _V + "3(?: 0)?" + _LATER),
-    ("gpl", "gpl", r"(?:gnu )?gpl(?:v[123]|" + _V + "[123](?: 0)?)?" + _LATER),
+    ("gpl", "gpl|gplv1|gplv2|gplv3", r"(?:gnu )?gpl(?:v[123]|" + _V + "[123](?: 0)?)?" + _LATER),
     ("isc", "isc", r"isc license"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public license" + _V + "2(?: 1)?" + _LATER),
     ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public license" + _V + "3(?: 0)?" + _LATER),
-    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?:v[23]|" + _V + "[23](?: [01])?)?" + _LATER),
+    ("lgpl", "lgpl|lgplv2|lgplv3", r"(?:gnu )?lgpl(?:v[23]|" + _V + "[23](?: [01])?)?" + _LATER),
     ("lppl-1.3", "latex", r"latex project public license(?:" + _V + "1 3[abc]?)?"),
     ("mit", "mit", r"mit(?: x11| expat)?"),
     ("mpl-1.1", "mozilla", r"mozilla public license" + _V + "1 [01]"),
@@ -94,10 +94,10 @@ USES = (
     ("title", r"(?:the )?{0} licen[cs]e", 60, 0.85),
 )
 
-#: Sentences that stand in a license or notice itself: label, keyword, words, priority, trust.
+#: Sentences that stand in a license or notice itself: label, keywords, words, priority, trust.
 SENTENCES = (
     ("mit", "granted", r"permission is hereby granted free of charge to any person obtaining a copy", 95, 0.99),
-    ("isc", "granted", r"permission to use copy modify and or distribute this software for any purpose", 95, 0.99),
+    ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose", 95, 0.99),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms", 95, 0.99),
     ("bsd-3-clause", "endorse", r"may be used to endorse or promote products derived from", 95, 0.95),
     ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software", 95, 0.95),
@@ -110,7 +110,7 @@ SENTENCES = (
     ("mpl-2.0", "source", r"this source code form is subject to the terms of", 95, 0.95),
     ("no-warranty", "warranty", r"without warranty of any kind", 40, 0.6),
     ("no-warranty", "warranties", r"without warranties or conditions of any kind", 40, 0.6),
-    ("no-warranty", "merchantability", r"(?:merchantability|fitness for a particular purpose)", 30, 0.5),
+    ("no-warranty", "merchantability|fitness", r"(?:merchantability|fitness for a particular purpose)", 30, 0.5),
     ("public-domain", "domain", r"(?:in|into|to) the public domain", 50, 0.7),
     ("public-domain", "domain", r"public domain", 20, 0.5),
     ("proprietary", "proprietary", r"proprietary and confidential", 50, 0.8),
@@ -119,7 +119,7 @@ SENTENCES = (
     ("copyright", "copyright", r"copyright", 10, 0.4),
     ("cc", "creativecommons", r"creativecommons org licenses [a-z]+(?: [a-z]+)?(?: [1-4] [05])?", 70, 0.9),
     ("cc0-1.0", "creativecommons", r"creativecommons org publicdomain zero(?: 1 0)?", 70, 0.9),
-    ("non-commercial", "commercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?", 40, 0.6),
+    ("non-commercial", "commercial|noncommercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?", 40, 0.6),
     ("permission", "permission", r"(?:used|reprinted|reproduced) (?:by|with) permission", 40, 0.6),
     ("license-file", "license", r"see (?:the )?license(?: file| txt| md)?(?: for)?", 30, 0.5),
 )
@@ -127,17 +127,17 @@ SENTENCES = (
 
 @lru_cache(maxsize=1)
 def rules() -> list[tuple[str, str, str, int, float, bool]]:
-    """(label, keyword, regex, priority, trust, base): every use of every name, the bare
+    """(label, keywords, regex, priority, trust, base): every use of every name, the bare
     names of more than one word, the sentences and the base phrases."""
     made = [
-        (label, keyword, words.format(name), priority, trust, False)
-        for label, keyword, name in FAMILIES
+        (label, keywords, words.format(name), priority, trust, False)
+        for label, keywords, name in FAMILIES
         for _, words, priority, trust in USES
     ]
     made += [
-        (label, keyword, name, 50, 0.7, False)
-        for label, keyword, name in FAMILIES
-        if keyword not in ("mit", "zlib", "apache", "unlicense")
+        (label, keywords, name, 50, 0.7, False)
+        for label, keywords, name in FAMILIES
+        if keywords not in ("mit", "zlib", "apache", "unlicense")
     ]
     made += [(*sentence, False) for sentence in SENTENCES]
     made += [(label, words.split()[0], words, 55, 0.7, True) for words, label in BASE.items()]
@@ -146,7 +146,7 @@ def rules() -> list[tuple[str, str, str, int, float, bool]]:
 
 def _gate() -> str:
     """A text without any of the keywords has no place of any rule."""
-    words = sorted({keyword for _, keyword, *_ in rules()})
+    words = sorted({word for _, keywords, *_ in rules() for word in keywords.split("|")})
     first = "".join(sorted({w[0] for w in words}))
     return f"(?i) (?=[{first}])(?:{'|'.join(words)}) "
 
@@ -168,16 +168,18 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
             F.struct(
                 F.lit(number).alias("number"),
                 F.lit(label).alias("label"),
-                F.lit(f" {keyword} ").alias("keyword"),
+                F.array(*(F.lit(f" {word} ") for word in keywords.split("|"))).alias("keywords"),
                 F.lit(f" (?:{regex})(?= )").alias("regex"),
                 F.lit(priority).alias("priority"),
                 F.lit(trust).alias("trust"),
                 F.lit(base).alias("base"),
             )
-            for number, (label, keyword, regex, priority, trust, base) in enumerate(rules())
+            for number, (label, keywords, regex, priority, trust, base) in enumerate(rules())
         )
     )
-    tried = F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))
+    tried = F.filter(
+        table, lambda r: F.exists(r["keywords"], lambda word: F.contains(F.col("words"), word))
+    )
     found = F.flatten(F.transform(tried, lambda r: _places(F.col("words"), r)))
     # The empty array has the type of ``found``.
     rows = rows.withColumn("found", F.when(F.col("words").isNotNull(), found))

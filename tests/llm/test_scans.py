@@ -118,3 +118,46 @@ def test_contained_places_of_lower_priority_are_dropped(spark):
     assert ("apache-2.0", 80) in kept
     assert not any(r.kept for r in places if r.label == "apache-2.0" and r.priority < 80)
     assert len(license_scan.rules()) > 200
+
+
+def alternatives(regex):
+    """Texts a regular expression matches, with each of its alternatives in one at least."""
+
+    def of(nodes):
+        parts = [one(*node) for node in nodes]
+        plain = [p[0] for p in parts]
+        out = ["".join(plain)]
+        for k, part in enumerate(parts):
+            out += ["".join([*plain[:k], p, *plain[k + 1 :]]) for p in part[1:]]
+        return out
+
+    def one(kind, value):
+        kind = str(kind)
+        if kind == "LITERAL":
+            return [chr(value)]
+        if kind == "IN":
+            return [c for k, v in value for c in of([(k, v)])]
+        if kind == "RANGE":
+            return [chr(value[0]), chr(value[1])]
+        if kind == "BRANCH":
+            return [text for branch in value[1] for text in of(branch)]
+        if kind == "SUBPATTERN":
+            return of(value[3])
+        assert kind == "MAX_REPEAT", kind
+        least, _, inner = value
+        return [""] * (least == 0) + of(inner)
+
+    return sorted(set(of(re._parser.parse(regex))))
+
+
+def test_each_alternative_of_each_rule_is_found_alone(spark):
+    texts = [
+        (label, priority, text)
+        for label, _, regex, priority, _, _ in license_scan.rules()
+        for text in alternatives(regex)
+    ]
+    assert ("gpl", 80, "licensed under gplv3") in texts
+    docs = spark.createDataFrame([full(k, t[2]) for k, t in enumerate(texts)], SCHEMA).repartition(4)
+    found = license_scan.scan(docs).select(F.col("row.doc_id").alias("k"), "places").collect()
+    found = {r.k: {(p.label, p.priority) for p in r.places if p.start == 0} for r in found}
+    assert [t for k, t in enumerate(texts) if t[:2] not in found[k]] == []
