@@ -1,7 +1,9 @@
 """Secrets in texts: fixed forms, and strings that a battery of tests finds random.
 
-Candidates are runs of 20 or more letters, digits and ``+/_=-`` that mix digits and letters
-and whose characters fit one of a few encodings. Under the hypothesis of a random string
+Candidates are runs of 20 or more letters, digits and ``+/_-``, padding by ``=`` included,
+that mix digits and letters. A ``=`` before more of them is no padding: it parts a name from
+its value. Each is taken for one of a few encodings, or where none fits, for a string over a
+joint alphabet of its letter case. Under the hypothesis of a random string
 three statistics get a p-value: the chi-squared distance from equal shares of the alphabet,
 the number of runs above and below its middle, and the correlation of neighbours; Fisher's
 method combines them. Long strings are tested with much more power than short ones, so the
@@ -33,21 +35,29 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
 #: Run starts only, so that a long run without digits is looked at once.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])"
+    r"(?:[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-]))?"
+    r"|(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+/_-]++=++(?![A-Za-z0-9+/_-]))"
+)
 
 _DIGITS = "0123456789"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
-#: Encodings in the order they are tried: name, characters, rule a string must match.
+#: Encodings in the order they are tried: name, characters, rule a string without its padding
+#: must match. Every candidate fits one of the last three.
 ENCODINGS = (
     ("hex", _DIGITS + "abcdef", r"^[0-9a-f]+$"),
     ("HEX", _DIGITS + "ABCDEF", r"^[0-9A-F]+$"),
-    ("base32", _UPPER + "234567", r"^[A-Z2-7]+=*$"),
+    ("base32", _UPPER + "234567", r"^[A-Z2-7]+$"),
     ("upper36", _DIGITS + _UPPER, r"^[0-9A-Z]+$"),
     ("lower36", _DIGITS + _LOWER, r"^[0-9a-z]+$"),
     ("base62", _DIGITS + _UPPER + _LOWER, r"^(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$"),
-    ("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+=*$"),
-    ("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+=*$"),
+    ("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+$"),
+    ("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+$"),
+    ("lower", _LOWER + _DIGITS + "+/-_", r"^[^A-Z]+$"),
+    ("upper", _UPPER + _DIGITS + "+/-_", r"^[^a-z]+$"),
+    ("joint", _UPPER + _LOWER + _DIGITS + "+/-_", r"^.+$"),
 )
 
 #: Steps per power of ten and number of steps of the histogram of p-values.
@@ -114,7 +124,7 @@ def thresholds(found: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """One row: a map from encoding and length class to the step of p-values from which on
     strings are rejected as ordinary.
 
-    P-values are counted in steps of a twentieth of a power of ten, 8 encodings and at most
+    P-values are counted in steps of a twentieth of a power of ten, 11 encodings and at most
     32 length classes, so the table is bounded. Within a class the rule rejects up to the
     largest p with ``p <= q * (strings with at most this p) / (all strings)``.
     """
@@ -189,8 +199,7 @@ def _candidates(rows: DataFrame, text: Column) -> DataFrame:
     found = found.select("row", base.alias("base"), tested.alias("tested"))
     free = F.filter(
         "tested",
-        lambda s: s["group"].isNotNull()
-        & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
+        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
     )
     return found.select("row", "base", free.alias("random"))
 
@@ -200,10 +209,11 @@ def _span(kind: Column, s: Column) -> Column:
 
 
 def _tested(s: Column) -> Column:
-    """(start, end, group, step) of a string; the group is null where no encoding fits."""
-    name = F.lit(None).cast("string")
-    for label, _, rule in reversed(ENCODINGS):
-        name = F.when(s["match"].rlike(rule), F.lit(label)).otherwise(name)
+    """(start, end, group, step) of a string."""
+    body = F.regexp_replace(s["match"], "=+$", "")
+    name = F.lit(ENCODINGS[-1][0])
+    for label, _, rule in reversed(ENCODINGS[:-1]):
+        name = F.when(body.rlike(rule), F.lit(label)).otherwise(name)
     alphabets = F.create_map(*(F.lit(x) for e in ENCODINGS for x in e[:2]))
 
     def result(x: Column) -> Column:
@@ -213,8 +223,8 @@ def _tested(s: Column) -> Column:
         return F.struct(
             x["start"].alias("start"),
             x["end"].alias("end"),
-            F.when(x["name"].isNotNull(), group).alias("group"),
-            F.when(x["name"].isNotNull(), F.least(step, F.lit(_TOP))).cast("int").alias("step"),
+            group.alias("group"),
+            F.least(step, F.lit(_TOP)).cast("int").alias("step"),
         )
 
     return _let(
@@ -222,7 +232,7 @@ def _tested(s: Column) -> Column:
         start=s["start"],
         end=s["end"],
         name=name,
-        body=F.regexp_replace(s["match"], "=+$", ""),
+        body=body,
     )
 
 

@@ -65,6 +65,49 @@ def test_random_strings_are_found_and_ordinary_ones_left(spark):
     assert not any(found[60 + k] for k in range(30))
 
 
+def test_random_values_after_a_name_are_found_and_redacted(spark):
+    rng = random.Random(6)
+
+    def drawn(alphabet, n):
+        while True:
+            value = "".join(rng.choice(alphabet) for _ in range(n))
+            if re.search("[0-9]", value) and re.search("[A-Za-z]", value):
+                return value
+
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    full64 = lower + lower.upper() + digits + "+/"
+    forms = [  # before the value, value, after it
+        ("AWS_SECRET_ACCESS_KEY=", lambda: drawn(full64, 40), ""),
+        ("export DB2_MAIN_CREDENTIALS_2024=", lambda: drawn(lower + digits, 32), ""),
+        ("https://host/a?sig=", lambda: drawn(full64[:-2], 24), "&x=1"),
+        ("key==", lambda: base64.b64encode(rng.randbytes(31)).decode(), ""),
+        ("id ", lambda: "Aa0+_" + drawn(full64 + "-_", 40), ""),
+        ("id ", lambda: "k-" + drawn(lower + digits + "-_", 38), ""),
+        ("id ", lambda: "K-" + drawn(lower.upper() + digits + "-_", 38), ""),
+    ]
+    made = [(before, value(), after) for before, value, after in forms for _ in range(30)]
+    plain = ["2013/04/some-title-of-a-page-in-a-folder-" + w for w in ("one", "two", "three")] * 10
+    rows = [full(k, f"see {''.join(m)} here") for k, m in enumerate(made)]
+    rows += [full(len(made) + k, f"see {p} here") for k, p in enumerate(plain)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    for f, (before, _, after) in enumerate(forms):
+        wanted = f"see {before}[secret]{after} here"
+        assert sum(clean[30 * f + k] == wanted for k in range(30)) >= 25, before
+    assert all(clean[len(made) + k] == f"see {p} here" for k, p in enumerate(plain))
+
+
+def test_what_is_a_candidate():
+    rule = re.compile(secret_scan.CANDIDATE)
+    found = lambda text: [m.group() for m in rule.finditer(text)]
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfi"
+    assert found(f"AWS_SECRET_ACCESS_KEY={value}") == [value]
+    assert found(f"a1={value}==&b={value}=") == [value + "==", value + "="]
+    assert found("a_name_with_number_2024=x") == ["a_name_with_number_2024"]
+    assert found("abc123abc123abc123==") == ["abc123abc123abc123=="]
+    assert found("abc123=abc123abc123abc") == []
+
+
 def test_redaction_takes_spans_out_and_nothing_else(edge_docs, no_docs):
     clean = secret_scan.redact(edge_docs)
     assert clean.schema.names == edge_docs.schema.names
