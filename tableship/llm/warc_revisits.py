@@ -13,8 +13,9 @@ this: only identifiers are matched, and a body is fetched by the identifier that
 Records with a null URL or time match nothing. Records of equal time are ordered by their
 identifier; a response counts as earlier than a revisit of the same time if its identifier is
 smaller. Repeated rows of a response are equal and one of them is taken. Null or missing
-validators are not checked: a revisit without any matches on time alone and is marked so. An
-empty table gives no rows.
+validators are not checked: a revisit without any matches on time alone and is marked so. Of
+headers whose names differ in case alone the first that is not null stays, in the order of
+their names as written, upper case before lower. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -65,12 +66,17 @@ def resolve(records: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     ``time``, ``response_id``, ``response_time``, ``outcome`` (``matched``, ``unchecked`` where
     it names no validator, ``mismatch``, ``unresolved``), merged ``headers`` and the ``body`` of
     a response that it stands for."""
-    lower = F.map_from_entries(
-        F.transform(
-            F.array_sort(F.map_entries("headers")),
-            lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
-        )
+    entries = F.transform(
+        F.array_sort(F.map_entries("headers")),
+        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
+
+    def first(name: Column) -> Column:
+        held = F.filter(entries, lambda e: (e["key"] == name) & e["value"].isNotNull())
+        return F.struct(name.alias("key"), F.get(held, F.lit(0))["value"].alias("value"))
+
+    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    lower = F.map_from_entries(F.transform(names, first))
     slim = records.select(
         "record_id",
         "kind",

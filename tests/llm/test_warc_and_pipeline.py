@@ -67,6 +67,21 @@ def test_revisits_take_the_latest_earlier_response(spark):
     assert got[3].headers == {"etag": '"1"', "content-type": "text/html", "age": "9"}
 
 
+def test_names_of_headers_in_several_cases(spark):
+    u = "http://a.com/x"
+    rows = [
+        record(1, "response", u, at(0), {"etag": '"0"', "ETag": '"1"', "Set-Cookie": None, "set-cookie": "a"}, "one"),
+        record(2, "revisit", u, at(1), {"ETAG": None, "etag": '"1"', "X": None, "x": None}),
+        record(3, "revisit", u, at(2), {"etag": '"1"', "Etag": '"2"'}),
+    ]
+    got = {r.record_id: r for r in warc_revisits.resolve(spark.createDataFrame(rows, RECORD)).collect()}
+    assert {k: (r.response_id, r.outcome, r.body) for k, r in got.items()} == {
+        2: (1, "matched", "one"), 3: (1, "mismatch", None)
+    }
+    assert got[2].headers == {"etag": '"1"', "set-cookie": "a"}
+    assert got[3].headers == {"etag": '"2"'}
+
+
 def test_one_url_over_many_slots_equals_brute_force(spark):
     rng = random.Random(4)
     rows = [
