@@ -6,13 +6,15 @@ k-th largest lower bound, and only vectors whose upper bound reaches it are cand
 exact vectors are read in the order of their bounds: first the most promising ones, whose
 k-th exact score then decides which of the rest could still be among the results.
 
-Queries and vectors meet in pairs of blocks of bounded size. Equal vectors are one entry that
-keeps its k + 1 smallest identifiers, which is all that a result can need of them.
+Queries and vectors meet in pairs of blocks of bounded size. Equal rows are counted first.
+Equal vectors are one entry that keeps its k + 1 smallest identifiers, each with the number of
+its rows, which is all that a result can need of them.
 
 Vectors that are null or hold null or non-finite components, and rows without an identifier,
 take no part. Only vectors of equal dimension are compared. Rows that repeat an identifier
-are separate vectors, but none is a result for a query with that identifier. An empty table,
-or no queries, gives no rows. Other columns are not read.
+are separate vectors, equal ones too, but none is a result for a query with that identifier.
+Equal rows among the queries have the results of each, one after the other. An empty table, or
+no queries, gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -80,17 +82,28 @@ def search(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``id`` and ``score`` of the ``k`` vectors with the largest inner
     products, ties to smaller identifiers. ``queries`` is a condition on the column ``id``."""
-    vectors = staged(integer_vectors(rows, id_column, vector, options), "vectors")
+    vectors = integer_vectors(rows, id_column, vector, options).groupBy("id", "values")
+    vectors = staged(vectors.agg(F.count("*").alias("rows")), "vectors")
     order = Window.partitionBy("values").orderBy("id")
     # Spark keeps the first rows of each group before it shuffles, so copies cost nothing.
     few = vectors.withColumn("n", F.row_number().over(order)).where(F.col("n") <= options.k + 1)
-    entries = few.groupBy("values").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    entries = staged(entries.select(F.col("ids")[0].alias("entry"), "ids", "values"), "entries")
-    asked = staged(
-        vectors.where(queries).select(F.col("id").alias("query_id"), F.col("values").alias("query"))
-        .withColumn("number", F.xxhash64("query_id", "query")),
-        "queries",
-    )
+    held = F.struct("id", F.least("rows", F.lit(options.k)).cast("int").alias("rows"))
+    entries = few.groupBy("values").agg(F.array_sort(F.collect_list(held)).alias("held"))
+    # Numbers of entries and queries are written once, so they stay whatever is read again.
+    entries = entries.select(
+        F.monotonically_increasing_id().alias("entry"),
+        F.col("held.id").alias("ids"),
+        F.flatten(F.transform("held", lambda h: F.array_repeat(h["id"], h["rows"]))).alias("each"),
+        "values",
+    )
+    entries = staged(entries, "entries")
+    asked = vectors.where(queries).select(
+        F.col("id").alias("query_id"),
+        F.monotonically_increasing_id().alias("number"),
+        F.col("values").alias("query"),
+        "rows",
+    )
+    asked = staged(asked, "queries")
 
     bounds = staged(_bounds(entries, asked, options), "bounds")
     kth = Window.partitionBy("query_id", "number").orderBy(F.desc("low"))
@@ -119,17 +132,19 @@ def search(
     )
     found = first.unionByName(_exact(rest, entries, asked))
     best = Window.partitionBy(*keys).orderBy(F.desc("score"), "id")
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= options.k)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
     return (
-        found.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= options.k)
-        .select("query_id", "rank", "id", "score")
+        found.join(asked.select(*keys, "rows"), keys)
+        .select("query_id", "rank", "id", "score", times.alias("time"))
+        .drop("time")
     )
 
 
 def _exact(candidates: DataFrame, entries: DataFrame, asked: DataFrame) -> DataFrame:
     """``query_id``, ``number``, ``id`` and ``score`` of candidates, from the exact vectors."""
     pairs = candidates.join(entries, "entry").join(asked, ["query_id", "number"])
-    pairs = pairs.select("query_id", "number", "ids", "query", "values")
+    pairs = pairs.select("query_id", "number", "each", "query", "values")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,13 +154,13 @@ def _exact(candidates: DataFrame, entries: DataFrame, asked: DataFrame) -> DataF
             scores = [int(np.dot(x, y)) for x, y in zip(a, b, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(scores, pa.int64())],
-                ["query_id", "number", "ids", "score"],
+                ["query_id", "number", "each", "score"],
             )
 
     scored = pairs.mapInArrow(
-        multiply, "query_id long, number long, ids array<long>, score long"
+        multiply, "query_id long, number long, each array<long>, score long"
     )
-    return scored.select("query_id", "number", F.explode("ids").alias("id"), "score").where(
+    return scored.select("query_id", "number", F.explode("each").alias("id"), "score").where(
         "id <> query_id"
     )
 
@@ -274,8 +289,11 @@ def _block_bounds(group: pa.RecordBatch, ranges: dict, options: Options) -> Iter
         # Sums of products of large numbers are rounded: widen by more than that.
         slack = 1e-12 * n * (np.abs(query) @ np.abs(middle).T + reach)
         low, high = centre - reach - slack, centre + reach + slack
-        # An entry that is nothing but the query itself is no candidate.
-        alone = {ids[k][0]: place for place, k in enumerate(held) if len(ids[k]) == 1}
+        # Entries that are nothing but rows of the query's identifier are no candidates.
+        alone: dict[int, list[int]] = {}
+        for place, k in enumerate(held):
+            if len(ids[k]) == 1:
+                alone.setdefault(ids[k][0], []).append(place)
         for row, k in enumerate(asked):
             if a[k] in alone:
                 low[row, alone[a[k]]] = high[row, alone[a[k]]] = -np.inf

@@ -148,6 +148,29 @@ def test_search_equals_brute_force(spark):
     assert not {500, 550, 600, 650} & set(got)
 
 
+def test_repeated_rows_are_separate_vectors(spark):
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-60, 60, (90, 4)) / 256
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    rows += [rows[50]] * 2  # a query three times
+    rows += [(50, (vectors[50] * 1.5).tolist())]  # another vector under its identifier
+    rows += [(7, vectors[8].tolist()), (7, vectors[9].tolist())]  # one identifier, other vectors
+    top = vectors[50] * 3
+    rows += [(20, top.tolist())] * 8 + [(k, top.tolist()) for k in (21, 22, 50, 50)]
+    rows += [(60, (vectors[0] * 2).tolist())] * 3
+    rows = [(k, v, 1, "v", 2) for k, v in rows]
+    for near in (rows, [r for r in rows if r[0] in (50, 51, 52, 53, 54, 55, 56)]):
+        frame = spark.createDataFrame(near, VECTOR_SCHEMA).repartition(3)
+        options = vector_search.Options(query_block=2, vector_block=16, first=3)
+        got = vector_search.search(frame, F.col("id") % 50 == 0, options=options).collect()
+        whole = [(i, [round(256 * x) for x in v]) for i, v, *_ in near]
+        wanted = []
+        for q, a in (r for r in whole if r[0] % 50 == 0):
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q)
+            wanted += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+        assert sorted((r.query_id, r["rank"], r.id, r.score) for r in got) == sorted(wanted)
+
+
 def test_search_of_an_empty_table(spark):
     empty = spark.createDataFrame([], VECTOR_SCHEMA)
     assert vector_search.search(empty, F.col("id") % 50 == 0).count() == 0
