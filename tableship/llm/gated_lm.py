@@ -38,7 +38,7 @@ from tableship.llm.common import slices, staged, texts
 
 #: The end of a text; no word is equal to it.
 END = b"\n"
-SHAPES = 25
+SHAPES = 50
 
 
 @dataclass(frozen=True)
@@ -50,8 +50,8 @@ class Options:
     round; ``rate``: step size."""
 
     hidden: int = 16
-    classes: int = 16
-    members: int = 96
+    classes: int = 32
+    members: int = 64
     frequent: int = 1 << 18
     window: int = 16
     lanes: int = 512
@@ -68,7 +68,7 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def shape(word: bytes) -> int:
-    """Class of a word that has no place of its own: its letters and its end."""
+    """Class of a word that has no place of its own: its letters, its end and its length."""
     text = word.decode("utf-8", "replace")
     letters = 0
     if not word.isascii():
@@ -79,7 +79,7 @@ def shape(word: bytes) -> int:
     end = 0 if last.isalpha() else 1 if last == "." else 2 if last == "," else 3
     if end == 3 and last.isdigit():
         end = 4
-    return letters * 5 + end
+    return letters * 10 + end * 2 + (len(text) > 8)
 
 
 # Counts

@@ -195,5 +195,13 @@ def test_scores_do_not_depend_on_lanes_and_windows():
         assert got == pytest.approx(alone, rel=1e-5)
 
 
+def test_words_with_a_place_of_their_own_and_shapes():
+    options = gated_lm.DEFAULTS
+    assert options.classes * options.members >= 2048
+    words = ["short", "muchlonger", "end.", "longerend.", "a,", "7", "(", "größe", "größenordnung", "été", "señor", "слово"]
+    kinds = [gated_lm.shape(w.encode()) for w in words]
+    assert len(set(kinds)) == len(words) and max(kinds) < gated_lm.SHAPES == 50
+
+
 def test_language_model_of_nothing(no_docs):
     assert gated_lm.score(no_docs, F.lit(True)).count() == 0
