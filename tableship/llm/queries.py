@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import string
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tableship.llm import (
     chunk_reuse,
     gated_lm,
     license_scan,
+    merkle_manifest,
     ngram_join,
     packing,
     quality_classifier,
@@ -362,3 +364,109 @@ def op5_warc_revisits(spark, sf_dir):
         F.md5("body").alias("body_md5"),
         F.col("headers")["content-type"].alias("content_type"),
     )
+
+
+def _field(name, text):
+    return f"coalesce(octet_length(encode({text}))::VARCHAR || ':' || {text}, '-')".replace("$", name)
+
+
+_LEAF = " || ".join(
+    [_field(c, "$::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars")] + ["{}"]
+)
+_TEXT_FIELD = _field("text", "$")
+_LOWER_FIELD = _field(_LOWER, "$")
+
+#: crc32 of an identifier in decimal digits, bit by bit; 3988292384 is its polynomial, reversed.
+_CRC32 = """
+    xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT,
+                     list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)),
+                                lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))
+"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, lang, sha256({_LEAF.format(_TEXT_FIELD)}) AS leaf,
+               CASE WHEN coalesce({_CRC32}, 0) % 3 = 0
+                    THEN sha256({_LEAF.format(_LOWER_FIELD)}) END AS tampered
+        FROM documents
+    ), placed AS (
+        SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS key,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+        FROM leaves
+    ), trees AS (
+        SELECT key, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY key) AS n FROM placed
+        UNION ALL
+        SELECT key, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 7) // 8
+        FROM trees WHERE n > 1 GROUP BY key, level, pos // 8
+    ), subroots AS (
+        SELECT key, digest AS subroot FROM trees WHERE n = 1
+    ), top AS (
+        SELECT 0 AS level, key AS pos, subroot AS digest, count(*) OVER () AS n FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 7) // 8
+        FROM top WHERE n > 1 GROUP BY level, pos // 8
+    ), runs AS (
+        SELECT false AS on_top, key, level, pos // 8 AS parent, list(digest ORDER BY pos) AS run
+        FROM trees WHERE n > 1 GROUP BY key, level, pos // 8
+        UNION ALL
+        SELECT true, 0, level, pos // 8, list(digest ORDER BY pos)
+        FROM top WHERE n > 1 GROUP BY level, pos // 8
+    ), climb AS (
+        SELECT false AS on_top, key, 0 AS level, pos, doc_id, leaf, key AS tree,
+               (row_number() OVER ())::BIGINT AS row_no, '' AS proof, coalesce(tampered, leaf) AS folded
+        FROM placed
+        UNION ALL
+        SELECT CASE WHEN r.run IS NULL THEN true ELSE c.on_top END,
+               CASE WHEN r.run IS NULL THEN 0 ELSE c.key END,
+               CASE WHEN r.run IS NULL THEN 0 ELSE c.level + 1 END,
+               CASE WHEN r.run IS NULL THEN c.tree ELSE c.pos // 8 END,
+               doc_id, leaf, tree, row_no,
+               CASE WHEN r.run IS NULL THEN proof ELSE
+                    proof || array_to_string(r.run[:c.pos % 8] || r.run[c.pos % 8 + 2:], '') END,
+               CASE WHEN r.run IS NULL THEN folded ELSE
+                    sha256(array_to_string(r.run[:c.pos % 8], '') || folded
+                           || array_to_string(r.run[c.pos % 8 + 2:], '')) END
+        FROM climb c LEFT JOIN runs r
+             ON r.on_top = c.on_top AND r.key = c.key AND r.level = c.level AND r.parent = c.pos // 8
+        WHERE r.run IS NOT NULL OR NOT c.on_top
+    ), ends AS (
+        SELECT * FROM climb WHERE on_top QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY level DESC) = 1
+    ), root AS (
+        SELECT digest AS root FROM top WHERE n = 1
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+           folded = root AS verified
+    FROM ends JOIN subroots ON subroots.key = ends.tree, root
+    """
+)
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+
+    def leaf(text):
+        return merkle_manifest.leaf_digest(
+            F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text
+        )
+
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(id_remainder(F.col("doc_id"), 3) == 0, leaf(lowered))
+    manifest = merkle_manifest.build(
+        docs,
+        leaf(F.col("text")),
+        part=F.col("lang"),
+        order=F.col("doc_id"),
+        carried={"doc_id": F.col("doc_id"), "tampered": tampered},
+    )
+    folded = merkle_manifest.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return merkle_manifest.proofs(manifest).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle_manifest.path_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
