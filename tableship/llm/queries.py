@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 
 from tableship.llm import (
     chunk_reuse,
+    collocations,
     gated_lm,
     license_scan,
     merkle_manifest,
@@ -470,3 +471,57 @@ def op12_merkle_manifest(spark, sf_dir):
         folded.alias("folded_root"),
         (folded == F.col("root")).alias("verified"),
     )
+
+
+@query(
+    f"""
+    WITH pieces AS (
+        SELECT doc_id, coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, piece_text
+        FROM (SELECT doc_id, lang,
+                     unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece_text
+              FROM documents WHERE text IS NOT NULL)
+    ), worded AS (
+        SELECT lang, piece, unnest(w) AS w1, generate_subscripts(w, 1) AS i
+        FROM (SELECT lang, piece, regexp_extract_all(piece_text, '[^\\x20\\x09]+') AS w FROM pieces)
+    ), followed AS (
+        SELECT lang, w1, lead(w1) OVER following AS w2, lead(w1, 2) OVER following AS w3
+        FROM worded WINDOW following AS (PARTITION BY piece ORDER BY i)
+    ), grams AS (
+        SELECT lang, 1 AS len, w1 AS phrase FROM followed
+        UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM followed WHERE w2 IS NOT NULL
+        UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM followed WHERE w3 IS NOT NULL
+    ), counts AS MATERIALIZED (
+        SELECT lang, len, phrase, count(*) AS f FROM grams GROUP BY ALL
+    ), totals AS (
+        SELECT lang, count(*) AS n FROM grams WHERE len = 1 GROUP BY lang
+    ), found AS (
+        SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w
+        FROM counts WHERE len > 1 AND f >= 10
+    ), parts AS MATERIALIZED (
+        SELECT *, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, len)) AS k FROM found)
+    ), cuts AS (
+        SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
+               ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM parts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head
+                     JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
+    ), scored AS (
+        SELECT * FROM cuts
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), longest AS (
+        SELECT lang, phrase, max(a) AS most FROM (
+            SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase
+            FROM found WHERE len = 3)
+        GROUP BY lang, phrase
+    ), ranked AS (
+        SELECT s.*, row_number() OVER (PARTITION BY s.lang
+                    ORDER BY score DESC, a DESC, encode(s.phrase)) AS rank
+        FROM scored s LEFT JOIN longest g ON g.lang = s.lang AND g.phrase = s.phrase
+        WHERE most IS NULL OR 100 * most < 50 * a
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang)
+    WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark, sf_dir):
+    return collocations.phrases(table(spark, sf_dir, "documents"))
