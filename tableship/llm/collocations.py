@@ -54,7 +54,7 @@ _BYTE, _WORD = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _BYTE_P, _WORD_P = 1_102_115_627, 884_123_021
 _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Bytes of text that are counted together, and that are hashed together.
-CHUNK, BLOCK = 8 << 20, 1 << 20
+CHUNK, BLOCK = 4 << 20, 1 << 19
 
 
 @dataclass(frozen=True)
