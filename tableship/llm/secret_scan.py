@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableship.llm.common import packed, staged
-from tableship.llm.spans import find_spans, no_spans
+from tableship.llm.spans import find_spans, free_of, let, redacted
 
 # Fixed values of the contract: the three base kinds, in their order.
 ASSIGN = (
@@ -98,21 +98,8 @@ def redact(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) ->
     """``docs`` with the placeholder for each span; overlapping spans become one. Other
     columns, and null texts, stay as they are."""
     source = F.col("row").getField(text)
-
-    def cut(state: Column, span: Column) -> Column:
-        before = F.substring(source, state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(
-                span["start"] >= state["at"],
-                F.concat(state["out"], before, F.lit(options.placeholder)),
-            ).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(
-        "spans", start, cut, lambda s: F.concat(s["out"], F.substr(source, s["at"] + 1))
-    )
+    kinds = {kind: _of_kind("spans", kind) for kind in KINDS}
+    rest = let(lambda v: redacted(source, [v[k] for k in KINDS], options.placeholder), **kinds)
     clean = F.when(F.size("spans") > 0, rest).otherwise(source)
     columns = [
         clean.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns
@@ -120,6 +107,10 @@ def redact(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) ->
     return scan(docs, text, options).select(*columns)
 
 
+def _of_kind(spans: str, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def thresholds(found: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     """One row: a map from encoding and length class to the step of p-values from which on
     strings are rejected as ordinary.
@@ -180,28 +171,27 @@ def _with_spans(found: DataFrame, limits: DataFrame) -> DataFrame:
 def _candidates(rows: DataFrame, text: Column) -> DataFrame:
     """``row``, the base spans and the strings to be tested that lie in none of them."""
     source = F.coalesce(text, F.lit(""))
-    found = rows.select(
-        "row",
-        find_spans(source, ASSIGN).alias("assign"),
-        find_spans(source, ACCESS).alias("access"),
-        find_spans(source, HEX).alias("hex"),
-        find_spans(source, CANDIDATE).alias("strings"),
-    )
-    secret = F.filter(
-        "assign", lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 1)) >= 8
-    )
-    base = F.concat(
-        F.transform(secret, lambda s: _span(F.lit(0), s)),
-        F.transform("access", lambda s: _span(F.lit(1), s)),
-        F.transform("hex", lambda s: _span(F.lit(2), s)),
-    )
-    tested = F.transform("strings", _tested)
-    found = found.select("row", base.alias("base"), tested.alias("tested"))
-    free = F.filter(
-        "tested",
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
+
+    def judged(v: Column) -> Column:
+        base = F.concat(
+            F.transform(v["assign"], lambda s: _span(F.lit(0), s)),
+            F.transform(v["access"], lambda s: _span(F.lit(1), s)),
+            F.transform(v["hex"], lambda s: _span(F.lit(2), s)),
+        )
+        free = free_of(v["strings"], [v["assign"], v["access"], v["hex"]])
+        return F.struct(base.alias("base"), F.transform(free, _tested).alias("random"))
+
+    def secret(s: Column) -> Column:
+        return F.length(F.regexp_extract(s["match"], ASSIGN, 1)) >= 8
+
+    found = let(
+        judged,
+        assign=F.filter(find_spans(source, ASSIGN), secret),
+        access=find_spans(source, ACCESS),
+        hex=find_spans(source, HEX),
+        strings=find_spans(source, CANDIDATE),
     )
-    return found.select("row", "base", free.alias("random"))
+    return rows.select("row", found.alias("found")).select("row", "found.base", "found.random")
 
 
 def _span(kind: Column, s: Column) -> Column:
@@ -227,7 +217,7 @@ def _tested(s: Column) -> Column:
             F.least(step, F.lit(_TOP)).cast("int").alias("step"),
         )
 
-    return _let(
+    return let(
         result,
         start=s["start"],
         end=s["end"],
@@ -236,12 +226,6 @@ def _tested(s: Column) -> Column:
     )
 
 
-def _let(use, **values: Column) -> Column:
-    """``use`` of a struct of the values, each of which is computed once."""
-    row = F.struct(*(value.alias(name) for name, value in values.items()))
-    return F.transform(F.array(row), use)[0]
-
-
 def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x)
 
@@ -260,7 +244,7 @@ def _p_value(body: Column, alphabet: Column) -> Column:
     )
 
     def second(x: Column) -> Column:
-        return _let(
+        return let(
             third,
             n=x["n"],
             places=x["places"],
@@ -273,7 +257,7 @@ def _p_value(body: Column, alphabet: Column) -> Column:
     def third(x: Column) -> Column:
         turns = _neighbours(x["high"], x["n"].cast("int"), lambda a, b: (a != b).cast("double"))
         around = F.transform(x["places"], lambda v: v - x["mean"])
-        return _let(
+        return let(
             fourth,
             n=x["n"],
             k=x["k"],
@@ -285,7 +269,7 @@ def _p_value(body: Column, alphabet: Column) -> Column:
 
     def fourth(x: Column) -> Column:
         products = _neighbours(x["around"], x["n"].cast("int"), lambda a, b: a * b)
-        return _let(
+        return let(
             tests,
             n=x["n"],
             k=x["k"],
@@ -311,12 +295,12 @@ def _p_value(body: Column, alphabet: Column) -> Column:
                 F.when(x["power"] > 0, F.least(F.lit(1.0), 2 * _upper_tail(serial))).otherwise(0.0),
             )
         ]
-        return _let(fisher, half=-(logs[0] + logs[1] + logs[2]))
+        return let(fisher, half=-(logs[0] + logs[1] + logs[2]))
 
     def fisher(x: Column) -> Column:  # chi-squared with 6 degrees
         return F.exp(-x["half"]) * (1 + x["half"] + x["half"] * x["half"] / 2)
 
-    return _let(second, places=places, n=F.length(body).cast("double"))
+    return let(second, places=places, n=F.length(body).cast("double"))
 
 
 def _upper_tail(z: Column) -> Column:
