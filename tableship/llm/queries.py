@@ -17,6 +17,7 @@ from tableship.llm import (
     merkle_manifest,
     ngram_join,
     packing,
+    pii_scan,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -116,9 +117,8 @@ def op6_quality_rules(spark, sf_dir):
     )
 
 
-@query()
-def op10_secret_scan(spark, sf_dir):
-    found = secret_scan.scan_narrow(table(spark, sf_dir, "documents"))
+def _span_digests(found, base_kinds):
+    """Counts of the base kinds, the digest of their spans, and all spans as text."""
 
     def joined(spans):
         parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
@@ -128,16 +128,21 @@ def op10_secret_scan(spark, sf_dir):
         of_kind = F.filter("spans", lambda s: s["kind"] == kind)
         return F.size(of_kind).cast("long").alias(f"n_{kind}")
 
-    base = F.filter("spans", lambda s: s["kind"] != "random")
-    counts = [count(kind) for kind in secret_scan.KINDS[:3]]
+    base = F.filter("spans", lambda s: s["kind"].isin(*base_kinds))
     return found.select(
         F.col("id").alias("doc_id"),
-        *counts,
+        *map(count, base_kinds),
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
 
 
+@query()
+def op10_secret_scan(spark, sf_dir):
+    found = secret_scan.scan_narrow(table(spark, sf_dir, "documents"))
+    return _span_digests(found, secret_scan.KINDS[:3])
+
+
 @query()
 def op9_license_scan(spark, sf_dir):
     found = license_scan.scan(table(spark, sf_dir, "documents"))
@@ -525,3 +530,8 @@ def op12_merkle_manifest(spark, sf_dir):
 )
 def op11_collocations(spark, sf_dir):
     return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_pii_scan(spark, sf_dir):
+    return _span_digests(pii_scan.scan_narrow(table(spark, sf_dir, "documents")), pii_scan.BASE)
