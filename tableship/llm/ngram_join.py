@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
 from tableship.llm.common import IdMarks, packed, runs, staged, texts
-from tableship.llm.components import components
+from tableship.llm.components import Parts, components
 
 #: Groups of at most so many rows are compared together with others.
 _FEW = 8
@@ -288,8 +288,8 @@ def keep(
 
 
 def _similar(firsts: DataFrame, options: Options) -> DataFrame:
-    """Spanning forests of the pairs that share a first token and that sizes and bitmaps do
-    not rule out."""
+    """The connected parts, as stars, of the pairs that share a first token and that sizes and
+    bitmaps do not rule out. A part that meets under many tokens gives the same star for each."""
     places = firsts.select(F.explode("prefix").alias("token"), "first")
     # One exchange by token serves both the counts and the join.
     places = places.repartition("token")
@@ -301,10 +301,14 @@ def _similar(firsts: DataFrame, options: Options) -> DataFrame:
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts()
         for rows, starts in runs(batches, 3):
-            yield _edges(*_bitmap_pairs(rows, starts, options))
+            parts.add(*_bitmap_pairs(rows, starts, options))
+            if parts.full():
+                yield _edges(*parts.stars())
+        yield _edges(*parts.stars())
 
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def _links(
@@ -315,7 +319,7 @@ def _links(
     maybe: DataFrame,
     options: Options,
 ) -> DataFrame:
-    """Spanning forests of the verified links within each part of ``maybe``."""
+    """The connected parts, as stars, of the verified links within each part of ``maybe``."""
     sizes = maybe.groupBy("component").agg(F.count("*").alias("m"))
     members = maybe.join(sizes, "component").select(
         F.col("component").alias("token"), F.col("node").alias("first"), "m"
@@ -331,11 +335,15 @@ def _links(
     rows = rows.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts()
         for rows, starts in runs(batches, 3):
             for start, stop in zip(starts, starts[1:], strict=False):
                 if stop - start > 1:
                     group = rows.slice(start, stop - start)
-                    yield _edges(*_verified_forest(group, options))
+                    parts.add(*_verified_forest(group, options))
+            if parts.full():
+                yield _edges(*parts.stars())
+        yield _edges(*parts.stars())
 
     return rows.mapInArrow(verify, "a long, b long")
 
