@@ -60,8 +60,8 @@ def export_dataset(
     files by the writer). Without it one even shuffle gives each file its share. A version
     that is already there is never overwritten unless ``mode`` says so.
 
-    Passes over the source: one count (answered from Parquet footers), the sampling
-    pass of the range shuffle where ordered, and the write. Row count and content hash
+    Passes over the source: one count (answered from Parquet footers), where ordered one over
+    the keys alone (see ``arrange_ordered``), and the write. Row count and content hash
     of the written rows are observed during the write itself.
     """
     version = version or new_version()

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from bisect import bisect_left
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableship.functions.columns import newest_first, unused_name
+from tableship.functions.columns import col, newest_first, unused_name
 
 # Fixed value: rows per output file.
 ROWS_PER_FILE = 100_000
 
+#: Largest accuracy a quantile sketch takes; ranks are then off by about one in 10,000.
+_MOST_ACCURATE = 65_535
+
 
 def target_files(
     rows: int,
@@ -36,9 +43,21 @@ def arrange_ordered(
     ranges are cut by a running number, so neither one time nor one row repeated for a third
     of the table ends up in one partition. A repeated task must number its rows as before, so
     ``df`` has to be a plain file scan (see ``stage``).
+
+    Where all keys are times, dates or whole numbers, the bounds come from sketches over the
+    keys alone, and whole rows are read once, with the number of their range. Keys of other
+    types go through Spark's range shuffle, whose sampling pass reads whole rows as well.
     """
     keys = newest_first(order_by, list(tie_break))
+    places = [_place(df, name) for name in (order_by, *tie_break)]
     row_no = unused_name(df, "_row_no")
+    if ranges > 1 and all(place is not None for place in places):
+        # A column of its own: it must not be counted inside another expression.
+        rows = df.withColumn(row_no, F.monotonically_increasing_id())
+        number = unused_name(rows, "_range")
+        numbered = rows.withColumn(number, range_numbers(rows, ranges, [*places, col(row_no)]))
+        arranged = numbered.repartitionById(ranges, number).sortWithinPartitions(*keys)
+        return arranged.drop(number, row_no)
     return (
         df.withColumn(row_no, F.monotonically_increasing_id())
         .repartitionByRange(ranges, *keys, row_no)
@@ -47,6 +66,113 @@ def arrange_ordered(
     )
 
 
+def range_numbers(df: DataFrame, ranges: int, places: list[Column]) -> Column:
+    """Number of the range a row belongs to, 0 to ``ranges - 1``, by whole numbers ``places`` that
+    ascend in the wished order; the last one should differ from row to row.
+
+    A quantile sketch of the first place gives one upper bound per range. A value that is the
+    bound of several ranges fills them all, so they are cut by the next place, with a sketch of
+    the rows of that value alone, and so on. Each level reads the places only; the driver gets
+    as many numbers as there are ranges.
+    """
+    narrow = df.select(*[place.alias(f"p{i}") for i, place in enumerate(places)])
+    # A group of rows equal in all places so far, as text: its first range and how many it has.
+    groups, levels = {"": (0, ranges)}, []
+    for depth in range(len(places)):
+        bounds = _quantiles(narrow, depth, {key: n for key, (_, n) in groups.items()})
+        levels.append({key: (groups[key][0], found) for key, found in bounds.items()})
+        deeper = {}
+        for key, found in bounds.items():
+            for value, n in Counter(found).items():
+                if n > 1:
+                    first = groups[key][0] + bisect_left(found, value)
+                    deeper[f"{key},{value}"] = (first, n)
+        if not deeper:
+            break
+        groups = deeper
+    numbers = [_number(level, places[:depth], places[depth]) for depth, level in enumerate(levels)]
+    return F.coalesce(*reversed(numbers)).cast("int")
+
+
+def _key(places: list[Column]) -> Column:
+    return F.concat(F.lit(""), *(F.concat(F.lit(","), p.cast("string")) for p in places))
+
+
+def _quantiles(narrow: DataFrame, depth: int, wanted: dict[str, int]) -> dict[str, list[int]]:
+    """For each group its ``n`` upper bounds of ranges with equal shares, the last one its maximum."""
+    most = max(wanted.values())
+    accuracy = min(_MOST_ACCURATE, max(200, 16 * most))
+    key = _key([F.col(f"p{i}") for i in range(depth)])
+    rows = narrow.select(key.alias("key"), F.col(f"p{depth}").alias("place"))
+    if depth:
+        rows = rows.where(F.col("key").isin(list(wanted)))
+    sketches = rows.groupBy("key").agg(
+        F.kll_sketch_agg_bigint("place", accuracy).alias("sketch"), F.max("place").alias("last")
+    )
+    found = {}
+    for n in sorted(set(wanted.values())):
+        shares = F.array(*(F.lit(i / n) for i in range(1, n))) if n > 1 else F.array().cast("array<double>")
+        of_size = sketches.where(F.col("key").isin([k for k, size in wanted.items() if size == n]))
+        bounds = F.kll_sketch_get_quantile_bigint("sketch", shares)
+        for row in of_size.select("key", bounds.alias("bounds"), "last").collect():
+            found[row["key"]] = [*row["bounds"], row["last"]]
+    return found
+
+
+def _number(level: dict[str, tuple[int, list[int]]], before: list[Column], place: Column) -> Column:
+    """First range of the row's group and the number of bounds below its place; null for rows
+    of no group of this level."""
+    steps = max(len(bounds) for _, bounds in level.values()).bit_length() + 1
+
+    def within(first: Column, bounds: Column) -> Column:
+        # The place is bound once, not worked out again at each step.
+        return first + F.transform(F.array(place), lambda at: below(at, bounds))[0]
+
+    def below(at: Column, bounds: Column) -> Column:
+        def halve(state: Column, _: Column) -> Column:
+            middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+            done = state["low"] >= state["high"]
+            lower = F.get(bounds, middle) < at
+            return F.struct(
+                F.when(~done & lower, middle + 1).otherwise(state["low"]).alias("low"),
+                F.when(~done & ~lower, middle).otherwise(state["high"]).alias("high"),
+            )
+
+        # The last bound is the largest place there is.
+        ends = F.struct(F.lit(0).alias("low"), (F.size(bounds) - 1).alias("high"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), ends, halve, lambda s: s["low"])
+
+    if not before:
+        first, bounds = level[""]
+        return within(F.lit(first), F.lit(bounds))
+    entries = []
+    for key, (first, bounds) in level.items():
+        entries += [F.lit(key), F.struct(F.lit(first).alias("first"), F.lit(bounds).alias("bounds"))]
+    group = F.create_map(*entries)[_key(before)]
+    return F.when(group.isNotNull(), within(group["first"], group["bounds"]))
+
+
+def _place(df: DataFrame, name: str) -> Column | None:
+    """A whole number that ascends from the newest to the oldest row, nulls last; None for types
+    that have none."""
+    kind, value = df.schema[name].dataType, col(name)
+    if isinstance(kind, T.TimestampType):
+        number = F.unix_micros(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        # Without a zone: the days and the time of day as they are written.
+        seconds = F.hour(value) * 3600 + F.minute(value) * 60
+        micros = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        days = F.unix_date(value.cast("date")).cast("bigint")
+        number = (days * 86_400 + seconds) * 1_000_000 + micros
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("bigint")
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = value.cast("bigint")
+    else:
+        return None
+    return F.coalesce(F.bitwise_not(number), F.lit(2**63 - 1))
+
+
 def arrange_unordered(df: DataFrame, files: int) -> DataFrame:
     """``files`` partitions of nearly equal size, by one even shuffle; ``df`` has to be a plain
     file scan. ``coalesce`` is not used: it would pull the scan itself into as few tasks as

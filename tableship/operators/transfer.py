@@ -17,7 +17,11 @@ SPLIT_BYTES = 1 << 30
 LOG_FOLDER = "_transfer"
 
 CHUNK_OUTCOME = "rel_path string, start bigint, size bigint, sha256 string, error string"
-FILE_OUTCOME = "rel_path string, bytes bigint, chunks bigint, ok boolean, error string"
+FILE_OUTCOME = (
+    "rel_path string, bytes bigint, chunks bigint, reused bigint, ok boolean, error string"
+)
+#: What a task writes down of a chunk once its bytes are on disk.
+JOURNAL = "rel_path string, start bigint, size bigint, length bigint, modified bigint, sha256 string"
 
 
 class TransferError(RuntimeError):
@@ -72,6 +76,7 @@ def copy_files(
     attempts: int = 3,
     check_content: bool = True,
     replace: bool = False,
+    resume: bool = False,
 ) -> DataFrame:
     """Byte copy of every visible file below ``source``, one outcome row per file.
 
@@ -82,6 +87,12 @@ def copy_files(
     every chunk back in a second job, so that a file with a hole is not finished. Outcomes are
     kept in ``{target}/_transfer``.
 
+    Tasks keep a journal there of the chunks they have written, line by line. ``resume`` goes on
+    with the last copy to this target, however it ended (a lost driver, failed files): chunks
+    in its journal, of source files whose length and time are unchanged, are read back in the
+    target, and only those that are missing or differ are copied. ``reused`` is the number of
+    chunks of a file that were found to be there. Without an earlier copy it is a new one.
+
     Both folders have to be mounted by the driver and all executors: other schemes than
     ``file`` are refused, and every task looks for a mark the driver has left in the target.
     A target with visible files the source does not have is refused unless ``replace`` is set
@@ -106,33 +117,48 @@ def copy_files(
     )
     size = F.least(F.col("length") - F.col("start"), F.lit(split_bytes))
     chunks = manifest.select(
-        "rel_path", plain_name(F.col("path")).alias("source"), "length", F.explode(starts).alias("start")
-    ).select("rel_path", "source", "start", size.alias("size"))
+        "rel_path",
+        plain_name(F.col("path")).alias("source"),
+        "length",
+        F.coalesce(F.unix_micros("modified"), F.lit(0)).alias("since"),
+        F.explode(starts).alias("start"),
+    ).select(
+        "rel_path", "source", "start", size.alias("size"), "length", F.col("since").alias("modified")
+    )
 
-    transfer_id = uuid.uuid4().hex
-    log = f"{target.rstrip('/')}/{LOG_FOLDER}/{transfer_id}"
     root = plain_path(target)
-    tasks = _task_count(spark, chunks)
+    earlier = _last_transfer(root) if resume else None
+    transfer_id = earlier or uuid.uuid4().hex
+    journal = f"{root}/{LOG_FOLDER}/{transfer_id}/journal"
+    log = f"{target.rstrip('/')}/{LOG_FOLDER}/{transfer_id}/run-{uuid.uuid4().hex}"
     mark = os.path.join(root, LOG_FOLDER, f"mark-{transfer_id}")
-    os.makedirs(os.path.dirname(mark), exist_ok=True)
+    os.makedirs(journal, exist_ok=True)
     with open(mark, "w") as file:
         file.write(transfer_id)
+    check = _chunk_checker(root, transfer_id)
 
-    copier = _chunk_copier(root, transfer_id, attempts, mark)
+    present = None
+    if earlier:
+        present = _journaled(spark, journal, chunks, check, f"{log}/present")
+        chunks = chunks.join(present, ["rel_path", "start"], "left_anti")
+    tasks = _task_count(spark, chunks)
+    copier = _chunk_copier(root, transfer_id, attempts, mark, journal)
     copied = chunks.repartition(tasks).mapInPandas(copier, CHUNK_OUTCOME)
     copied.write.parquet(f"{log}/chunks")
 
     # The log is read back, so nothing below can trigger the copy a second time.
     arrived = spark.read.schema(CHUNK_OUTCOME).parquet(f"{log}/chunks")
     if check_content:
-        read_back = arrived.repartition(tasks).mapInPandas(
-            _chunk_checker(root, transfer_id), CHUNK_OUTCOME
-        )
+        read_back = arrived.repartition(tasks).mapInPandas(check, CHUNK_OUTCOME)
         read_back.write.parquet(f"{log}/checked")
         arrived = spark.read.schema(CHUNK_OUTCOME).parquet(f"{log}/checked")
+    arrived = arrived.withColumn("reused", F.lit(0))
+    if present is not None:
+        arrived = arrived.unionByName(present.withColumn("reused", F.lit(1)))
     per_file = arrived.groupBy("rel_path").agg(
         F.sum("size").alias("bytes"),
         F.count(F.lit(1)).alias("chunks"),
+        F.sum("reused").alias("reused"),
         F.max("error").alias("error"),
     )
     finished = per_file.mapInPandas(_file_finisher(root, transfer_id), FILE_OUTCOME)
@@ -162,6 +188,31 @@ def transfer_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _last_transfer(root: str) -> str | None:
+    """The copy to this folder that was begun last, of those that have a journal."""
+    log = os.path.join(root, LOG_FOLDER)
+    begun = []
+    for name in os.listdir(log) if os.path.isdir(log) else ():
+        journal = os.path.join(log, name, "journal")
+        if os.path.isdir(journal):
+            begun.append((os.stat(journal).st_mtime_ns, name))
+    return max(begun)[1] if begun else None
+
+
+def _journaled(spark, journal: str, chunks: DataFrame, check, log: str) -> DataFrame:
+    """Chunks of the journal that are wanted as they were then, and are in the target."""
+    # A line that a lost task has left unfinished is passed over.
+    lines = spark.read.schema(JOURNAL).option("mode", "DROPMALFORMED").json(f"file://{journal}")
+    same = ["rel_path", "start", "size", "length", "modified"]
+    known = lines.where(F.col("sha256").isNotNull()).dropDuplicates([*same, "sha256"])
+    known = chunks.select(*same).join(known, same)
+    known = known.select("rel_path", "start", "size", "sha256", F.lit(None).cast("string").alias("error"))
+    known.repartition(_task_count(spark, known)).mapInPandas(check, CHUNK_OUTCOME).write.parquet(log)
+    found = spark.read.schema(CHUNK_OUTCOME).parquet(log).where("error IS NULL")
+    # Written twice, a chunk may be known by two checksums; only one of them can be there.
+    return found.dropDuplicates(["rel_path", "start"])
+
+
 def _task_count(spark: SparkSession, chunks: DataFrame) -> int:
     """About 1 GiB for each task, but never more tasks than chunks."""
     totals = chunks.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
@@ -199,9 +250,11 @@ def _chunk_checker(target_root, transfer_id):
             if isinstance(error, str):
                 return error
             folder, name = os.path.split(os.path.join(target_root, rel_path))
+            part = os.path.join(folder, f".{name}.{transfer_id}")
             sha = hashlib.sha256()
             try:
-                with open(os.path.join(folder, f".{name}.{transfer_id}"), "rb") as f:
+                # A file that an earlier run has finished has its own name.
+                with open(part if os.path.exists(part) else os.path.join(folder, name), "rb") as f:
                     f.seek(start)
                     left = size
                     while left and (data := f.read(min(8 << 20, left))):
@@ -224,14 +277,17 @@ def _chunk_checker(target_root, transfer_id):
     return check_batches
 
 
-def _chunk_copier(target_root, transfer_id, attempts, mark):
+def _chunk_copier(target_root, transfer_id, attempts, mark, journal=None):
     def copy_batches(batches):
         import hashlib
+        import json
         import os
+        import uuid
 
         import pandas as pd
 
         block = 8 << 20
+        lines = journal and os.path.join(journal, f"{uuid.uuid4().hex}.json")
 
         def blocks(path, start, size):
             with open(path, "rb") as f:
@@ -250,7 +306,14 @@ def _chunk_copier(target_root, transfer_id, attempts, mark):
             except OSError:
                 return False
 
-        def copy(rel_path, source, start, size):
+        def note(chunk, sha256):
+            kept = ("rel_path", "start", "size", "length", "modified")
+            with open(lines, "a") as f:
+                f.write(json.dumps({c: chunk[c] for c in kept} | {"sha256": sha256}) + "\n")
+                f.flush()
+                os.fsync(f.fileno())
+
+        def copy(rel_path, source, start, size, length=None, **_):
             if not shared():
                 raise OSError(f"{target_root} here is not the folder the driver sees")
             final = os.path.join(target_root, rel_path)
@@ -267,23 +330,29 @@ def _chunk_copier(target_root, transfer_id, attempts, mark):
                     while view:
                         n = os.pwrite(out, view, at)
                         view, at = view[n:], at + n
+                # An earlier run may have begun with a longer file of that name.
+                if length is not None and os.fstat(out).st_size > length:
+                    os.ftruncate(out, length)
                 os.fsync(out)
             finally:
                 os.close(out)
             return sha.hexdigest()
 
-        def outcome(rel_path, source, start, size):
+        def outcome(chunk):
+            place = chunk["rel_path"], chunk["start"], chunk["size"]
             for attempt in range(1, attempts + 1):
                 try:
-                    return rel_path, start, size, copy(rel_path, source, start, size), None
+                    sha256 = copy(**chunk)
+                    if lines:
+                        note(chunk, sha256)
+                    return *place, sha256, None
                 except OSError as e:
                     if attempt == attempts:
-                        return rel_path, start, size, None, f"{type(e).__name__}: {e}"
+                        return *place, None, f"{type(e).__name__}: {e}"
 
         columns = ["rel_path", "start", "size", "sha256", "error"]
         for batch in batches:
-            given = zip(batch["rel_path"], batch["source"], batch["start"], batch["size"])
-            rows = [outcome(r, s, int(a), int(n)) for r, s, a, n in given]
+            rows = [outcome(chunk) for chunk in batch.to_dict("records")]
             yield pd.DataFrame(rows, columns=columns)
 
     return copy_batches
@@ -309,14 +378,14 @@ def _file_finisher(target_root, transfer_id):
                 return f"{type(e).__name__}: {e}"
             return None if arrived == size else f"{arrived} of {size} bytes arrived"
 
-        columns = ["rel_path", "bytes", "chunks", "ok", "error"]
+        columns = ["rel_path", "bytes", "chunks", "reused", "ok", "error"]
         for batch in batches:
             rows = []
-            for r, size, n, error in zip(
-                batch["rel_path"], batch["bytes"], batch["chunks"], batch["error"]
+            for r, size, n, reused, error in zip(
+                *(batch[c] for c in ("rel_path", "bytes", "chunks", "reused", "error"))
             ):
                 error = finish(r, int(size), error if isinstance(error, str) else None)
-                rows.append((r, int(size), int(n), error is None, error))
+                rows.append((r, int(size), int(n), int(reused), error is None, error))
             yield pd.DataFrame(rows, columns=columns)
 
     return finish_batches

@@ -3,13 +3,14 @@ gives the same rows. Every query reads whole tables; writers use the shared fold
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tableship as ts
-from tableship.functions.paths import new_version
+from tableship.functions.paths import new_version, plain_path
 from tableship.session import fresh_folder
 
 QUERIES = {}
@@ -327,6 +328,25 @@ def transfer_files(spark, sf_dir):
     return ts.transfer_summary(outcomes).drop("total_bytes")
 
 
+@query(
+    "SELECT CAST(greatest(1, count(*) // 10000) AS BIGINT) AS total_files, true AS complete, "
+    "CAST(greatest(1, count(*) // 10000) - 1 AS BIGINT) AS reused_files FROM lineitem"
+)
+def transfer_resumed(spark, sf_dir):
+    """A copy that lost a file afterwards and is resumed: the others are found to be there."""
+    export = _export(spark, sf_dir, "lineitem", order_by="l_shipdate", rows_per_file=10_000)
+    copy = fresh_folder(spark, "copy")
+    ts.copy_files(spark, export.path, copy)
+    lost = ts.file_manifest(spark, copy).orderBy("rel_path").first()["path"]
+    os.remove(plain_path(lost))
+    resumed = ts.copy_files(spark, export.path, copy, resume=True)
+    return resumed.agg(
+        F.count(F.lit(1)).alias("total_files"),
+        F.bool_and("ok").alias("complete"),
+        F.count_if(F.col("reused") == F.col("chunks")).alias("reused_files"),
+    )
+
+
 @query("SELECT * FROM pages")
 def transfer_files_content(spark, sf_dir):
     """Rows read from a byte copy, in chunks far smaller than the files."""

@@ -228,3 +228,56 @@ def test_verify_export_notices_tampering(spark, load, folder):
     for given in (None, load("orders")):
         with pytest.raises(ValueError, match="rows"):
             ts.verify_export(spark, export, given)
+
+
+def test_hot_time_is_cut_by_the_tie_break_and_then_by_place(spark):
+    """A third of the rows has one time, half of these one identifier as well, and some have no
+    time: ranges still have about equal shares and follow each other in order."""
+    n = 9_000
+    when = F.expr(
+        "CASE WHEN id % 3 = 0 THEN TIMESTAMP_NTZ'2024-01-02 00:00:00.5'"
+        " WHEN id % 50 = 1 THEN NULL"
+        " ELSE TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id AS INT)) END"
+    )
+    tie = F.expr("CASE WHEN id % 6 = 0 THEN 7 ELSE id END").alias("tie")
+    df = spark.range(0, n, 1, 3).select(F.col("id"), when.alias("t"), tie)
+    arranged = arrange_ordered(df, 30, "t", ["tie"])
+    rows = arranged.withColumn("part", F.spark_partition_id()).collect()
+    assert len(rows) == n and len({r["id"] for r in rows}) == n
+    shares = [0] * 30
+    for r in rows:
+        shares[r["part"]] += 1
+    assert min(shares) > 0 and max(shares) <= 2 * n / 30
+    keys = [(r["part"], r["t"], r["tie"]) for r in rows]
+    keys.sort(key=lambda k: k[0])
+    by_part = [[k[1:] for k in keys if k[0] == p] for p in range(30)]
+
+    def older(key):
+        return (key[0] is None, -key[0].timestamp() if key[0] else 0, -key[1])
+
+    flat = [older(k) for part in by_part for k in sorted(part, key=older)]
+    assert flat == sorted(flat)
+
+
+def test_bounds_read_the_keys_alone(spark):
+    """The only scan of whole rows is the one that is shuffled."""
+    df = source(spark, "lineitem").frame
+    arranged = arrange_ordered(df, 6, "l_shipdate", ["l_orderkey", "l_linenumber"])
+    plan = plan_of(arranged)
+    assert "rangepartitioning" not in plan.lower() and plan.count("FileScan") <= 1
+    df = df.withColumn("row_no", F.monotonically_increasing_id())
+    numbers = layout.range_numbers(df, 6, [layout._place(df, "l_shipdate"), F.col("row_no")])
+    assert df.select(numbers.alias("n")).distinct().count() == 6
+
+
+def test_keys_without_a_whole_number_use_the_range_shuffle(spark):
+    df = source(spark, "orders").frame
+    assert layout._place(df, "o_orderstatus") is None
+    parts_of = arrange_ordered(df, 4, "o_orderpriority", ["o_orderkey"])
+    rows = parts_of.select("o_orderpriority", F.spark_partition_id().alias("part")).collect()
+    bounds = [
+        (min(v), max(v))
+        for p in range(4)
+        if (v := [r["o_orderpriority"] for r in rows if r["part"] == p])
+    ]
+    assert all(a[0] >= b[1] for a, b in zip(bounds, bounds[1:], strict=False))

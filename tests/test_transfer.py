@@ -4,6 +4,7 @@ import glob
 import hashlib
 import os
 
+import pandas as pd
 import pytest
 from conftest import SF_DIR, assert_same_rows
 from pyspark.sql import functions as F
@@ -131,3 +132,59 @@ def test_overlapping_roots_and_unknown_modes(spark, dataset):
 def test_transfer_of_a_single_file_dataset(spark, load, folder):
     copy = ts.transfer_dataset(spark, f"{SF_DIR}/region.parquet", f"{folder}/copy")
     assert_same_rows(copy, load("region"))
+
+
+def begun(spark, source, target, chunks, split=10_000):
+    """What a copy leaves behind whose driver was lost after so many chunks."""
+    from tableship.functions.paths import plain_name
+    from tableship.operators import transfer
+
+    root = f"{target}/_transfer/lost"
+    os.makedirs(f"{root}/journal")
+    mark = f"{target}/_transfer/mark-lost"
+    with open(mark, "w") as f:
+        f.write("lost")
+    rows = []
+    manifest = ts.file_manifest(spark, source)
+    files = manifest.select("rel_path", plain_name(F.col("path")).alias("path"), "length", F.unix_micros("modified").alias("m"))
+    for f in files.orderBy("rel_path").collect():
+        for start in range(0, f["length"], split):
+            size = min(split, f["length"] - start)
+            rows.append((f["rel_path"], f["path"], start, size, f["length"], f["m"]))
+    columns = ["rel_path", "source", "start", "size", "length", "modified"]
+    copier = transfer._chunk_copier(target, "lost", 1, mark, f"{root}/journal")
+    done = list(copier(iter([pd.DataFrame(rows[:chunks], columns=columns)])))
+    assert done[0]["error"].isna().all()
+    return len(rows)
+
+
+def test_a_lost_copy_is_resumed(spark, dataset, folder):
+    target = f"{folder}/copy"
+    n = begun(spark, dataset, target, 7)
+    with open(glob.glob(f"{target}/_transfer/lost/journal/*")[0], "a") as f:
+        f.write('{"rel_path": "unfini')  # a line the lost task did not get to end
+    outcomes = ts.copy_files(spark, dataset, target, split_bytes=10_000, resume=True)
+    seen = outcomes.agg(F.sum("chunks").alias("chunks"), F.sum("reused").alias("reused")).first()
+    assert (seen["chunks"], seen["reused"]) == (n, 7)
+    assert digests(target) == digests(dataset)
+
+
+def test_resume_copies_again_what_is_damaged_gone_or_changed(spark, dataset, folder):
+    target = f"{folder}/copy"
+    ts.copy_files(spark, dataset, target)
+    files = sorted(os.path.basename(f) for f in glob.glob(f"{dataset}/*.parquet"))
+    os.remove(f"{target}/{files[0]}")
+    with open(f"{target}/{files[1]}", "r+b") as f:
+        f.seek(100)
+        f.write(b"damaged")
+    with open(f"{dataset}/{files[2]}", "r+b") as f:
+        f.truncate(50)
+    outcomes = {r["rel_path"]: r for r in ts.copy_files(spark, dataset, target, resume=True).collect()}
+    assert [outcomes[f]["reused"] for f in files] == [0, 0, 0, 1, 1, 1]
+    assert all(r["ok"] for r in outcomes.values())
+    assert digests(target) == digests(dataset)
+
+
+def test_resume_without_an_earlier_copy(spark, dataset, folder):
+    outcomes = ts.copy_files(spark, dataset, f"{folder}/copy", resume=True)
+    assert outcomes.where("ok AND reused = 0").count() == 6
