@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableship.llm import ngram_join, queries, vector_search
-from tableship.llm.components import components
+from tableship.llm.components import Parts, components, contracted
 
 from .conftest import SCHEMA, full, prose
 
@@ -174,3 +174,31 @@ def test_repeated_rows_are_separate_vectors(spark):
 def test_search_of_an_empty_table(spark):
     empty = spark.createDataFrame([], VECTOR_SCHEMA)
     assert vector_search.search(empty, F.col("id") % 50 == 0).count() == 0
+
+
+def test_near_copies_give_no_more_pairs_than_documents(spark):
+    """Each near copy shares many first tokens with all others."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for k in range(300):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    options = ngram_join.Options(percent=80, words=5)
+    firsts = ngram_join.describe(docs, options=options).select(F.col("id").alias("first"), "class", "n", "prefix", "bitmap")
+    edges = ngram_join._similar(firsts, options)
+    tasks = edges.select(F.spark_partition_id()).distinct().count()
+    assert edges.count() <= 300 * tasks
+    assert contracted(edges).count() < 300 + 10 * tasks
+    assert ngram_join.join(docs, options=options).select("component").distinct().count() == 1
+
+
+def test_parts_of_a_task_become_stars():
+    parts = Parts()
+    parts.add([5, 9, 3], [9, 7, 4])
+    parts.add([7, 1], [8, 1])
+    assert sorted(zip(*parts.stars(), strict=True)) == [(3, 4), (5, 7), (5, 8), (5, 9)]
+    assert parts.stars() == ([], [])
