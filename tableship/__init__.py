@@ -38,6 +38,15 @@ from tableship.plans.verify import (
     verify_import,
 )
 from tableship.session import cluster_conf, get_session
+from tableship.sources.footers import (
+    FooterIndex,
+    column_bytes,
+    footer_index,
+    indexed_null_counts,
+    indexed_range,
+    indexed_row_count,
+    schema_versions,
+)
 from tableship.sources.manifest import compare_manifests, file_manifest, file_rows, file_stats
 from tableship.sources.resolve import (
     Source,

@@ -48,6 +48,47 @@ def _table_name(name: str) -> str:
 # Profiles
 
 
+@query(
+    "SELECT count(*) AS total_rows, min(ts) AS earliest, max(ts) AS latest, "
+    "count(*) - count(nullif(event_type, 'click')) AS event_type_nulls, "
+    "CAST(0 AS BIGINT) AS event_id_nulls, CAST(greatest(1, count(*) // 3000) AS BIGINT) AS files, "
+    "CAST(1 AS BIGINT) AS schemas FROM events"
+)
+def footer_profile(spark, sf_dir):
+    """Counts, nulls and range of an export in several files, from its footers alone."""
+    events = _table(spark, sf_dir, "events").withColumn(
+        "event_type", F.nullif("event_type", F.lit("click"))
+    )
+    source = ts.resolve_source(spark, frame=events)
+    root = fresh_folder(spark, "export")
+    export = ts.export_dataset(source, root, "events", order_by="ts", rows_per_file=3_000)
+    index = ts.footer_index(spark, export.path)
+    nulls = ts.indexed_null_counts(index).select(
+        F.col("event_type").alias("event_type_nulls"), F.col("event_id").alias("event_id_nulls")
+    )
+    schemas = ts.schema_versions(index).agg(
+        F.sum("files").alias("files"), F.count(F.lit(1)).alias("schemas")
+    )
+    # One row each.
+    return ts.indexed_row_count(index).join(ts.indexed_range(index, "ts")).join(nulls).join(schemas)
+
+
+@query(
+    "SELECT CAST(1 AS BIGINT) AS files, count(*) FILTER (o_orderkey % 2 = 0) AS row_count, "
+    "true AS has_status FROM orders "
+    "UNION ALL SELECT 1, count(*) FILTER (o_orderkey % 2 = 1), false FROM orders"
+)
+def footer_schema_versions(spark, sf_dir):
+    """A folder whose files do not share a schema: each schema with its files and rows."""
+    orders, folder = _table(spark, sf_dir, "orders"), fresh_folder(spark, "mixed")
+    orders.where("o_orderkey % 2 = 0").coalesce(1).write.parquet(folder)
+    odd = orders.where("o_orderkey % 2 = 1").drop("o_orderstatus")
+    odd.coalesce(1).write.mode("append").parquet(folder)
+    found = ts.schema_versions(ts.footer_index(spark, folder))
+    status = F.col("schema_text").contains("o_orderstatus")
+    return found.select("files", "row_count", status.alias("has_status"))
+
+
 @query("SELECT count(*) AS total_rows FROM events")
 def row_count(spark, sf_dir):
     return ts.row_count(_table(spark, sf_dir, "events"))
