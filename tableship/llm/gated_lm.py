@@ -47,7 +47,8 @@ class Options:
     ``frequent``: share of all tokens from which on counts are broadcast; ``window``: tokens
     through which gradients flow; ``lanes``: documents side by side; ``held``: documents that
     are dealt to the lanes at once; ``first_share``: one in so many documents trains the first
-    round; ``rate``: step size."""
+    round; ``lane_tokens``: tokens of a lane in training, where there are enough for so many;
+    ``rate``: step size; ``held_back``: one in so many training documents judges each round."""
 
     hidden: int = 16
     classes: int = 32
@@ -57,7 +58,9 @@ class Options:
     lanes: int = 512
     held: int = 8192
     first_share: int = 16
-    rate: float = 0.05
+    lane_tokens: int = 2048
+    rate: float = 0.1
+    held_back: int = 64
 
 
 DEFAULTS = Options()
@@ -309,8 +312,10 @@ class Model:
         return logs, back
 
     def train(self, lanes: Lanes, squares: list[np.ndarray]) -> None:
-        """One pass over the lanes; a step per window."""
+        """One pass over the lanes; a step per window, by the share of a whole window's tokens
+        that it has, so that a few lanes that go on longer do not take whole steps."""
         h = self.options.hidden
+        full = self.options.window * len(lanes.sizes)
         for _, active, symbols, before, going, steps in self.windows(lanes, self.options.window):
             gradients = [None, *(np.zeros_like(a) for a in self.arrays()[1:])]
             _, back = self.outputs(symbols, before, gradients)
@@ -336,7 +341,7 @@ class Model:
             gradients[0] = np.add.reduceat(given[order], first, axis=0)
             kinds = ordered[first]
             for k, (array, gradient) in enumerate(zip(self.arrays(), gradients, strict=True)):
-                gradient /= len(symbols)
+                gradient /= full
                 rows = kinds if k == 0 else slice(None)
                 square = squares[k][rows] + gradient * gradient
                 squares[k][rows] = square
@@ -398,6 +403,15 @@ class Lanes:
         return self.window(0, int(self.sizes[0]))[0] if self.sizes[0] else []
 
 
+def segments(documents: list[np.ndarray], options: Options) -> tuple[list[np.ndarray], int]:
+    """Documents cut so that lanes end together, and the number of lanes: as many as get
+    ``lane_tokens`` each. In training the state begins anew at a cut; scores have no cuts."""
+    total = sum(map(len, documents))
+    lanes = max(16, min(options.lanes, total // options.lane_tokens))
+    size = max(4 * options.window, -(-total // lanes))
+    return [d[k : k + size] for d in documents for k in range(0, len(d), size)], lanes
+
+
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials of rows and their sums. Logarithms of shares are small; only if they ever
     are not, the largest of each row is taken off first."""
@@ -423,23 +437,26 @@ def train(
     docs: DataFrame, training: Column, lex: Lexicon, text: str = "text", options: Options = DEFAULTS
 ) -> Model:
     """Model from two rounds over the training documents. Copies are summed in tasks first; a
-    few rows of parameters reach the driver."""
+    few rows of parameters reach the driver. One in ``held_back`` of the documents, by a hash
+    of the text, is not trained on: a round after which these are less likely is not kept."""
     model = Model.start(lex, options)
     spark = docs.sparkSession
     words = spark.sparkContext.broadcast(lex)
     rows = docs.where(training).select(F.col(text).alias("text"))
     rows = rows.withColumn("share", F.pmod(F.xxhash64("text"), F.lit(options.first_share)))
+    judge = F.pmod(F.xxhash64("text", F.lit("judge")), F.lit(options.held_back)) == 0
+    judges, rows = rows.where(judge), rows.where(~judge)
     for part in (rows.where("share = 0"), rows):
         given = spark.sparkContext.broadcast(model)
 
         def fit(batches: Iterator[pa.RecordBatch], given=given) -> Iterator[pa.RecordBatch]:
             own = given.value.load(np.frombuffer(given.value.dump(), "<f4"))
-            squares = [np.full_like(a, 1e-3) for a in own.arrays()]
+            squares = [np.full_like(a, 1e-6) for a in own.arrays()]
             places, tokens = options.classes * options.members, 0
             for batch in slices(batches, options.held):
                 found = [_symbols(words.value, words_of(raw), places)[0] for raw in texts(batch)]
                 tokens += sum(map(len, found))
-                own.train(Lanes.of(found, options.lanes), squares)
+                own.train(Lanes.of(*segments(found, options)), squares)
             if tokens:
                 yield _weighted([np.frombuffer(own.dump(), "<f4")], [tokens])
 
@@ -458,10 +475,32 @@ def train(
         found = copies.collect()  # at most 8 rows
         if found:
             flat = [np.frombuffer(r["parameters"], "<f4") for r in found]
-            model = model.load(np.average(flat, axis=0, weights=[r["tokens"] for r in found]))
+            trained = model.load(np.average(flat, axis=0, weights=[r["tokens"] for r in found]))
+            before, after = _likelihoods(judges, words, [model, trained])
+            model = trained if after >= before else model
     return model
 
 
+def _likelihoods(rows: DataFrame, words, models: list[Model]) -> list[float]:
+    """Log10 probability of all texts under each model; 0 for no texts."""
+    given = rows.sparkSession.sparkContext.broadcast(models)
+    options = models[0].options
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = options.classes * options.members
+        for batch in slices(batches, options.held):
+            found = [_symbols(words.value, words_of(raw), places)[0] for raw in texts(batch)]
+            lanes = Lanes.of(found, options.lanes)
+            sums = [float(model.log10s(lanes).sum()) for model in given.value]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(sums)), pa.int32()), pa.array(sums, pa.float64())], ["model", "sum"]
+            )
+
+    judged = rows.select("text").mapInArrow(judge, "model int, sum double")
+    sums = {r["model"]: r["total"] for r in judged.groupBy("model").agg(F.sum("sum").alias("total")).collect()}
+    return [sums.get(k, 0.0) for k in range(len(models))]
+
+
 def _weighted(flat: list[np.ndarray], tokens: list[int]) -> pa.RecordBatch:
     raw = [f.astype("<f4").tobytes() for f in flat]
     return pa.RecordBatch.from_arrays(

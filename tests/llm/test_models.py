@@ -205,3 +205,21 @@ def test_words_with_a_place_of_their_own_and_shapes():
 
 def test_language_model_of_nothing(no_docs):
     assert gated_lm.score(no_docs, F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_training_helps_on_held_out_documents(spark, sf):
+    """Documents of very different lengths: the model must beat the counts it starts from."""
+    rows = queries.op8_gated_lm(spark, f"/root/testdata/{sf}").where("held_out").collect()
+    tokens = sum(r["n_tokens"] for r in rows)
+    base, model = (sum(r[c] for r in rows) / tokens for c in ("base_score", "score"))
+    assert model > base + (0.05 if sf == "sf0.01" else 0.0)
+
+
+def test_segments_lose_nothing():
+    documents = [np.arange(n) for n in (0, 1, 5, 40_000, 700)]
+    options = gated_lm.Options(lane_tokens=100, lanes=64)
+    cut, lanes = gated_lm.segments(documents, options)
+    assert lanes == 64 and max(map(len, cut)) <= -(-40_706 // 64)
+    assert np.concatenate(cut).tolist() == np.concatenate(documents).tolist()
+    assert gated_lm.segments([], options) == ([], 16)
