@@ -5,14 +5,20 @@ that mix digits and letters. A ``=`` before more of them is no padding: it parts
 its value. Each is taken for one of a few encodings, or where none fits, for a string over a
 joint alphabet of its letter case. Under the hypothesis of a random string
 three statistics get a p-value: the chi-squared distance from equal shares of the alphabet,
-the number of runs above and below its middle, and the correlation of neighbours; Fisher's
-method combines them. Long strings are tested with much more power than short ones, so the
-strings that are *not* random are found per encoding and length class, with the
-Benjamini-Hochberg rule over the whole corpus; what it does not reject is reported.
+the number of runs of digits, small letters, capitals and signs (ordinary strings have too
+few), and the correlation of neighbours; Fisher's method combines them.
+
+The p-values of random strings are even, those of ordinary ones lie near 0, and the nearer the
+longer the string. So over the whole corpus, per encoding and length class, the p-values are
+taken for a mixture of an even distribution and one of ordinary strings; its share is fitted.
+It gives each string its probability of being ordinary, and strings are reported from the
+largest p-value down while the mean of that probability among all reported, their expected
+false share, is at most ``false_share``.
 
 Only built-in functions are used. Null and empty texts have no spans; repeated rows are
-separate rows and count as often in the corpus-wide rule; a corpus without candidates has
-no thresholds and reports the fixed forms alone. Input columns travel in a struct, so their
+separate rows and count as often in the corpus-wide fit; strings with equal p-values (of one
+step) are reported together or not at all. A corpus without candidates, or an empty table, has
+no limits and reports the fixed forms alone. Very long texts are searched whole. Input columns travel in a struct, so their
 names are free.
 """
 
@@ -60,16 +66,30 @@ ENCODINGS = (
     ("joint", _UPPER + _LOWER + _DIGITS + "+/-_", r"^.+$"),
 )
 
+#: Kinds of characters: digits, small letters, capitals, signs.
+_KINDS_OF = (_DIGITS, _LOWER, _UPPER, "+/-_")
+
 #: Steps per power of ten and number of steps of the histogram of p-values.
 _STEPS, _TOP = 20, 400
 
+#: P-values of ordinary strings have density ``c * (1 - p) ** (c - 1)`` with these c and shares:
+#: strings that are hard, less hard and easy to tell from random ones. Measured on slugs, paths
+#: and identifiers of 20 to 60 characters; those of longer strings lie nearer to 0.
+ORDINARY = ((12, 0.05), (45, 0.35), (2000, 0.6))
+
+#: Random and ordinary strings assumed in each class beforehand.
+_ASSUMED = (1.0, 0.5)
+
+#: Rounds of the fit.
+_ROUNDS = 60
+
 
 @dataclass(frozen=True)
 class Options:
-    """``false_rejections``: share of random strings among those put aside as ordinary, at
+    """``false_share``: expected share of ordinary strings among the random ones reported, at
     most; ``placeholder``: what stands for a secret in redacted texts."""
 
-    false_rejections: float = 0.05
+    false_share: float = 0.05
     placeholder: str = "[secret]"
 
 
@@ -80,8 +100,7 @@ def scan(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) -> Da
     """``row`` (all columns of ``docs``) and ``spans``, an array of (kind, start, end) in code
     points, ordered by start and kind."""
     found = _candidates(packed(docs), F.col("row").getField(text))
-    limits = thresholds(found.select("random"), options)
-    return _with_spans(found, limits).select("row", "spans")
+    return _with_spans(found, limits(found.select("random"), options)).select("row", "spans")
 
 
 def scan_narrow(
@@ -91,7 +110,7 @@ def scan_narrow(
     found = _candidates(packed(docs), F.col("row").getField(text))
     found = found.select(F.col("row").getField(id_column).alias("id"), "base", "random")
     found = staged(found, "secret-candidates")
-    return _with_spans(found, thresholds(found.select("random"), options)).select("id", "spans")
+    return _with_spans(found, limits(found.select("random"), options)).select("id", "spans")
 
 
 def redact(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) -> DataFrame:
@@ -111,50 +130,95 @@ def _of_kind(spans: str, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
-def thresholds(found: DataFrame, options: Options = DEFAULTS) -> DataFrame:
-    """One row: a map from encoding and length class to the step of p-values from which on
-    strings are rejected as ordinary.
+def limits(found: DataFrame, options: Options = DEFAULTS) -> DataFrame:
+    """One row: a map from encoding and length class to the last step of p-values whose strings
+    are reported (-1: none).
 
     P-values are counted in steps of a twentieth of a power of ten, 11 encodings and at most
-    32 length classes, so the table is bounded. Within a class the rule rejects up to the
-    largest p with ``p <= q * (strings with at most this p) / (all strings)``.
+    32 length classes, so the table is bounded, and so is the fit of a class in one row.
     """
     strings = found.select(F.explode("random").alias("s")).select("s.group", "s.step")
     counts = strings.groupBy("group", "step").count()
-    # At most _TOP + 1 rows per group, so cumulative sums within a group stay small.
     steps = counts.groupBy("group").agg(
-        F.sum("count").alias("all"), F.collect_list(F.struct("step", "count")).alias("steps")
+        # At most _TOP + 1 rows per group.
+        F.array_sort(
+            F.collect_list(F.struct("step", "count", *_masses(F.col("step"))))
+        ).alias("steps")
     )
-    rejected = F.filter(
-        F.transform(
-            "steps",
-            lambda x: F.struct(
-                x["step"].alias("step"),
-                F.aggregate(
-                    F.filter("steps", lambda y: y["step"] >= x["step"]),
-                    F.lit(0).cast("long"),
-                    lambda total, y: total + y["count"],
-                ).alias("below"),
-            ),
-        ),
-        # The largest p of a step is 10 ** (-step / _STEPS).
-        lambda x: F.pow(F.lit(10.0), -x["step"] / F.lit(float(_STEPS)))
-        <= options.false_rejections * x["below"] / F.col("all"),
+    last = let(
+        lambda v: _last_reported(v["steps"], v["share"], options.false_share),
+        steps=F.col("steps"),
+        share=_random_share(F.col("steps")),
     )
-    first = F.array_min(F.transform(rejected, lambda x: x["step"]))
-    entry = F.struct("group", F.coalesce(first, F.lit(_TOP + 1)).alias("first"))
-    return steps.select(entry.alias("entry")).agg(
+    return steps.select(F.struct("group", last.alias("last")).alias("entry")).agg(
         F.map_from_entries(F.collect_list("entry")).alias("limits")
     )
 
 
-def _with_spans(found: DataFrame, limits: DataFrame) -> DataFrame:
-    def ordinary(s: Column) -> Column:
-        return s["step"] >= F.coalesce(F.col("limits")[s["group"]], F.lit(_TOP + 1))
+def _masses(step: Column) -> tuple[Column, Column]:
+    """Share of the random and of the ordinary strings that have a p-value of this step."""
+    high = F.pow(F.lit(10.0), -step / F.lit(float(_STEPS)))
+    low = F.when(step >= _TOP, 0.0).otherwise(
+        F.pow(F.lit(10.0), -(step + 1) / F.lit(float(_STEPS)))
+    )
+
+    def upto(p: Column) -> Column:
+        rest = F.log1p(-F.least(p, F.lit(1 - 1e-12)))
+        first, *others = (-share * F.expm1(c * rest) for c, share in ORDINARY)
+        return sum(others, first)
+
+    return (high - low).alias("random"), (upto(high) - upto(low)).alias("ordinary")
+
+
+def _random(x: Column, share: Column) -> Column:
+    """Probability that a string of step ``x`` is random."""
+    return share * x["random"] / (share * x["random"] + (1 - share) * x["ordinary"])
+
+
+def _random_share(steps: Column) -> Column:
+    """Share of the random strings, by expectation and maximisation."""
+    random, ordinary = _ASSUMED
+    strings = F.aggregate(steps, F.lit(0).cast("long"), lambda total, x: total + x["count"])
+
+    def better(share: Column, _: Column) -> Column:
+        found = F.aggregate(
+            steps, F.lit(random), lambda total, x: total + x["count"] * _random(x, share)
+        )
+        return found / (strings + random + ordinary)
+
+    first = F.lit(random / (random + ordinary))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), first, better)
+
+
+def _last_reported(steps: Column, share: Column, false_share: float) -> Column:
+    """The largest step up to which the expected share of ordinary strings is small enough."""
 
-    kept = F.filter("random", lambda s: ~ordinary(s))
+    def add(state: Column, x: Column) -> Column:
+        return let(
+            lambda v: F.struct(
+                v["ordinary"].alias("ordinary"),
+                v["all"].alias("all"),
+                F.when(v["ordinary"] <= false_share * v["all"], x["step"])
+                .otherwise(state["last"])
+                .alias("last"),
+            ),
+            ordinary=state["ordinary"] + x["count"] * (1 - _random(x, share)),
+            all=state["all"] + x["count"],
+        )
+
+    start = F.struct(
+        F.lit(0.0).alias("ordinary"), F.lit(0).cast("long").alias("all"), F.lit(-1).alias("last")
+    )
+    return F.aggregate(steps, start, add, lambda state: state["last"])
+
+
+def _with_spans(found: DataFrame, last: DataFrame) -> DataFrame:
+    def reported(s: Column) -> Column:
+        return s["step"] <= F.coalesce(F.col("limits")[s["group"]], F.lit(-1))
+
+    kept = F.filter("random", reported)
     # One row of at most a few hundred entries.
-    joined = found.join(F.broadcast(limits))
+    joined = found.join(F.broadcast(last))
     spans = F.concat("base", F.transform(kept, lambda s: _span(F.lit(3), s)))
     ordered = F.array_sort(spans)
     named = F.transform(
@@ -204,11 +268,13 @@ def _tested(s: Column) -> Column:
     name = F.lit(ENCODINGS[-1][0])
     for label, _, rule in reversed(ENCODINGS[:-1]):
         name = F.when(body.rlike(rule), F.lit(label)).otherwise(name)
-    alphabets = F.create_map(*(F.lit(x) for e in ENCODINGS for x in e[:2]))
+    known = F.create_map(
+        *(x for name, alphabet, _ in ENCODINGS for x in (F.lit(name), _known(alphabet)))
+    )
 
     def result(x: Column) -> Column:
         group = F.concat_ws("/", x["name"], F.floor(F.log2(F.length(x["body"]))).cast("string"))
-        p = _p_value(x["body"], alphabets[x["name"]])
+        p = _p_value(x["body"], x["known"])
         step = F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * _STEPS)
         return F.struct(
             x["start"].alias("start"),
@@ -218,7 +284,14 @@ def _tested(s: Column) -> Column:
         )
 
     return let(
-        result,
+        lambda x: let(
+            result,
+            start=x["start"],
+            end=x["end"],
+            name=x["name"],
+            body=x["body"],
+            known=known[x["name"]],
+        ),
         start=s["start"],
         end=s["end"],
         name=name,
@@ -226,6 +299,18 @@ def _tested(s: Column) -> Column:
     )
 
 
+def _known(alphabet: str) -> Column:
+    """An alphabet, and the probabilities that the kind of character changes from one place to
+    the next (``once``) and to the one after it as well (``twice``) in a random string."""
+    shares = [sum(c in kind for c in alphabet) / len(alphabet) for kind in _KINDS_OF]
+    squares, cubes = sum(q**2 for q in shares), sum(q**3 for q in shares)
+    return F.struct(
+        F.lit(alphabet).alias("alphabet"),
+        F.lit(1 - squares).alias("once"),
+        F.lit(1 - 2 * squares + cubes).alias("twice"),
+    )
+
+
 def _total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x)
 
@@ -234,37 +319,38 @@ def _neighbours(items: Column, n: Column, combine) -> Column:
     return F.zip_with(F.slice(items, 1, n - 1), F.slice(items, 2, n - 1), combine)
 
 
-def _p_value(body: Column, alphabet: Column) -> Column:
+def _p_value(body: Column, known: Column) -> Column:
     """Fisher's combination of the three tests for a random string over an alphabet."""
+    alphabet = known["alphabet"]
     # Each step names what the next one uses more than once.
     places = F.transform(F.split(body, ""), lambda c: F.instr(alphabet, c).cast("double"))
     letters = F.transform(
         F.split(alphabet, ""),
         lambda c: F.pow(F.length(body) - F.length(F.replace(body, c, F.lit(""))), F.lit(2.0)),
     )
+    kinds = F.translate(
+        body, "".join(_KINDS_OF), "".join(len(kind) * str(k) for k, kind in enumerate(_KINDS_OF))
+    )
+    runs = F.length(F.regexp_replace(kinds, r"(.)\1*+", "x"))
 
     def second(x: Column) -> Column:
+        mean = _total(x["places"]) / x["n"]
         return let(
             third,
             n=x["n"],
-            places=x["places"],
             squares=_total(letters),
-            k=F.length(alphabet).cast("double"),
-            mean=_total(x["places"]) / x["n"],
-            high=F.transform(x["places"], lambda v: (v > F.length(alphabet) / 2).cast("double")),
+            changes=(runs - 1).cast("double"),
+            mean=mean,
+            places=x["places"],
         )
 
     def third(x: Column) -> Column:
-        turns = _neighbours(x["high"], x["n"].cast("int"), lambda a, b: (a != b).cast("double"))
-        around = F.transform(x["places"], lambda v: v - x["mean"])
         return let(
             fourth,
             n=x["n"],
-            k=x["k"],
             squares=x["squares"],
-            ones=_total(x["high"]),
-            turns=_total(turns),
-            around=around,
+            changes=x["changes"],
+            around=F.transform(x["places"], lambda v: v - x["mean"]),
         )
 
     def fourth(x: Column) -> Column:
@@ -272,26 +358,25 @@ def _p_value(body: Column, alphabet: Column) -> Column:
         return let(
             tests,
             n=x["n"],
-            k=x["k"],
             squares=x["squares"],
-            turns=x["turns"],
-            expected=2 * x["ones"] * (x["n"] - x["ones"]) / x["n"],
+            changes=x["changes"],
+            k=F.length(alphabet).cast("double"),
             products=_total(products),
             power=_total(F.transform(x["around"], lambda v: v * v)),
         )
 
     def tests(x: Column) -> Column:
-        n, df = x["n"], x["k"] - 1
+        n, df, once = x["n"], x["k"] - 1, known["once"]
         spread = 2.0 / (9.0 * df)  # Wilson-Hilferty
         shares = F.cbrt((x["squares"] * x["k"] / n - n) / df)
-        variance = x["expected"] * (x["expected"] - 1) / (n - 1)
-        runs = F.abs(x["turns"] - x["expected"]) / F.sqrt(variance)
+        variance = (n - 1) * once * (1 - once) + 2 * (n - 2) * (known["twice"] - once * once)
+        missing = ((n - 1) * once - x["changes"]) / F.sqrt(variance)
         serial = F.abs(x["products"] / x["power"] + 1 / n) * F.sqrt(n)
         logs = [
             F.log(F.greatest(p, F.lit(1e-100)))
             for p in (
                 _upper_tail((shares - 1 + spread) / F.sqrt(spread)),
-                F.when(variance > 0, F.least(F.lit(1.0), 2 * _upper_tail(runs))).otherwise(0.0),
+                _upper_tail(missing),
                 F.when(x["power"] > 0, F.least(F.lit(1.0), 2 * _upper_tail(serial))).otherwise(0.0),
             )
         ]

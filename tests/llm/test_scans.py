@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 
@@ -204,3 +205,110 @@ def test_each_alternative_of_each_rule_is_found_alone(spark):
     found = license_scan.scan(docs).select(F.col("row.doc_id").alias("k"), "places").collect()
     found = {r.k: {(p.label, p.priority) for p in r.places if p.start == 0} for r in found}
     assert [t for k, t in enumerate(texts) if t[:2] not in found[k]] == []
+
+
+def tests_of(text):
+    """The three tests and their combination, written plainly."""
+    body = text.rstrip("=")
+    alphabet = next(a for _, a, rule in secret_scan.ENCODINGS if re.search(rule, body))
+    n, k = len(body), len(alphabet)
+
+    def tail(z):
+        z = max(-8.0, min(8.0, z))
+        return 1 / (1 + math.exp(1.5976 * z + 0.070565992 * z**3))
+
+    squared = sum(body.count(c) ** 2 for c in alphabet) * k / n - n
+    spread = 2 / (9 * (k - 1))
+    even = tail(((squared / (k - 1)) ** (1 / 3) - 1 + spread) / math.sqrt(spread))
+
+    def kind(c):
+        return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
+
+    changes = sum(kind(a) != kind(b) for a, b in zip(body, body[1:], strict=False))
+    q = [sum(kind(c) == x for c in alphabet) / k for x in range(4)]
+    once = sum(q[a] * q[b] for a in range(4) for b in range(4) if a != b)
+    twice = sum(
+        q[a] * q[b] * q[c]
+        for a in range(4) for b in range(4) for c in range(4) if a != b and b != c
+    )
+    variance = (n - 1) * once * (1 - once) + 2 * (n - 2) * (twice - once**2)
+    few = tail(((n - 1) * once - changes) / math.sqrt(variance))
+
+    places = [alphabet.index(c) for c in body]
+    mean = sum(places) / n
+    products = sum((a - mean) * (b - mean) for a, b in zip(places, places[1:], strict=False))
+    power = sum((a - mean) ** 2 for a in places)
+    serial = min(1.0, 2 * tail(abs(products / power + 1 / n) * math.sqrt(n)))
+
+    half = -sum(math.log(p) for p in (even, few, serial))
+    return math.exp(-half) * (1 + half + half**2 / 2)
+
+
+def drawn_strings(rng, n):
+    """Random strings of the encodings with a name, as candidates."""
+    out = []
+    while len(out) < n:
+        alphabet = rng.choice(secret_scan.ENCODINGS[:8])[1]
+        text = "".join(rng.choice(alphabet) for _ in range(rng.choice([20, 24, 32, 40, 64])))
+        if re.fullmatch(secret_scan.CANDIDATE, text):
+            out.append(text)
+    return out
+
+
+ORDINARY = (
+    "manager customer group product layer summer table window orange river simple market garden "
+    "letter number system report energy public matter family street school history change moment "
+    "people water world house light night plane story paper music power money order point"
+).split()
+
+
+def ordinary_strings(rng, n):
+    """Identifiers people write: slugs, snake and camel case, paths with dates and versions."""
+    out = []
+    while len(out) < n:
+        words = rng.choices(ORDINARY, k=rng.randint(3, 6))
+        year = str(rng.choice([rng.randint(1, 99), rng.randint(1990, 2024)]))
+        form = rng.choice(["{-}-{y}", "{_}_{y}", "{c}{y}", "{y}/0{d}/{-}", "{/}/v{d}"])
+        text = form.replace("{y}", year).replace("{d}", str(rng.randint(1, 9)))
+        for sign in "-_/":
+            text = text.replace("{" + sign + "}", sign.join(words))
+        text = text.replace("{c}", "".join(w.title() for w in words))
+        if re.fullmatch(secret_scan.CANDIDATE, text):
+            out.append(text)
+    return out
+
+
+def test_p_values_equal_plain_python(spark):
+    rng = random.Random(8)
+    texts = drawn_strings(rng, 60) + ordinary_strings(rng, 60) + ["a1" + "=" * 20, "a1b2" * 500]
+    docs = spark.createDataFrame([full(k, t) for k, t in enumerate(texts)], SCHEMA)
+    text = F.col("row.text")
+    rows = secret_scan._candidates(docs.select(F.struct("*").alias("row")), text)
+    got = {r.k: r.random for r in rows.select(F.col("row.doc_id").alias("k"), "random").collect()}
+    tested = [(s, tests_of(texts[k])) for k, found in got.items() for s in found]
+    assert len(tested) >= 100
+    for s, p in tested:
+        wanted = min(400.0, -20 * math.log10(max(p, 1e-300)))
+        assert s.step - 1e-6 <= wanted <= s.step + 1 + 1e-6, (s, p)
+
+
+def test_false_share_of_what_is_reported_is_bounded(spark):
+    rng = random.Random(9)
+
+    def reported(texts):
+        docs = spark.createDataFrame([full(k, f"see {t} .") for k, t in enumerate(texts)], SCHEMA)
+        return {r.id for r in secret_scan.scan_narrow(docs).collect() if r.spans}
+
+    random_ones, plain = drawn_strings(rng, 200), ordinary_strings(rng, 600)
+    found = reported(random_ones + plain)
+    false = sum(k >= 200 for k in found)
+    assert len(found) - false >= 180
+    assert false <= 0.05 * len(found)
+    assert len(reported(plain)) <= 3
+
+
+def test_no_candidates_and_empty_tables_report_fixed_forms_alone(spark, no_docs):
+    docs = spark.createDataFrame([full(1, "token=abcdefgh"), full(2, None)], SCHEMA)
+    found = {r.id: [s.kind for s in r.spans] for r in secret_scan.scan_narrow(docs).collect()}
+    assert found == {1: ["assign"], 2: []}
+    assert secret_scan.scan_narrow(no_docs).collect() == []
