@@ -312,3 +312,56 @@ def test_no_candidates_and_empty_tables_report_fixed_forms_alone(spark, no_docs)
     found = {r.id: [s.kind for s in r.spans] for r in secret_scan.scan_narrow(docs).collect()}
     assert found == {1: ["assign"], 2: []}
     assert secret_scan.scan_narrow(no_docs).collect() == []
+
+
+#: Identifiers and the label a tag with them gets.
+TAGS = """
+    AGPL-3.0:agpl-3.0 AGPL-3.0-only:agpl-3.0 AGPL-3.0-or-later:agpl-3.0 MPL-1.1:mpl-1.1
+    MPL-2.0:mpl-2.0 EPL-1.0:epl-1.0 EPL-2.0:epl-2.0 ISC:isc BSL-1.0:bsl-1.0 EUPL-1.2:eupl-1.2
+    OFL-1.1:ofl-1.1 Artistic-2.0:artistic-2.0 WTFPL:wtfpl PSF-2.0:psf-2.0 Python-2.0:psf-2.0
+    AFL-3.0:afl-3.0 OSL-3.0:osl-3.0 MS-PL:ms-pl LPPL-1.3c:lppl-1.3 ODbL-1.0:odbl-1.0
+    ECL-2.0:ecl-2.0 CPL-1.0:cpl-1.0 BUSL-1.1:busl-1.1 GFDL-1.3:gfdl-1.3 PHP-3.01:php-3.01
+    Apache-1.1:apache-1.1 Apache-2.0:apache-2.0 MIT:mit MIT-0:mit-0 0BSD:0bsd
+    BSD-2-Clause:bsd-2-clause BSD-3-Clause:bsd-3-clause BSD-4-Clause:bsd-4-clause
+    GPL-2.0-only:gpl-2.0 GPL-2.0-or-later:gpl-2.0 GPL-3.0-only:gpl-3.0 GPL-3.0:gpl-3.0
+    LGPL-2.1-only:lgpl-2.1 LGPL-3.0-or-later:lgpl-3.0 CC0-1.0:cc0-1.0 CC-BY-4.0:cc-by-4.0
+    CC-BY-SA-4.0:cc-by-sa CC-BY-NC-ND-4.0:cc-by-nc-nd CDDL-1.0:cddl-1.0 Unlicense:unlicense
+    Zlib:zlib CECILL-2.1:cecill-2.1 SSPL-1.0:sspl-1.0
+"""
+
+#: Notices as people write them, and a label they get.
+NOTICES = {
+    "Licensed under the MPL 2.0": "mpl-2.0",
+    "Licensed under AGPLv3 or later.": "agpl-3.0",
+    "This work is licensed under the EUPL": "eupl-1.2",
+    "The code is MIT licensed.": "mit",
+    "uses the BSD license": "bsd",
+    "the GNU Lesser/Library General Public License": "lgpl",
+    "under the GNU Library General Public License, version 2": "lgpl-2.0",
+    "Creative Commons Attribution-NonCommercial-ShareAlike 4.0": "cc-by-nc-sa",
+    "see https://creativecommons.org/licenses/by-nc-sa/4.0/ for it": "cc-by-nc-sa",
+    "https://creativecommons.org/licenses/by/4.0": "cc-by",
+    "http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0",
+    "https://opensource.org/licenses/MIT": "mit",
+    "https://www.gnu.org/licenses/lgpl.html": "lgpl",
+    "The Software shall be used for Good, not Evil.": "json",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.": "ofl-1.1",
+    "Dual licensed; released under the ISC license": "isc",
+    "distributed under the terms of the GNU GPL v2 or later": "gpl-2.0",
+}
+
+
+def test_tags_and_notices_as_people_write_them(spark, no_docs):
+    cases = [("// SPDX-License-Identifier: " + t.split(":")[0], t.split(":")[1]) for t in TAGS.split()]
+    tags = len(cases)
+    cases += NOTICES.items()
+    rows = [full(k, text) for k, (text, _) in enumerate(cases)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = license_scan.scan(docs).select(F.col("row.doc_id").alias("k"), "places").collect()
+    kept = {r.k: {(p.label, p.priority) for p in r.places if p.kept} for r in found}
+    for k, (text, label) in enumerate(cases):
+        assert label in {x for x, _ in kept[k]}, (text, kept[k])
+        assert k >= tags or (label, 90) in kept[k], (text, kept[k])
+    plain = spark.createDataFrame([full(1, "The ms and the epl of a python 2 met an isc bsl")], SCHEMA)
+    assert license_scan.scan(plain).select("places").first()[0] == []
+    assert license_scan.scan(no_docs).collect() == []
