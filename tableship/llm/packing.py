@@ -3,19 +3,23 @@
 Only the histogram of lengths decides: it has one count per length, so it fits anywhere.
 Lengths are put into size classes, and all patterns of a few classes that fill a sequence are
 enumerated. Non-negative least squares fits how often each pattern is repeated so that the
-classes of the histogram come out; the repeats are rounded down, their slots filled with
-actual lengths, and what is left is put into the best-fitting gaps, longest first. The plan
-is a table of ranges - documents number so-and-so of this length go here - that a numbering
-of the documents within each length is joined with.
+classes of the histogram come out; the repeats are rounded down, and each is filled with
+lengths of its classes that add up to a sequence exactly, as far as there are any. What is left
+is put into the best-fitting gaps, longest first. The shortest documents take no part in
+patterns, since they close gaps best; up to which length, a few values are tried and the plan
+with the fewest sequences is taken. The plan is a table of ranges - documents number so-and-so
+of this length go here - that a numbering of the documents within each length is joined with.
 
 A null text is an empty one and has the end token alone. Repeated rows are packed as often as
-they stand there; an empty table gives no rows. Only the identifier is taken from other
+they stand there, those with equal identifiers and texts in any order among themselves; an empty
+table gives no rows. A very long text is encoded whole in one task and cut into many pieces. Only the identifier is taken from other
 columns, so their names are free.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,16 +40,14 @@ PIECE_COLUMNS = ("piece", "start", "length", "ids_crc32")
 @dataclass(frozen=True)
 class Options:
     """``capacity``: tokens of a sequence; ``end``: id after each document; ``classes``: size
-    classes of lengths; ``depth``: documents of a pattern, at most; ``taken``: share of the
-    fitted repeats that is used; ``shards``: parts in which the documents of one length are
-    numbered."""
+    classes of lengths; ``depth``: documents of a pattern, at most; ``reserves``: shares of
+    the capacity up to which documents are left out of the patterns; each one is tried."""
 
     capacity: int = 2048
     end: int = 0
     classes: int = 128
     depth: int = 3
-    taken: float = 0.7
-    shards: int = 128
+    reserves: tuple[float, ...] = (1 / 32, 1 / 16, 1 / 4)
 
 
 DEFAULTS = Options()
@@ -100,9 +102,12 @@ def pack(cut: DataFrame, options: Options = DEFAULTS) -> DataFrame:
     # The plan has a few rows per length, however many documents there are.
     planned = F.broadcast(spark.createDataFrame(ranges, schema))
 
-    # Documents of a length are numbered in shards; a shard starts where those before end.
-    shard = F.pmod(F.xxhash64("id", *PIECE_COLUMNS), F.lit(options.shards))
-    cut = cut.withColumn("shard", shard)
+    # Documents of a length are numbered in shards; a shard starts where those before end. With
+    # the root of their number as shards, neither a shard nor the list of shards gets long.
+    shards = [(n, math.isqrt(count - 1) + 1) for n, count in histogram.items()]
+    shards = F.broadcast(spark.createDataFrame(shards, "length long, shards long"))
+    shard = F.pmod(F.xxhash64("id", *PIECE_COLUMNS), F.col("shards"))
+    cut = cut.join(shards, "length").withColumn("shard", shard).drop("shards")
     within = Window.partitionBy("length", "shard").orderBy("id", "piece", "ids_crc32")
     sizes = cut.groupBy("length", "shard").count()
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(
@@ -137,9 +142,18 @@ def plan(
 ) -> list[tuple[int, int, int, int, int]]:
     """(length, low, high, first, offset): documents ``low`` to ``high`` of a length stand in
     the sequences from number ``first`` on, at ``offset``."""
-    left = Counter({n: c for n, c in histogram.items() if c > 0})
-    groups = _from_patterns(left, options)
-    groups = _best_fit(groups, left, options)
+    lengths = {n: c for n, c in histogram.items() if c > 0}
+    # No packing can have fewer sequences than the tokens fill.
+    fewest = -(-sum(n * c for n, c in lengths.items()) // options.capacity)
+    groups = None
+    for reserve in options.reserves:
+        left = Counter(lengths)
+        full = _from_patterns(left, options, int(reserve * options.capacity))
+        tried = _best_fit(full, left, options)
+        if groups is None or _sequences(tried) < _sequences(groups):
+            groups = tried
+        if _sequences(groups) == fewest:
+            break
     used: Counter = Counter()
     ranges, first = [], 0
     for lengths, count in groups:
@@ -152,15 +166,20 @@ def plan(
     return ranges
 
 
-def _from_patterns(left: Counter, options: Options) -> list[tuple[tuple[int, ...], int]]:
-    """Groups of equal sequences (their lengths and number) taken out of ``left``."""
-    if not left:
-        return []
+def _sequences(groups: list[tuple[tuple[int, ...], int]]) -> int:
+    return sum(count for _, count in groups)
+
+
+def _from_patterns(
+    left: Counter, options: Options, reserve: int
+) -> list[tuple[tuple[int, ...], int]]:
+    """Groups of equal, full sequences (their lengths and number) taken out of ``left``, of
+    documents longer than ``reserve``."""
     width = -(-options.capacity // options.classes)
     classes = -(-options.capacity // width)
     supply = np.zeros(classes)
     by_class: dict[int, list[int]] = {}
-    for n in sorted(left, reverse=True):
+    for n in sorted((n for n in left if n > reserve), reverse=True):
         size = -(-n // width)
         supply[size - 1] += left[n]
         by_class.setdefault(size, []).append(n)
@@ -171,42 +190,46 @@ def _from_patterns(left: Counter, options: Options) -> list[tuple[tuple[int, ...
     for column, pattern in enumerate(patterns):
         for size in pattern:
             matrix[size - 1, column] += 1
-    # Long documents are hardest to place late, so misses of large classes weigh more; the
-    # share that is not taken leaves short documents for the gaps.
+    # Long documents are hardest to place late, so misses of large classes weigh more.
     weights = np.arange(1, classes + 1, dtype=float) ** 2
     fitted = non_negative_least_squares(matrix * weights[:, None], supply * weights)
-    repeats = np.floor(options.taken * fitted + 1e-9).astype(np.int64)
+    repeats = np.floor(fitted + 1e-9).astype(np.int64)
 
-    lengths_left = sorted(left)
     groups = []
     for column in np.argsort(-repeats, kind="stable").tolist():
         times = int(repeats[column])
         while times > 0:
-            # The next run: the longest lengths left in each class but the last, and the
-            # longest one that still fits for that, which closes what rounding up left open.
-            taken: Counter = Counter()
-            for size in patterns[column][:-1]:
-                n = next((n for n in by_class[size] if left[n] > taken[n]), None)
-                if n is None:
-                    break
-                taken[n] += 1
-            room = options.capacity - sum(n * k for n, k in taken.items())
-            place = bisect.bisect_right(lengths_left, room) - 1
-            while place >= 0 and left[lengths_left[place]] <= taken[lengths_left[place]]:
-                if left[lengths_left[place]] == 0:
-                    lengths_left.pop(place)
-                place -= 1
-            if taken.total() < len(patterns[column]) - 1 or place < 0:
-                break  # rounding has used up a class
-            taken[lengths_left[place]] += 1
+            lengths = _full(patterns[column][::-1], by_class, left, options.capacity)
+            if lengths is None:
+                break  # the classes are used up, or what is left in them does not add up
+            taken = Counter(lengths)
             run = min([times, *(left[n] // k for n, k in taken.items())])
             for n, k in taken.items():
                 left[n] -= run * k
-            groups.append((tuple(sorted(taken.elements())), run))
+            groups.append((tuple(sorted(lengths)), run))
             times -= run
     return groups
 
 
+def _full(
+    sizes: tuple[int, ...],
+    by_class: dict[int, list[int]],
+    left: Counter,
+    room: int,
+    taken: tuple[int, ...] = (),
+) -> tuple[int, ...] | None:
+    """Lengths of documents left that fill ``room`` exactly, longest first: one of each of the
+    classes, but for the last of any length that closes the sequence."""
+    if len(sizes) == 1:
+        return (*taken, room) if room > 0 and left[room] > taken.count(room) else None
+    for n in by_class[sizes[0]]:
+        if n < room and left[n] > taken.count(n):
+            found = _full(sizes[1:], by_class, left, room - n, (*taken, n))
+            if found:
+                return found
+    return None
+
+
 def _patterns(total: int, depth: int, least: int = 1) -> Iterator[tuple[int, ...]]:
     """Non-decreasing sizes, at most ``depth`` of them, that add up to ``total``."""
     if total >= least:

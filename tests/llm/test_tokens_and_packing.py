@@ -133,6 +133,24 @@ def test_many_documents_come_close_to_the_bound():
     assert used <= 1.01 * lengths.sum() / 2048
 
 
+# Patterns of three documents cannot place most of a corpus whose documents are mostly short.
+@pytest.mark.parametrize(
+    "mean, spread, n, share", [(6, 1, 12_000, 0.6), (6.5, 0.7, 20_000, 0.6), (5, 1.5, 60_000, 0.4)]
+)
+def test_patterns_place_most_and_need_no_more_than_best_fit(mean, spread, n, share):
+    rng = np.random.default_rng(3)
+    lengths = Counter(np.clip(rng.lognormal(mean, spread, n).astype(int), 1, 2048).tolist())
+    left = Counter(lengths)
+    full = packing._from_patterns(left, packing.DEFAULTS, 64)
+    assert all(sum(group) == 2048 for group, _ in full)
+    longer = sum(c for k, c in lengths.items() if k > 64)
+    assert sum(len(group) * count for group, count in full) >= share * longer
+    ranges = packing.plan(lengths)
+    used = max(first + high - low for _, low, high, first, _ in ranges)
+    alone = packing._best_fit([], Counter(lengths), packing.DEFAULTS)
+    assert used <= sum(count for _, count in alone)
+
+
 def test_non_negative_least_squares_meets_its_conditions():
     rng = np.random.default_rng(0)
     matrix, target = rng.random((8, 30)), rng.random(8)
