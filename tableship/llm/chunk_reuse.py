@@ -13,7 +13,8 @@ encoded where they stand, once per worker while its bounded cache holds them. Te
 never shuffled: what is shuffled is one digest per chunk, and the texts of the dictionary.
 
 Null texts are empty and have no ids; repeated rows are separate rows; an empty table gives an
-empty dictionary. Only the identifier is taken from other columns, so their names are free.
+empty dictionary. Very long texts are cut like others, at most ``most`` bytes a chunk; of chunks
+that save equally much, those with the smallest digests are taken. Only the identifier is taken from other columns, so their names are free.
 """
 
 from __future__ import annotations
@@ -113,7 +114,8 @@ def digest(chunk: bytes) -> bytes:
 
 def shared_chunks(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) -> DataFrame:
     """``digest`` of the chunks that stand in several documents and save most bytes, at most
-    ``options.shared`` of them: a cut over classes of what they save, so nothing is sorted."""
+    ``options.shared`` of them: whole classes of what they save, and of the class that does not
+    fit as a whole those with the smallest digests."""
     schema = StructType(
         [StructField("digest", BinaryType()), StructField("n", LongType()), StructField("size", LongType())]
     )
@@ -141,15 +143,47 @@ def shared_chunks(docs: DataFrame, text: str = "text", options: Options = DEFAUL
     )
     chunks = staged(chunks.select("digest", "class"), "shared-chunks")
     classes = chunks.groupBy("class").count().orderBy(F.desc("class")).collect()  # ~500 rows
-    total, least = 0, None
+    total = 0
     for row in classes:
+        wanted = options.shared - total
+        if row["count"] > wanted:
+            whole = chunks.where(F.col("class") > row["class"]).select("digest")
+            part = _smallest(chunks.where(F.col("class") == row["class"]), row["count"], wanted)
+            return whole.unionByName(part)
         total += row["count"]
-        if total > options.shared:
-            break
-        least = row["class"]
-    if least is None:
-        return chunks.select("digest").limit(0)
-    return chunks.where(F.col("class") >= least).select("digest")
+    return chunks.select("digest")
+
+
+def _smallest(chunks: DataFrame, count: int, wanted: int) -> DataFrame:
+    """The ``wanted`` smallest digests among ``count``. Digests are even, so that all but about
+    as many as are wanted can be left out of the sort by their first 32 bits."""
+    share = (wanted + 6 * wanted**0.5 + 64) / count
+    first = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    near = chunks.where(first <= int(min(share, 1.0) * 0xFFFFFFFF))
+    return near.select("digest").orderBy("digest").limit(wanted)
+
+
+def reuse(docs: DataFrame, text: str = "text", options: Options = DEFAULTS) -> DataFrame:
+    """One row: ``bytes`` of all texts, ``shared_bytes`` of those that the dictionary gives
+    the ids of, and ``chunks`` and ``shared_chunks``. ``options.shared`` bounds the dictionary at
+    every size, so this says how much of a corpus it still covers."""
+    known = docs.sparkSession.sparkContext.broadcast(
+        {bytes(r["digest"]) for r in shared_chunks(docs, text, options).collect()}
+    )
+    names = ["bytes", "shared_bytes", "chunks", "shared_chunks"]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(names), np.int64)
+        for batch in slices(batches, 2000):
+            for raw in texts(batch, text):
+                chunks = cut(raw, options)
+                cores = [core(c) for c in chunks if digest(c) in known.value]
+                given = sum(end - start for start, end in cores)
+                sums += (len(raw), given, len(chunks), len(cores))
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.tolist()], names)
+
+    sums = docs.select(text).mapInArrow(measure, ", ".join(f"{n} long" for n in names))
+    return sums.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
 
 
 def dictionary(
