@@ -87,27 +87,35 @@ def id_remainder(id_column: Column, divisor: int) -> Column:
 
 
 class IdMarks:
-    """A bit array of fixed size (one megabyte) that says of an identifier that it is not
-    among those given, or that it may be. It goes to every worker, however many there are."""
+    """A bit array that says of an identifier that it is not among those given, or that it may
+    be. It has at least 16 bits for each identifier, 128 KB at least and 16 MB at most, and goes
+    to every worker. From some ten million identifiers on it lets more and more others through
+    by chance, so whoever asks has to settle those by a join; no identifier given is missed."""
 
-    WORDS = 1 << 17
+    LEAST, MOST = 20, 27  # bits as powers of two
 
     def __init__(self, rows: DataFrame, column: str) -> None:
-        marked = rows.select(self.place(F.col(column).cast("long")).alias("place"))
+        marked = rows.select(self._hash(F.col(column).cast("long"), self.MOST).alias("place"))
         bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
         word = F.expr("CAST(place DIV 64 AS INT)")
-        words = marked.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
-        marks = np.zeros(self.WORDS, np.int64)
-        for row in words:
-            marks[row["word"]] = row["bits"]
-        self._marks = rows.sparkSession.sparkContext.broadcast(marks.view(np.uint64))
-
-    @classmethod
-    def place(cls, ids: Column) -> Column:
+        found = marked.where("place IS NOT NULL").groupBy(word.alias("word"))
+        words = found.agg(F.bit_or(bit).alias("bits")).toArrow()  # 2^21 rows of 12 bytes at most
+        marks = np.zeros(1 << self.MOST - 6, np.int64)
+        marks[words["word"].to_numpy()] = words["bits"].to_numpy()
+        marks = marks.view(np.uint64)
+        wanted = 16 * int(np.bitwise_count(marks).sum())
+        self.bits = min(max(self.LEAST, wanted.bit_length()), self.MOST)
+        # A place in a shorter array is the place in the longest one without its upper bits.
+        marks = np.bitwise_or.reduce(marks.reshape(-1, 1 << self.bits - 6), axis=0)
+        self._marks = rows.sparkSession.sparkContext.broadcast(marks)
+
+    @staticmethod
+    def _hash(ids: Column, bits: int) -> Column:
+        return F.when(ids.isNotNull(), F.pmod(F.xxhash64(ids), F.lit(1 << bits)))
+
+    def place(self, ids: Column) -> Column:
         """Place of an identifier in the array; null for null."""
-        return F.when(
-            ids.isNotNull(), F.pmod(F.xxhash64(ids), F.lit(64 * cls.WORDS))
-        )
+        return self._hash(ids, self.bits)
 
     def hit(self, places: pa.Array) -> np.ndarray:
         known = places.is_valid().to_numpy(zero_copy_only=False)

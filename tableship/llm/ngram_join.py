@@ -268,7 +268,7 @@ def keep(
     )
     marks = IdMarks(decided, "decided_id")
     ids = F.col("row").getField(id_column).cast("long")
-    rows = packed(docs).select("row", IdMarks.place(ids).alias("place"))
+    rows = packed(docs).select("row", marks.place(ids).alias("place"))
     schema = StructType([*rows.schema, StructField("marked", BooleanType())])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,8 +353,7 @@ def _sets(
 ) -> DataFrame:
     """``id``, ``class`` and ``tokens`` of at least the documents in ``wanted``.
 
-    A bit array of fixed size says which identifiers may be wanted, so texts are not shuffled
-    to find out; the join that follows drops what it lets through by chance.
+    A bit array says which identifiers may be wanted, so texts are not shuffled to find out; the join that follows drops what it lets through by chance.
     """
     marks = IdMarks(wanted, "first")
     schema = StructType(
@@ -374,7 +373,7 @@ def _sets(
 
     ids = F.col(id_column).cast("long")
     rows = docs.where(F.col(id_column).isNotNull()).select(
-        IdMarks.place(ids).alias("place"), ids.alias("id"), text
+        marks.place(ids).alias("place"), ids.alias("id"), text
     )
     return rows.mapInArrow(run, schema)
 

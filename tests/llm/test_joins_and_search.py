@@ -5,10 +5,12 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tableship.llm import ngram_join, queries, vector_search
+from tableship.llm.common import IdMarks
 from tableship.llm.components import Parts, components, contracted
 
 from .conftest import SCHEMA, full, prose
@@ -202,3 +204,15 @@ def test_parts_of_a_task_become_stars():
     parts.add([7, 1], [8, 1])
     assert sorted(zip(*parts.stars(), strict=True)) == [(3, 4), (5, 7), (5, 8), (5, 9)]
     assert parts.stars() == ([], [])
+
+
+@pytest.mark.parametrize("n", [0, 1, 300_000])
+def test_marks_miss_no_identifier_and_few_others_hit(spark, n):
+    ids = spark.range(n).select((F.col("id") * 7 - 900).alias("x"))
+    marks = IdMarks(ids.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS x")), "x")
+    probe = spark.range(n + 100_000).select((F.col("id") * 7 - 900).alias("x"))
+    places = probe.orderBy("x").select(marks.place(F.col("x")).alias("p")).toArrow()["p"]
+    hits = marks.hit(places.combine_chunks())
+    assert hits[:n].all() and hits[n:].mean() < 0.1
+    assert not marks.hit(pa.array([None], pa.int64())).any()
+    assert 1 << marks.bits >= 16 * n
