@@ -42,6 +42,76 @@ def test_classifier_on_held_out_rows(spark, edge_rows, sf_of):
         assert r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 3 == 1)
 
 
+def plain_statistics(text):
+    """The statistics once more, character by character."""
+    raw = (text or "").encode()
+    words, word = [], b""
+    for byte in raw + b" ":
+        if byte in b" \t\n\v\f\r":
+            words += [word] if word else []
+            word = b""
+        else:
+            word += bytes([byte])
+    n, size = max(len(words), 1), max(len(raw), 1)
+    lengths = [len(w) for w in words] or [0]
+    mean = sum(lengths) / len(lengths)
+    spread = math.sqrt(sum((x - mean) ** 2 for x in lengths) / len(lengths))
+    lines = [x for x in raw.split(b"\n") if any(b not in b" \t\n\v\f\r" for b in x)]
+    upper = sum(65 <= b <= 90 for b in raw)
+    letters = upper + sum(97 <= b <= 122 for b in raw)
+    rate = lambda count, of: math.log((count + 0.5) / (of + 1))
+    count = lambda signs: sum(b in signs for b in raw)
+    return [
+        math.log(1 + len(raw)), math.log(mean + 1), math.log(spread + 1),
+        math.log((len(set(words)) + 1) / math.sqrt(n + 1)),
+        rate(sum(words[k] == words[k - 1] for k in range(1, len(words))), n),
+        rate(count(b"#*$%&<>"), n), rate(count(b"|"), n), rate(count(b"!"), n),
+        rate(upper, letters), rate(count(b"0123456789"), size), rate(len(lines), n),
+        rate(len(lines) - len(set(lines)), len(lines)), rate(count(b".,"), n),
+        rate(sum(b >= 128 for b in raw), size),
+    ]
+
+
+def plain_scores(rows, labels):
+    """Shrunk covariances from centred rows, and densities by inverses and determinants."""
+    learns = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 3 != 1
+    vectors = [np.array(plain_statistics(r[1])) for r in rows]
+    groups = [
+        np.array([
+            v for r, v in zip(rows, vectors, strict=True) for i, mark, _ in labels
+            if r[0] is not None and i == r[0] and mark == k and learns(i)
+        ])
+        for k in (0, 1)
+    ]
+    total, p = sum(map(len, groups)), len(vectors[0])
+    pooled = sum((g - g.mean(axis=0)).T @ (g - g.mean(axis=0)) for g in groups) / (total - 2)
+    logs = []
+    for g in groups:
+        pooling = max(0.05, p / (p + len(g)))
+        shrunk = (1 - pooling) * np.cov(g.T) + pooling * pooled
+        cov = 0.99 * shrunk + 0.01 * np.eye(p) * np.trace(pooled) / p
+        inverse, (_, log_det) = np.linalg.inv(cov), np.linalg.slogdet(cov)
+        logs.append([
+            math.log(len(g) / total) - 0.5 * log_det
+            - 0.5 * (v - g.mean(axis=0)) @ inverse @ (v - g.mean(axis=0))
+            for v in vectors
+        ])
+    gaps = [(one - zero) / p for zero, one in zip(*logs, strict=True)]
+    return [1 / (1 + math.exp(-min(max(gap, -500), 500))) for gap in gaps]
+
+
+def test_classifier_equals_plain_densities(spark, edge_rows, sf_of):
+    rows, labels = labelled()
+    rows += [(r[0] + 10_000 if r[0] is not None else None, *r[1:]) for r in edge_rows]
+    labels.append((10_000, 0, 0))  # a row that stands there twice counts twice
+    got = queries.op3_quality_classifier(spark, sf_of(rows, labels)).collect()
+    key = lambda x: (repr(x[0]), x[1])
+    found = sorted(((r.doc_id, r.score) for r in got), key=key)
+    plain = zip((r[0] for r in rows), plain_scores(rows, labels), strict=True)
+    for one, two in zip(found, sorted(plain, key=key), strict=True):
+        assert one[0] == two[0] and one[1] == pytest.approx(two[1], abs=1e-6)
+
+
 def test_classifier_without_a_class_or_rows(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     scores = quality_classifier.classify(edge_docs, none).select("score").distinct().collect()
