@@ -591,6 +591,31 @@ def key_differences(spark, sf_dir):
     return ts.key_differences(orders, target, ["o_orderkey"])
 
 
+@query(
+    "SELECT o_orderkey, CAST(1 AS BIGINT) AS in_source, "
+    "CAST(CASE WHEN day(o_orderdate) = 7 THEN 0 ELSE 1 END AS BIGINT) AS in_target, "
+    "CASE WHEN day(o_orderdate) = 7 THEN 'missing' ELSE 'changed' END AS status "
+    "FROM orders WHERE day(o_orderdate) IN (7, 21)"
+)
+def key_differences_sketch(spark, sf_dir):
+    """Orders of two days of each month, lost or altered in a copy: changes all over the table,
+    decoded from a sketch."""
+    orders = _table(spark, sf_dir, "orders")
+    altered = F.when(F.day("o_orderdate") == 21, -1.0).otherwise(F.col("o_totalprice"))
+    target = orders.where(F.day("o_orderdate") != 7).withColumn("o_totalprice", altered)
+    return ts.key_differences(orders, target, ["o_orderkey"], sketch_bits=14)
+
+
+@query(
+    "SELECT 'missing' AS status, count(*) AS n FROM lineitem WHERE day(l_shipdate) = 7 "
+    "UNION ALL SELECT 'same', count(*) FROM lineitem WHERE day(l_shipdate) <> 7"
+)
+def reconcile_sketch(spark, sf_dir):
+    """Line items against a copy that lost one day of each month, as bags, from a sketch."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    return ts.reconcile(lineitem, lineitem.where(F.day("l_shipdate") != 7), sketch_bits=14)
+
+
 @query(
     "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem "
     "GROUP BY 1, 2 HAVING count(*) > 1"

@@ -9,6 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import tableship as ts
+from tableship.operators import difference
+from tableship.operators import reconcile as by_rows
 from tableship.operators.export import CountMismatchError
 from tableship.operators.reconcile import SchemaMismatchError
 
@@ -163,3 +165,78 @@ def test_every_type(all_types):
 def test_totals_shuffle_no_rows(orders):
     totals = plan_of(ts.reconcile_totals(orders, orders))
     assert "hashpartitioning" not in totals and "Join" not in totals
+
+
+@pytest.mark.parametrize("how", HOW)
+@pytest.mark.parametrize("keys", [None, ["o_orderkey"]])
+def test_sketch_gives_the_same_counts(orders, how, keys):
+    target = tampered(orders, how).where("o_orderkey % 300 <> 7")
+    wanted = statuses(ts.reconcile(orders, target, keys))
+    assert statuses(ts.reconcile(orders, target, keys, sketch_bits=12)) == wanted
+    assert statuses(ts.reconcile(orders, target, keys, sketch_bits=1)) == wanted
+
+
+@settings(max_examples=8, deadline=None)
+@given(left=bags, right=bags)
+def test_sketch_of_bags_against_brute_force(spark, left, right):
+    schema = "k int, v string"
+    source, target = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    a, b = Counter(left), Counter(right)
+    wanted = {"same": (a & b).total(), "missing": (a - b).total(), "extra": (b - a).total()}
+    found = statuses(ts.reconcile(source, target, sketch_bits=4))
+    assert found == {k: n for k, n in wanted.items() if n}
+    a, b = (Counter(k for k, _ in rows) for rows in (left, right))
+    differ = {k for k in a | b if Counter(r for r in left if r[0] == k) != Counter(r for r in right if r[0] == k)}
+    rows = ts.key_differences(source, target, ["k"], sketch_bits=4).collect()
+    assert {(r["k"], r["in_source"], r["in_target"]) for r in rows} == {(k, a[k], b[k]) for k in differ}
+
+
+def scattered(spark, n):
+    """``n`` rows of which every 40th is changed, missing or followed by an extra one."""
+    source = spark.range(n).select("id", (F.col("id") * 3).alias("v"), F.lit("x").alias("w"))
+    changed = F.when(F.col("id") % 40 == 5, -F.col("v")).otherwise(F.col("v")).alias("v")
+    target = source.where("id % 80 <> 9").select("id", changed, "w")
+    extra = source.where("id % 80 = 33").select((F.col("id") + n).alias("id"), "v", "w")
+    wanted = {k: "changed" for k in range(5, n, 40)}
+    wanted |= {k: "missing" for k in range(9, n, 80)} | {k + n: "extra" for k in range(33, n, 80)}
+    return source, target.unionByName(extra), wanted
+
+
+def test_scattered_changes_are_decoded_without_a_shuffle_of_rows(spark, monkeypatch):
+    source, target, wanted = scattered(spark, 200_000)
+    assert len(wanted) == 10_000
+    monkeypatch.setattr(by_rows, "_in_unsettled_buckets", None)
+    found = ts.key_differences(source, target, ["id"], sketch_bits=14)
+    assert {r["id"]: r["status"] for r in found.collect()} == wanted
+    plan = plan_of(found)
+    assert "BroadcastHashJoin LeftSemi BuildRight" in plan and "SortMergeJoin" not in plan
+    counts = statuses(ts.reconcile(source, target, ["id"], sketch_bits=14))
+    assert counts == {"same": 192_500, "changed": 5_000, "missing": 2_500, "extra": 2_500}
+
+
+def test_too_many_differences_fall_back_to_buckets(spark):
+    source, target, wanted = scattered(spark, 20_000)
+    stacked = by_rows._stacked(source, target, ["id"], 4096)
+    for bits, enough in ((6, False), (12, True)):
+        cells = difference.sketch(stacked, by_rows.KEY_HASH, by_rows.HASH, by_rows.SIGN, bits)
+        assert (difference.decode(cells, bits) is not None) == enough
+        found = ts.key_differences(source, target, ["id"], sketch_bits=bits)
+        assert {r["id"]: r["status"] for r in found.collect()} == wanted
+
+
+def test_sketch_holds_pairs_with_their_counts(spark):
+    rows = [(5, -7, 1)] * 3 + [(5, -7, -1)] + [(-(2**63), 2**63 - 1, -1)] * 2 + [(1, 2, 1), (1, 2, -1)]
+    frame = spark.createDataFrame(rows, "k long, r long, s int")
+    decoded = difference.decode(difference.sketch(frame, "k", "r", "s", 5), 5)
+    assert sorted(map(tuple, decoded.pairs.tolist())) == [(-(2**63), 2**63 - 1, -2), (5, -7, 2)]
+    assert decoded.source_rows == 4 and decoded.keys.tolist() == [-(2**63), 5]
+    empty = difference.decode(difference.sketch(frame.limit(0), "k", "r", "s", 5), 5)
+    assert len(empty.pairs) == 0 and empty.source_rows == 0
+    with pytest.raises(ValueError):
+        difference.sketch(frame, "k", "r", "s", 21)
+
+
+def test_sketch_of_every_type_and_of_nothing(all_types):
+    assert statuses(ts.reconcile(all_types, all_types, ["i64"], sketch_bits=8)) == {"same": 3}
+    assert statuses(ts.reconcile(all_types, all_types.limit(0), sketch_bits=8)) == {"missing": 3}
+    assert statuses(ts.reconcile(all_types.limit(0), all_types.limit(0), sketch_bits=8)) == {}
