@@ -80,6 +80,8 @@ def _migrate(spark, args) -> int:
         version=args.version,
         transfer_mode=args.mode,
         strict=not args.lenient,
+        resume=args.resume,
+        journal=args.journal,
         rows_per_file=args.rows_per_file,
     )
     return _show_report(done.report)
@@ -138,6 +140,8 @@ def _parser() -> argparse.ArgumentParser:
     step.add_argument("--id")
     step.add_argument("--mode", choices=["rewrite", "files", "none"], default="rewrite")
     step.add_argument("--lenient", action="store_true")
+    step.add_argument("--resume", metavar="VERSION", help="go on with a run that did not end")
+    step.add_argument("--journal", help="folder of the outcomes of steps, as in the run before")
     step.set_defaults(run=_migrate)
     return parser
 

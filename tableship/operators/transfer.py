@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tableship.functions.paths import default_store, inside, plain_name, plain_path, store_of
 from tableship.session import sibling_session, timestamp_statistics
 from tableship.sources.manifest import file_manifest
-from tableship.sources.resolve import read_dataset
+from tableship.sources.resolve import exists, read_dataset
 
 SPLIT_BYTES = 1 << 30
 LOG_FOLDER = "_transfer"
@@ -36,6 +36,7 @@ def transfer_dataset(
     mode: str = "rewrite",
     strict: bool = True,
     merge_schema: bool = False,
+    resume: bool = False,
     **options,
 ) -> DataFrame:
     """Copy the Parquet dataset ``source`` to ``target``.
@@ -46,6 +47,9 @@ def transfer_dataset(
     Returns the copy as a DataFrame.
     ``files`` copies bytes, for folders that all executors mount: see ``copy_files``.
     Returns one outcome row per file.
+
+    ``resume`` goes on with a copy to this target that did not end: ``rewrite`` writes it anew
+    unless it carries the mark of a finished write, ``files`` copies what is missing.
     """
     store = default_store(spark)
     if inside(target, source, store) or inside(source, target, store):
@@ -57,12 +61,14 @@ def transfer_dataset(
         # A scan that lists all files on its own does not see partition columns.
         stored = session.read.option("recursiveFileLookup", "true").parquet(source).columns
         partitions = [c for c in rows.columns if c not in stored]
+        if resume and exists(spark, f"{target.rstrip('/')}/_SUCCESS"):
+            return session.read.parquet(target)
         with timestamp_statistics(session):
-            writer = rows.write.mode("errorifexists")
+            writer = rows.write.mode("overwrite" if resume else "errorifexists")
             (writer.partitionBy(*partitions) if partitions else writer).parquet(target)
         return session.read.parquet(target)
     if mode == "files":
-        return copy_files(spark, source, target, strict=strict, **options)
+        return copy_files(spark, source, target, strict=strict, resume=resume, **options)
     raise ValueError(f"unknown mode {mode!r}")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import tableship as ts
 from tableship.functions.paths import new_version, plain_path
+from tableship.operators.publish import ensure_namespace
 from tableship.session import fresh_folder
 
 QUERIES = {}
@@ -737,6 +738,23 @@ def migrate(spark, sf_dir):
     return migrate_events(spark, sf_dir).report.drop("detail")
 
 
+@query("SELECT * FROM orders")
+def migrate_resumed(spark, sf_dir):
+    """A migration that finds a view under the name of its table, and goes on once it is gone."""
+    root = fresh_folder(spark, "migration")
+    version, table = new_version(), _table_name("orders")
+    source = _source(spark, sf_dir, "orders")
+    roots = (f"{root}/exports", f"{root}/imports", "orders", table)
+    options = {"time_column": "o_orderdate", "id_column": "o_orderkey"}
+    ensure_namespace(spark, table)
+    spark.sql(f"CREATE VIEW {table} AS SELECT 1 AS one")
+    try:
+        ts.migrate(spark, source, *roots, version=version, **options)
+    except ValueError:
+        spark.sql(f"DROP VIEW {table}")
+    return spark.table(ts.migrate(spark, source, *roots, resume=version, **options).table)
+
+
 @query("SELECT * FROM events")
 def migrated_table(spark, sf_dir):
     return spark.table(migrate_events(spark, sf_dir).table)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tableship.functions.columns import quoted
@@ -111,3 +112,14 @@ def table_location(spark: SparkSession, table: str) -> str | None:
 
 def _shape(df: DataFrame) -> list[tuple[str, str]]:
     return sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked through Spark, so in any store it reads."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True

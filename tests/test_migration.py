@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import subprocess
 import sys
+from collections import Counter
 
 import pytest
 from conftest import SF_DIR, assert_same_rows
@@ -72,6 +73,101 @@ def test_every_type_arrives(spark, all_types, folder, table_name):
     assert_same_rows(spark.table(table_name), all_types)
 
 
+STEPS = ["export_dataset", "verify_export", "transfer_dataset", "verification_report", "publish_table"]
+
+
+@pytest.mark.parametrize("ended", [False, True])
+@pytest.mark.parametrize("step, mode", [*((s, "rewrite") for s in STEPS), (STEPS[2], "files")])
+def test_resume_after_a_failure_in_each_step(
+    spark, load, folder, table_name, monkeypatch, step, ended, mode
+):
+    """Each step fails once, before or after its work; what has ended is not done again."""
+    calls = Counter()
+
+    def counted(name):
+        real = getattr(plan, name)
+
+        def call(*args, **options):
+            calls[name] += 1
+            failing = name == step and calls[name] == 1
+            if failing and not ended:
+                raise RuntimeError("lost")
+            result = real(*args, **options)
+            if failing:
+                raise RuntimeError("lost")
+            return result
+
+        monkeypatch.setattr(plan, name, call)
+
+    for name in STEPS:
+        counted(name)
+    source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
+    options = {"time_column": "ts", "id_column": "event_id", "check_export": True, "transfer_mode": mode}
+    with pytest.raises(RuntimeError, match="lost") as lost:
+        move(spark, source, folder, table_name, version="20240101_000000", **options)
+    assert lost.value.__notes__ == ["migrate(resume='20240101_000000') goes on from here"]
+    done = move(spark, source, folder, table_name, resume="20240101_000000", **options)
+    assert set(passed(done.report).values()) == {True} and len(passed(done.report)) == 8
+    assert calls == {name: 2 if name == step else 1 for name in STEPS}
+    assert_same_rows(spark.table(table_name), load("events"))
+    again = move(spark, source, folder, table_name, resume="20240101_000000", **options)
+    assert calls.total() == len(STEPS) + 1 and again.export == done.export
+    assert passed(again.report) == passed(done.report)
+
+
+def test_resume_writes_half_done_folders_anew(spark, load, folder, table_name, monkeypatch):
+    def half(source, root, name, *, version, **_):
+        source.frame.limit(3).write.parquet(f"{root}/{name}/{version}")
+        raise RuntimeError("lost")
+
+    def half_copy(spark, source, target, **_):
+        spark.read.parquet(source).limit(3).write.parquet(target)
+        os.remove(f"{target}/_SUCCESS")
+        raise RuntimeError("lost")
+
+    source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
+    go = {"resume": "20240101_000000", "time_column": "ts"}
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(plan, "export_dataset", half)
+        move(spark, source, folder, table_name, version="20240101_000000", time_column="ts")
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(plan, "transfer_dataset", half_copy)
+        move(spark, source, folder, table_name, **go)
+    assert not spark.catalog.tableExists(table_name)
+    done = move(spark, source, folder, table_name, **go)
+    assert set(passed(done.report).values()) == {True}
+    assert_same_rows(spark.table(table_name), load("events"))
+
+
+def test_resume_needs_the_run_it_names(spark, load, folder, table_name):
+    source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
+    first = move(spark, source, folder, table_name, time_column="ts", version="20240101_000000")
+    for other in ({"resume": "20240101_000001"}, {"resume": "20240101_000000", "ordered": False}):
+        with pytest.raises(ValueError, match="no run of version"):
+            move(spark, source, folder, table_name, time_column="ts", **other)
+    with pytest.raises(ValueError, match="cannot go on"):
+        move(spark, source, folder, table_name, time_column="ts", resume="1", version="2")
+    with pytest.raises(FileExistsError):
+        move(spark, source, folder, table_name, time_column="ts", version="20240101_000000")
+    # An older run does not take the table back from a newer one.
+    part = ts.resolve_source(spark, frame=load("events").where("event_id < 100"))
+    move(spark, part, folder, table_name, time_column="ts", version="20240102_000000")
+    report = move(spark, source, folder, table_name, time_column="ts", resume=first.export.version).report
+    assert [k for k, ok in passed(report).items() if not ok] == ["published"]
+    assert_same_rows(spark.table(table_name), part.frame)
+
+
+def test_failed_checks_are_made_again(spark, load, folder, table_name, monkeypatch):
+    """A report with a failed check is no outcome to go on with."""
+    source = ts.resolve_source(spark, path=f"{SF_DIR}/events.parquet")
+    failing = spark.createDataFrame([("content", False, "")], plan.REPORT)
+    with monkeypatch.context() as patched, pytest.raises(MigrationError):
+        patched.setattr(plan, "verification_report", lambda *_, **__: failing)
+        move(spark, source, folder, table_name, time_column="ts", version="20240101_000000")
+    done = move(spark, source, folder, table_name, time_column="ts", resume="20240101_000000")
+    assert set(passed(done.report).values()) == {True}
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_changed_copy(spark, load, folder, table_name, strict, monkeypatch):
     """A value changes on the way; the number of rows does not."""
