@@ -86,7 +86,7 @@ def migrate(
         # Asked before the journal starts: what is there is not this run's to write anew.
         for root in (export_root, import_root) if transfer_mode != "none" else (export_root,):
             if exists(spark, dataset_path(root, name, version)):
-                raise FileExistsError(f"{dataset_path(root, name, version)} is there already")
+                raise FileExistsError(f"{dataset_path(root, name, version)} already exists")
     if not resume:
         run.start()
 
