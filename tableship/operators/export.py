@@ -15,6 +15,9 @@ from tableship.operators.layout import (
     ROWS_PER_FILE,
     arrange_ordered,
     arrange_unordered,
+    file_start,
+    files_per_task,
+    has_places,
     rows_cap,
     target_files,
 )
@@ -56,9 +59,10 @@ def export_dataset(
     """Write ``source`` to ``{root}/{name}/{version}`` as snappy Parquet.
 
     With ``order_by`` the files hold consecutive ranges, newest rows first; this costs a
-    range shuffle into ``ranges`` partitions (by default one per file; fewer are cut into
-    files by the writer). Without it one even shuffle gives each file its share. A version
-    that is already there is never overwritten unless ``mode`` says so.
+    range shuffle into ``ranges`` partitions (by default as many files to one as
+    ``files_per_task`` says; they are cut into files by the writer). Without it one even shuffle
+    gives each file its share. A version that is already there is never overwritten unless
+    ``mode`` says so.
 
     Passes over the source: one count (answered from Parquet footers), where ordered one over
     the keys alone (see ``arrange_ordered``), and the write. Row count and content hash
@@ -79,17 +83,20 @@ def export_dataset(
     if rows == 0:
         raise EmptySourceError(f"no rows in {source.label}")
 
-    total_bytes = None
-    if file_bytes is not None:
-        total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
+    total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
     files = target_files(rows, rows_per_file, total_bytes, file_bytes)
-    ranges = min(files, ranges or files)
+    per_task = files_per_task(rows, files, total_bytes)
 
-    if order_by:
-        arranged = arrange_ordered(df, ranges, order_by, tie_break)
-    else:
+    if not order_by:
         ranges = files
         arranged = arrange_unordered(df, files)
+    elif ranges or not has_places(df, [order_by, *tie_break]):
+        ranges = min(files, ranges or files)
+        arranged = arrange_ordered(df, ranges, order_by, tie_break)
+    else:
+        starts = [file_start(i, rows, files) for i in range(per_task, files, per_task)]
+        ranges = len(starts) + 1
+        arranged = arrange_ordered(df, ranges, order_by, tie_break, starts)
 
     # Observed last, right under the write: earlier it would also see the sampling pass,
     # and only tasks of the final stage are counted once when repeated.

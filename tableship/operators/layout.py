@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections import Counter
+from bisect import bisect_right
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableship.functions.columns import col, newest_first, unused_name
+from tableship.session import fresh_folder
 
 # Fixed value: rows per output file.
 ROWS_PER_FILE = 100_000
 
-#: Largest accuracy a quantile sketch takes; ranks are then off by about one in 10,000.
-_MOST_ACCURATE = 65_535
+#: A task writes small files one after the other, up to so many rows, bytes and files.
+_TASK_ROWS = 100_000
+_TASK_BYTES = 128 << 20
+_TASK_FILES = 100
 
 
 def target_files(
@@ -34,8 +39,30 @@ def target_files(
     return max(1, min(rows, -(-total_bytes // file_bytes)))
 
 
+def files_per_task(rows: int, files: int, total_bytes: int | None = None) -> int:
+    """How many of ``files`` a task may write. The writer begins a new file after
+    ``rows_cap`` rows; files differ by one row, so it makes as many of them as planned where
+    a task has no more files than a file has rows."""
+    of_file = rows // files
+    if of_file < 2:
+        return 1
+    fitting = [_TASK_ROWS // of_file, _TASK_FILES, of_file]
+    if total_bytes:
+        fitting.append(_TASK_BYTES * files // total_bytes)
+    return max(1, min(fitting))
+
+
+def file_start(file: int, rows: int, files: int) -> int:
+    """Rows before a file: shares differ by one row, the larger ones come first."""
+    return file * (rows // files) + min(file, rows % files)
+
+
 def arrange_ordered(
-    df: DataFrame, ranges: int, order_by: str, tie_break: list[str] | tuple[str, ...] = ()
+    df: DataFrame,
+    ranges: int,
+    order_by: str,
+    tie_break: list[str] | tuple[str, ...] = (),
+    starts: list[int] | None = None,
 ) -> DataFrame:
     """``ranges`` partitions of consecutive ranges of ``order_by``, newest first, each sorted.
 
@@ -44,20 +71,21 @@ def arrange_ordered(
     of the table ends up in one partition. A repeated task must number its rows as before, so
     ``df`` has to be a plain file scan (see ``stage``).
 
-    Where all keys are times, dates or whole numbers, the bounds come from sketches over the
-    keys alone, and whole rows are read once, with the number of their range. Keys of other
+    Where all keys are times, dates or whole numbers, ranges are cut exactly: into equal shares,
+    or at the row positions ``starts`` of all ranges but the first. The keys alone are
+    sorted for it, and whole rows are read once, with the number of their range. Keys of other
     types go through Spark's range shuffle, whose sampling pass reads whole rows as well.
     """
     keys = newest_first(order_by, list(tie_break))
-    places = [_place(df, name) for name in (order_by, *tie_break)]
     row_no = unused_name(df, "_row_no")
-    if ranges > 1 and all(place is not None for place in places):
+    if ranges > 1 and has_places(df, [order_by, *tie_break]):
+        places = [_place(df, name) for name in (order_by, *tie_break)]
         # A column of its own: it must not be counted inside another expression.
         rows = df.withColumn(row_no, F.monotonically_increasing_id())
         number = unused_name(rows, "_range")
-        numbered = rows.withColumn(number, range_numbers(rows, ranges, [*places, col(row_no)]))
-        arranged = numbered.repartitionById(ranges, number).sortWithinPartitions(*keys)
-        return arranged.drop(number, row_no)
+        numbers = range_numbers(rows, ranges, [*places, col(row_no)], starts)
+        arranged = rows.withColumn(number, numbers).repartitionById(ranges, number)
+        return arranged.sortWithinPartitions(*keys).drop(number, row_no)
     return (
         df.withColumn(row_no, F.monotonically_increasing_id())
         .repartitionByRange(ranges, *keys, row_no)
@@ -66,90 +94,88 @@ def arrange_ordered(
     )
 
 
-def range_numbers(df: DataFrame, ranges: int, places: list[Column]) -> Column:
+def has_places(df: DataFrame, names: list[str]) -> bool:
+    """Whether ranges of these keys can be cut exactly."""
+    return all(_place(df, name) is not None for name in names)
+
+
+def range_numbers(
+    df: DataFrame, ranges: int, places: list[Column], starts: list[int] | None = None
+) -> Column:
     """Number of the range a row belongs to, 0 to ``ranges - 1``, by whole numbers ``places`` that
     ascend in the wished order; the last one should differ from row to row.
 
-    A quantile sketch of the first place gives one upper bound per range. A value that is the
-    bound of several ranges fills them all, so they are cut by the next place, with a sketch of
-    the rows of that value alone, and so on. Each level reads the places only; the driver gets
-    as many numbers as there are ranges.
+    The places are sorted by a range shuffle of their own into the shared folder, where the
+    files' row counts say at which row of which file a range ends. The driver gets one row per
+    sorted file and one per range.
     """
-    narrow = df.select(*[place.alias(f"p{i}") for i, place in enumerate(places)])
-    # A group of rows equal in all places so far, as text: its first range and how many it has.
-    groups, levels = {"": (0, ranges)}, []
-    for depth in range(len(places)):
-        bounds = _quantiles(narrow, depth, {key: n for key, (_, n) in groups.items()})
-        levels.append({key: (groups[key][0], found) for key, found in bounds.items()})
-        deeper = {}
-        for key, found in bounds.items():
-            for value, n in Counter(found).items():
-                if n > 1:
-                    first = groups[key][0] + bisect_left(found, value)
-                    deeper[f"{key},{value}"] = (first, n)
-        if not deeper:
-            break
-        groups = deeper
-    numbers = [_number(level, places[:depth], places[depth]) for depth, level in enumerate(levels)]
-    return F.coalesce(*reversed(numbers)).cast("int")
-
-
-def _key(places: list[Column]) -> Column:
-    return F.concat(F.lit(""), *(F.concat(F.lit(","), p.cast("string")) for p in places))
-
-
-def _quantiles(narrow: DataFrame, depth: int, wanted: dict[str, int]) -> dict[str, list[int]]:
-    """For each group its ``n`` upper bounds of ranges with equal shares, the last one its maximum."""
-    most = max(wanted.values())
-    accuracy = min(_MOST_ACCURATE, max(200, 16 * most))
-    key = _key([F.col(f"p{i}") for i in range(depth)])
-    rows = narrow.select(key.alias("key"), F.col(f"p{depth}").alias("place"))
-    if depth:
-        rows = rows.where(F.col("key").isin(list(wanted)))
-    sketches = rows.groupBy("key").agg(
-        F.kll_sketch_agg_bigint("place", accuracy).alias("sketch"), F.max("place").alias("last")
+    last = _last_of_ranges(df, ranges, places, starts)
+    return F.pandas_udf(_numbering(last), "int")(*places) if len(last) else F.lit(0)
+
+
+def _last_of_ranges(df, ranges: int, places: list[Column], starts: list[int] | None) -> np.ndarray:
+    """The places of the last row of each range but the last one."""
+    spark = df.sparkSession
+    names = [f"p{i}" for i in range(len(places))]
+    narrow = df.select(*[place.alias(name) for place, name in zip(places, names, strict=True)])
+    folder = fresh_folder(spark, "keys")
+    narrow.repartitionByRange(*names).sortWithinPartitions(*names).write.parquet(folder)
+    # The file scan tells the position of a row in its file.
+    rows = spark.read.schema(narrow.schema).parquet(folder).select(
+        *names, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
     )
-    found = {}
-    for n in sorted(set(wanted.values())):
-        shares = F.array(*(F.lit(i / n) for i in range(1, n))) if n > 1 else F.array().cast("array<double>")
-        of_size = sketches.where(F.col("key").isin([k for k, size in wanted.items() if size == n]))
-        bounds = F.kll_sketch_get_quantile_bigint("sketch", shares)
-        for row in of_size.select("key", bounds.alias("bounds"), "last").collect():
-            found[row["key"]] = [*row["bounds"], row["last"]]
-    return found
-
-
-def _number(level: dict[str, tuple[int, list[int]]], before: list[Column], place: Column) -> Column:
-    """First range of the row's group and the number of bounds below its place; null for rows
-    of no group of this level."""
-    steps = max(len(bounds) for _, bounds in level.values()).bit_length() + 1
-
-    def within(first: Column, bounds: Column) -> Column:
-        # The place is bound once, not worked out again at each step.
-        return first + F.transform(F.array(place), lambda at: below(at, bounds))[0]
-
-    def below(at: Column, bounds: Column) -> Column:
-        def halve(state: Column, _: Column) -> Column:
-            middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
-            done = state["low"] >= state["high"]
-            lower = F.get(bounds, middle) < at
-            return F.struct(
-                F.when(~done & lower, middle + 1).otherwise(state["low"]).alias("low"),
-                F.when(~done & ~lower, middle).otherwise(state["high"]).alias("high"),
-            )
-
-        # The last bound is the largest place there is.
-        ends = F.struct(F.lit(0).alias("low"), (F.size(bounds) - 1).alias("high"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), ends, halve, lambda s: s["low"])
-
-    if not before:
-        first, bounds = level[""]
-        return within(F.lit(first), F.lit(bounds))
-    entries = []
-    for key, (first, bounds) in level.items():
-        entries += [F.lit(key), F.struct(F.lit(first).alias("first"), F.lit(bounds).alias("bounds"))]
-    group = F.create_map(*entries)[_key(before)]
-    return F.when(group.isNotNull(), within(group["first"], group["bounds"]))
+    found = rows.groupBy("file").agg(F.min(F.struct(*names)).alias("low"), F.count(F.lit(1)).alias("n"))
+    files = sorted(found.collect(), key=lambda f: tuple(f["low"]))
+    before = [0, *accumulate(f["n"] for f in files)]
+    if starts is None:
+        starts = [file_start(i, before[-1], ranges) for i in range(1, ranges)]
+    # Nothing lies before a range that begins at no row.
+    last = np.full((len(starts), len(places)), np.iinfo(np.int64).min)
+    ends = {start: bisect_right(before, start - 1) - 1 for start in starts if start > 0}
+    wanted = pa.table({
+        "file": pa.array([files[f]["file"] for f in ends.values()], pa.string()),
+        "at": pa.array([start - 1 - before[f] for start, f in ends.items()], pa.int64()),
+        "start": pa.array(list(ends), pa.int64()),
+    })
+    wanted = F.broadcast(spark.createDataFrame(wanted))
+    values = {r["start"]: [r[n] for n in names] for r in rows.join(wanted, ["file", "at"]).collect()}
+    for i, start in enumerate(starts):
+        if start > 0:
+            last[i] = values[start]
+    return last
+
+
+# Runs inside tasks and imports what it needs itself, so that workers do not need this package.
+
+
+def _numbering(last: np.ndarray):
+    """How many ranges end before a row, by bisection over all rows of a batch at once."""
+    columns = [np.ascontiguousarray(column) for column in last.T]
+
+    def number(first, *rest):
+        import numpy as np
+        import pandas as pd
+
+        keys = [place.to_numpy() for place in (first, *rest)]
+        low = np.searchsorted(columns[0], keys[0], "left")
+        high = np.searchsorted(columns[0], keys[0], "right")
+        tied = np.flatnonzero(low < high)
+        while len(tied):
+            middle = (low[tied] + high[tied]) // 2
+            ended, same = np.zeros(len(tied), bool), np.ones(len(tied), bool)
+            for column, key in zip(columns[1:], keys[1:]):
+                bound, place = column[middle], key[tied]
+                ended |= same & (bound < place)
+                same &= bound == place
+            low[tied[ended]] = middle[ended] + 1
+            high[tied[~ended]] = middle[~ended]
+            tied = tied[low[tied] < high[tied]]
+        return pd.Series(low.astype("int32"))
+
+    import pandas as pd
+
+    number.__annotations__ = {"first": pd.Series, "rest": pd.Series, "return": pd.Series}
+    return number
 
 
 def _place(df: DataFrame, name: str) -> Column | None:
@@ -182,5 +208,5 @@ def arrange_unordered(df: DataFrame, files: int) -> DataFrame:
 
 def rows_cap(rows: int, files: int, ranges: int) -> int:
     """Most rows in one file: 0, no cap, where each file has a partition of its own; the even
-    share where a caller asks for fewer ranges, which are then cut by the writer."""
+    share where partitions hold several files, which are then cut by the writer."""
     return 0 if ranges >= files else max(1, -(-rows // files))

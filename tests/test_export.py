@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import tableship as ts
 from tableship.functions.hashing import fingerprint
 from tableship.operators import layout
-from tableship.operators.layout import arrange_ordered, rows_cap
+from tableship.operators.layout import arrange_ordered, file_start, files_per_task, rows_cap
 from tableship.sources.resolve import EmptySourceError
 
 
@@ -281,3 +281,43 @@ def test_keys_without_a_whole_number_use_the_range_shuffle(spark):
         if (v := [r["o_orderpriority"] for r in rows if r["part"] == p])
     ]
     assert all(a[0] >= b[1] for a, b in zip(bounds, bounds[1:], strict=False))
+
+
+def tasks_of(path):
+    """How many tasks wrote the files, by the numbers in their names."""
+    return len({os.path.basename(p).split("-")[1] for p in parts(path)})
+
+
+def test_few_tasks_write_small_files_of_equal_shares(spark, folder):
+    """Dates fill many files each, and a task writes several of them, yet all are there."""
+    export = ts.export_dataset(
+        source(spark, "lineitem"), folder, "l", order_by="l_shipdate", rows_per_file=70
+    )
+    files = parts(export.path)
+    assert len(files) == export.planned_files == 85 and tasks_of(export.path) == 2
+    rows = [spark.read.parquet(f).select("l_shipdate").collect() for f in files]
+    # Only the last file of a task makes up for the cap.
+    assert max(map(len, rows)) == 71 and sum(len(r) < 71 for r in rows) <= 2
+    flat = [r[0] for of_file in rows for r in of_file]
+    assert flat == sorted(flat, reverse=True) and len(flat) == 6000
+    assert_same_rows(spark.read.parquet(export.path), source(spark, "lineitem").frame)
+
+
+def test_ranges_are_cut_exactly_within_hot_values(spark):
+    """Two keys with few values each: shares still differ by no more than one row."""
+    df = spark.range(0, 10_007, 1, 5).select(
+        "id", (F.col("id") % 3).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id") % 5).alias("b")
+    )
+    rows = arrange_ordered(df, 40, "a", ["b"]).withColumn("part", F.spark_partition_id()).collect()
+    shares = [sum(r["part"] == p for r in rows) for p in range(40)]
+    assert set(shares) == {250, 251} and len({r["id"] for r in rows}) == 10_007
+
+
+@pytest.mark.parametrize("rows, files", [(9, 4), (3_000_001, 3_000), (600_999, 600), (10**12, 10**7)])
+def test_files_of_a_task_are_cut_by_one_cap(rows, files):
+    per_task, cap = files_per_task(rows, files), rows_cap(rows, files, 1)
+    for first in (0, (files // 2) // per_task * per_task, (files - 1) // per_task * per_task):
+        after = min(files, first + per_task)
+        share = file_start(after, rows, files) - file_start(first, rows, files)
+        assert -(-share // cap) == after - first
+    assert file_start(files, rows, files) == rows and files_per_task(rows, files, 10**18) == 1
