@@ -88,8 +88,8 @@ def export_dataset(
     per_task = files_per_task(rows, files, total_bytes)
 
     if not order_by:
-        ranges = files
-        arranged = arrange_unordered(df, files)
+        ranges = -(-files // per_task)
+        arranged = arrange_unordered(df, files, per_task)
     elif ranges or not has_places(df, [order_by, *tie_break]):
         ranges = min(files, ranges or files)
         arranged = arrange_ordered(df, ranges, order_by, tie_break)

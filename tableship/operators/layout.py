@@ -199,11 +199,30 @@ def _place(df: DataFrame, name: str) -> Column | None:
     return F.coalesce(F.bitwise_not(number), F.lit(2**63 - 1))
 
 
-def arrange_unordered(df: DataFrame, files: int) -> DataFrame:
-    """``files`` partitions of nearly equal size, by one even shuffle; ``df`` has to be a plain
-    file scan. ``coalesce`` is not used: it would pull the scan itself into as few tasks as
-    there are files."""
-    return df.repartition(files)
+def arrange_unordered(df: DataFrame, files: int, per_task: int = 1) -> DataFrame:
+    """Partitions of ``files`` files of nearly equal size, by one even shuffle; ``df`` has to be a
+    plain file scan. ``coalesce`` is not used: it would pull the scan itself into as few tasks as
+    there are files.
+
+    With ``per_task`` files to a partition rows are dealt by their position, so that each
+    partition has exactly the rows of its files; positions need the rows of each task of the
+    scan, a count that reads no column."""
+    if per_task <= 1:
+        return df.repartition(files)
+    row_no = unused_name(df, "_row_no")
+    rows = df.withColumn(row_no, F.monotonically_increasing_id())
+    task, place = F.shiftright(row_no, 33), col(row_no).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = dict(rows.groupBy(task.alias("task")).agg(F.count(F.lit(1))).collect())
+    before = [0, *accumulate(counts.get(i, 0) for i in range(max(counts) + 1))]
+    small, larger = divmod(before[-1], files)
+    at = F.get(F.lit(before), task.cast("int")) + place
+    # The first files have one row more.
+    file = F.when(at < larger * (small + 1), F.floor(at / (small + 1))).otherwise(
+        larger + F.floor((at - larger * (small + 1)) / small)
+    )
+    number = unused_name(rows, "_range")
+    numbered = rows.withColumn(number, F.floor(file / per_task).cast("int"))
+    return numbered.repartitionById(-(-files // per_task), number).drop(number, row_no)
 
 
 def rows_cap(rows: int, files: int, ranges: int) -> int:

@@ -313,6 +313,18 @@ def test_ranges_are_cut_exactly_within_hot_values(spark):
     assert set(shares) == {250, 251} and len({r["id"] for r in rows}) == 10_007
 
 
+def test_few_tasks_write_small_files_without_an_order(spark, folder):
+    """From a source of several files, so positions run over the tasks of its scan."""
+    frame = source(spark, "lineitem").frame
+    frame.repartition(3).write.parquet(f"{folder}/three")
+    three = ts.resolve_source(spark, path=f"{folder}/three")
+    export = ts.export_dataset(three, folder, "l", rows_per_file=70)
+    assert len(parts(export.path)) == export.planned_files == 85 and tasks_of(export.path) == 2
+    rows = [spark.read.parquet(f).count() for f in parts(export.path)]
+    assert max(rows) == 71 and sum(n < 71 for n in rows) <= 2
+    assert_same_rows(spark.read.parquet(export.path), frame)
+
+
 @pytest.mark.parametrize("rows, files", [(9, 4), (3_000_001, 3_000), (600_999, 600), (10**12, 10**7)])
 def test_files_of_a_task_are_cut_by_one_cap(rows, files):
     per_task, cap = files_per_task(rows, files), rows_cap(rows, files, 1)
