@@ -22,7 +22,7 @@ from tableship.operators.layout import (
     target_files,
 )
 from tableship.session import timestamp_statistics
-from tableship.sources.manifest import file_manifest, file_stats
+from tableship.sources.manifest import file_manifest, file_stats, stored_bytes
 from tableship.sources.resolve import EmptySourceError, Source, stage
 
 
@@ -83,7 +83,7 @@ def export_dataset(
     if rows == 0:
         raise EmptySourceError(f"no rows in {source.label}")
 
-    total_bytes = file_stats(file_manifest(spark, source.location)).first()["total_bytes"]
+    total_bytes = stored_bytes(spark, source.location) if source.location else None
     files = target_files(rows, rows_per_file, total_bytes, file_bytes)
     per_task = files_per_task(rows, files, total_bytes)
 

@@ -17,6 +17,10 @@ from tableship.session import fresh_folder
 # Fixed value: rows per output file.
 ROWS_PER_FILE = 100_000
 
+#: Stored bytes of the source that one output file takes at most: one task writes a file, so
+#: with wide rows it would have to read them all.
+MOST_FILE_BYTES = 128 << 20
+
 #: A task writes small files one after the other, up to so many rows, bytes and files.
 _TASK_ROWS = 100_000
 _TASK_BYTES = 128 << 20
@@ -30,10 +34,12 @@ def target_files(
     file_bytes: int | None = None,
 ) -> int:
     """Number of output files, by one rule at every size: one for each ``rows_per_file`` rows,
-    at least one; or, where ``file_bytes`` is given, one for each of so many of
-    ``total_bytes``, and never more than rows."""
+    at least one, and where ``total_bytes`` is known no fewer than one for each
+    ``MOST_FILE_BYTES``; or, where ``file_bytes`` is given, one for each of so many of
+    ``total_bytes``. Never more than rows."""
     if file_bytes is None:
-        return max(1, rows // rows_per_file)
+        of_bytes = min(rows, -(-(total_bytes or 0) // MOST_FILE_BYTES))
+        return max(1, rows // rows_per_file, of_bytes)
     if total_bytes is None:
         raise ValueError("file_bytes needs total_bytes")
     return max(1, min(rows, -(-total_bytes // file_bytes)))

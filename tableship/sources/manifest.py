@@ -27,17 +27,9 @@ def file_manifest(
     files of zero bytes; ``include_empty`` adds them, without a time, for folders that all
     executors mount: tasks look through the folders below ``path`` for them.
     """
-    # Scans are split by file size, so a listing of 100 TB would be planned as hundreds of
-    # thousands of tasks although it opens no file; a cap keeps it at a few per core.
-    tasks = max(8, 4 * spark.sparkContext.defaultParallelism)
-    session = sibling_session(spark, spark__sql__files__maxPartitionNum=str(tasks))
-    reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    found = files.select("path", "length", "modificationTime")
+    found = _listing(spark, path, glob)
     if include_empty:
-        empty = _empty_files(session, plain_path(path))
+        empty = _empty_files(found.sparkSession, plain_path(path))
         found = found.unionByName(empty, allowMissingColumns=True)
     return found.select(
         relative_path(F.col("path"), path).alias("rel_path"),
@@ -49,6 +41,17 @@ def file_manifest(
     )
 
 
+def _listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    # Scans are split by file size, so a listing of 100 TB would be planned as hundreds of
+    # thousands of tasks although it opens no file; a cap keeps it at a few per core.
+    tasks = max(8, 4 * spark.sparkContext.defaultParallelism)
+    session = sibling_session(spark, spark__sql__files__maxPartitionNum=str(tasks))
+    reader = session.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select("path", "length", "modificationTime")
+
+
 def _empty_files(spark: SparkSession, root: str) -> DataFrame:
     """``path`` and ``length`` 0 of visible empty files. Folders are taken level by level, so
     tasks share the work and no file name reaches the driver."""
@@ -101,6 +104,11 @@ def file_stats(manifest: DataFrame) -> DataFrame:
     )
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below ``path``, which may be a pattern."""
+    return _listing(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+
+
 def file_rows(spark: SparkSession, path: str) -> DataFrame:
     """Manifest of a Parquet dataset with ``row_count`` per file, 0 for files without rows."""
     # A read without partition discovery sees the same files as the manifest.

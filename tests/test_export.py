@@ -333,3 +333,18 @@ def test_files_of_a_task_are_cut_by_one_cap(rows, files):
         share = file_start(after, rows, files) - file_start(first, rows, files)
         assert -(-share // cap) == after - first
     assert file_start(files, rows, files) == rows and files_per_task(rows, files, 10**18) == 1
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_wide_rows_are_not_left_to_one_task(spark, folder, monkeypatch, ordered):
+    """Fewer rows than one file takes, but more bytes than one task should read; the source
+    is given as a pattern."""
+    assert ts.target_files(150_000, total_bytes=262 << 20) == 3
+    assert ts.target_files(2, total_bytes=1 << 40) == 2 and ts.target_files(0, total_bytes=1) == 1
+    whole = f"{SF_DIR}/documents.parquet"
+    monkeypatch.setattr(layout, "MOST_FILE_BYTES", os.path.getsize(whole) // 4 + 1)
+    wide = ts.resolve_source(spark, path=f"{SF_DIR}/document*.parquet")
+    order = {"order_by": "doc_id"} if ordered else {}
+    export = ts.export_dataset(wide, folder, "d", **order)
+    assert len(parts(export.path)) == export.planned_files == 4
+    assert_same_rows(spark.read.parquet(export.path), spark.read.parquet(whole))
