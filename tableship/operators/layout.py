@@ -7,11 +7,12 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableship.functions.columns import col, newest_first, unused_name
+from tableship.functions.hashing import row_hash
 from tableship.session import fresh_folder
 
 # Fixed value: rows per output file.
@@ -26,6 +27,12 @@ _TASK_ROWS = 100_000
 _TASK_BYTES = 128 << 20
 _TASK_FILES = 100
 
+#: Up to so many different sort keys are counted on their own to cut ranges.
+_MOST_KEYS = 50_000
+
+#: Rows of one key are counted by blocks of 2 to this power of their running numbers.
+_BLOCK_BITS = 18
+
 
 def target_files(
     rows: int,
@@ -78,20 +85,26 @@ def arrange_ordered(
     ``df`` has to be a plain file scan (see ``stage``).
 
     Where all keys are times, dates or whole numbers, ranges are cut exactly: into equal shares,
-    or at the row positions ``starts`` of all ranges but the first. The keys alone are
-    sorted for it, and whole rows are read once, with the number of their range. Keys of other
-    types go through Spark's range shuffle, whose sampling pass reads whole rows as well.
+    or at the row positions ``starts`` of all ranges but the first. Where there are few different
+    keys they are counted for it, otherwise the keys alone are sorted; whole rows are read
+    once, with the number of their range. Keys of other types go through Spark's range
+    shuffle, whose sampling pass reads whole rows as well.
     """
+    names = [order_by, *tie_break]
     keys = newest_first(order_by, list(tie_break))
     row_no = unused_name(df, "_row_no")
-    if ranges > 1 and has_places(df, [order_by, *tie_break]):
-        places = [_place(df, name) for name in (order_by, *tie_break)]
+    if ranges > 1 and has_places(df, names):
         # A column of its own: it must not be counted inside another expression.
         rows = df.withColumn(row_no, F.monotonically_increasing_id())
         number = unused_name(rows, "_range")
-        numbers = range_numbers(rows, ranges, [*places, col(row_no)], starts)
-        arranged = rows.withColumn(number, numbers).repartitionById(ranges, number)
-        return arranged.sortWithinPartitions(*keys).drop(number, row_no)
+        numbered = None
+        if _few_keys(df, names):
+            numbered = _numbered_by_keys(rows, names, row_no, number, ranges, starts)
+        if numbered is None:
+            places = [*(_place(df, name) for name in names), col(row_no)]
+            numbered = rows.withColumn(number, range_numbers(rows, ranges, places, starts))
+        arranged = numbered.drop(row_no).repartitionById(ranges, number)
+        return arranged.sortWithinPartitions(*keys).drop(number)
     return (
         df.withColumn(row_no, F.monotonically_increasing_id())
         .repartitionByRange(ranges, *keys, row_no)
@@ -100,6 +113,117 @@ def arrange_ordered(
     )
 
 
+def _few_keys(df: DataFrame, names: list[str]) -> bool:
+    """Whether it pays to count the rows of each key: some rows tell. Where they are wrong, only
+    time is lost."""
+    share = 4 * _MOST_KEYS / max(1, df.count())
+    some = df.select(*map(col, names))
+    some = some.sample(share, seed=7) if share < 1 else some
+    different = F.approx_count_distinct(F.xxhash64(*map(col, names)))
+    return some.agg(different.alias("n")).first()["n"] <= _MOST_KEYS
+
+
+def _numbered_by_keys(
+    rows: DataFrame,
+    names: list[str],
+    row_no: str,
+    number: str,
+    ranges: int,
+    starts: list[int] | None,
+) -> DataFrame | None:
+    """``rows`` with the number of their range, from the rows of each key. Only where a range
+    ends among rows of one key, the running number of its last row is looked up. The driver
+    has one row per key and one per range, and they are joined to the rows as a small table,
+    by a hash; None where two keys share one, or are more than the driver should hold."""
+    spark = rows.sparkSession
+    places = [f"p{i}" for i in range(len(names))]
+    block = F.shiftright(col(row_no), _BLOCK_BITS)
+    keys = rows.select(*map(col, names))
+    grouped = rows.groupBy(*map(col, names), block.alias(number)).agg(
+        F.count(F.lit(1)).alias(row_no)
+    )
+    folder = fresh_folder(spark, "keys")
+    grouped.select(
+        row_hash(keys).alias("key"),
+        *(_place(rows, name).alias(place) for name, place in zip(names, places, strict=True)),
+        col(number).alias("block"),
+        col(row_no).alias("n"),
+    ).write.parquet(folder)
+    counted = spark.read.parquet(folder)
+    totals = counted.groupBy("key", *places).agg(F.sum("n").alias("n"))
+    table = totals.limit(_MOST_KEYS + 1).toArrow()
+    if len(table) > _MOST_KEYS or len(table) > len(table["key"].unique()):
+        return None
+    table = table.sort_by([(place, "ascending") for place in places])
+    before = np.concatenate([[0], np.cumsum(table["n"].to_numpy())])
+    if starts is None:
+        starts = [file_start(i, int(before[-1]), ranges) for i in range(1, ranges)]
+    starts = np.array(starts, np.int64)
+    first = np.searchsorted(starts, before[:-1], "right")
+    # Ranges that begin after the first row of a key and before its end.
+    after = np.searchsorted(starts, before[1:], "left")
+    at = np.flatnonzero(first < after)
+    hashes = table["key"].to_pylist()
+    wanted = {hashes[g]: (starts[first[g] : after[g]] - before[g]).tolist() for g in at}
+
+    key, found = unused_name(rows, "_key"), unused_name(rows, "_found")
+    rows = rows.withColumn(key, row_hash(keys))
+    ends = _last_of_keys(rows.select(key, row_no).toDF("key", "row_no"), counted, wanted)
+    kind = T.StructType().add("first", T.IntegerType()).add("ends", T.ArrayType(T.LongType()))
+    known = pa.table({
+        key: table["key"],
+        found: pa.StructArray.from_arrays(
+            [
+                pa.array(first, pa.int32()),
+                pa.array([ends.get(h) for h in hashes], pa.list_(pa.int64())),
+            ],
+            ["first", "ends"],
+        ),
+    })
+    known = spark.createDataFrame(known, T.StructType().add(key, T.LongType()).add(found, kind))
+    # Every key is known, so the join neither loses nor repeats a row.
+    numbered = rows.join(F.broadcast(known), key, "left").withColumn(number, F.lit(0))
+    # Bisection, a step a column: how many of the key's ranges end before a row.
+    for bit in reversed(range(max(map(len, ends.values()), default=0).bit_length())):
+        end = F.get(F.col(found)["ends"], col(number) + ((1 << bit) - 1))
+        passed = F.when(end < col(row_no), 1 << bit).otherwise(0)
+        numbered = numbered.withColumn(number, col(number) + passed)
+    numbered = numbered.withColumn(number, col(number) + F.col(found)["first"])
+    return numbered.drop(key, found)
+
+
+def _last_of_keys(
+    rows: DataFrame, counted: DataFrame, wanted: dict[int, list[int]]
+) -> dict[int, list[int]]:
+    """The running number of the ``n``-th row of a key, for all wanted ``n`` in order. Rows are
+    counted by key and block, and only those of blocks that hold a wanted row are sorted."""
+    if not wanted:
+        return {}
+    spark = rows.sparkSession
+    asked = pa.table({
+        "key": pa.array(list(wanted), pa.int64()),
+        "wanted": pa.array(list(wanted.values()), pa.list_(pa.int64())),
+    })
+    blocks = counted.join(F.broadcast(spark.createDataFrame(asked)), "key")
+    upto = F.sum("n").over(Window.partitionBy("key").orderBy("block"))
+    blocks = blocks.withColumn("before", upto - F.col("n"))
+    places = F.transform(
+        F.filter("wanted", lambda w: (w > F.col("before")) & (w <= F.col("before") + F.col("n"))),
+        lambda w: (w - F.col("before")).cast("int"),
+    )
+    blocks = blocks.select("key", "block", places.alias("places")).where(F.size("places") > 0)
+    blocks = F.broadcast(spark.createDataFrame(blocks.toArrow()))
+    rows = rows.withColumn("block", F.shiftright("row_no", _BLOCK_BITS))
+    held = rows.join(blocks, ["key", "block"]).groupBy("key", "block", "places").agg(
+        F.array_sort(F.collect_list("row_no")).alias("row_nos")
+    )
+    last = F.transform("places", lambda n: F.get("row_nos", n - 1))
+    found: dict[int, list[int]] = {}
+    for r in sorted(held.select("key", "block", last.alias("last")).collect()):
+        found.setdefault(r["key"], []).extend(r["last"])
+    return found
+
+
 def has_places(df: DataFrame, names: list[str]) -> bool:
     """Whether ranges of these keys can be cut exactly."""
     return all(_place(df, name) is not None for name in names)

@@ -348,3 +348,44 @@ def test_wide_rows_are_not_left_to_one_task(spark, folder, monkeypatch, ordered)
     export = ts.export_dataset(wide, folder, "d", **order)
     assert len(parts(export.path)) == export.planned_files == 4
     assert_same_rows(spark.read.parquet(export.path), spark.read.parquet(whole))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_few_keys_are_counted_and_not_sorted(spark, monkeypatch, zone):
+    """Times of both kinds, nulls among the keys, ties over many blocks: rows get the numbers
+    that the sorted keys give, cut within ties by the running number."""
+    monkeypatch.setattr(layout, "_BLOCK_BITS", 5)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        n = 10_007
+        df = spark.range(0, n, 1, 5).select(
+            "id",
+            F.expr(
+                "CASE WHEN id % 7 > 0 THEN TIMESTAMP_NTZ'2024-11-03 00:30:00'"
+                " + make_dt_interval(0, CAST(id % 3 AS INT)) END AS t"
+            ),
+            F.expr("CASE WHEN id % 2 = 0 THEN timestamp_micros(id % 3 * 1000000) END AS u"),
+        )
+        rows = df.withColumn("row_no", F.monotonically_increasing_id())
+        places = [layout._place(df, "t"), layout._place(df, "u"), F.col("row_no")]
+        sorted_numbers = layout.range_numbers(rows, 60, places)
+        expected = rows.select("id", sorted_numbers.alias("part")).collect()
+        with monkeypatch.context() as patch:
+            patch.setattr(layout, "_last_of_ranges", None)
+            arranged = arrange_ordered(df, 60, "t", ["u"])
+        found = arranged.select("id", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(found) == n and dict(map(tuple, found)) == dict(map(tuple, expected))
+
+
+@pytest.mark.parametrize("bound", [10, 10_000])
+def test_many_keys_are_sorted_though_few_were_expected(spark, monkeypatch, bound):
+    """The guess from some rows only chooses the way; shares are exact either way."""
+    monkeypatch.setattr(layout, "_MOST_KEYS", bound)
+    monkeypatch.setattr(layout, "_few_keys", lambda *_: True)
+    df = spark.range(0, 3_001, 1, 3).select("id", (F.col("id") % 1_000).alias("a"))
+    rows = arrange_ordered(df, 20, "a").withColumn("part", F.spark_partition_id()).collect()
+    shares = [sum(r["part"] == p for r in rows) for p in range(20)]
+    assert set(shares) == {150, 151} and len({r["id"] for r in rows}) == 3_001
+    assert all(a["a"] >= b["a"] for a, b in zip(rows, rows[1:], strict=False))
