@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableship.functions.columns import col, newest_first, unused_name
-from tableship.functions.hashing import row_hash
 from tableship.session import fresh_folder
 
 # Fixed value: rows per output file.
@@ -133,26 +132,24 @@ def _numbered_by_keys(
 ) -> DataFrame | None:
     """``rows`` with the number of their range, from the rows of each key. Only where a range
     ends among rows of one key, the running number of its last row is looked up. The driver
-    has one row per key and one per range, and they are joined to the rows as a small table,
-    by a hash; None where two keys share one, or are more than the driver should hold."""
+    has one row per key and one per range, and they are joined to the rows as a small table;
+    None where there are more keys than the driver should hold."""
     spark = rows.sparkSession
     places = [f"p{i}" for i in range(len(names))]
     block = F.shiftright(col(row_no), _BLOCK_BITS)
-    keys = rows.select(*map(col, names))
     grouped = rows.groupBy(*map(col, names), block.alias(number)).agg(
         F.count(F.lit(1)).alias(row_no)
     )
     folder = fresh_folder(spark, "keys")
     grouped.select(
-        row_hash(keys).alias("key"),
         *(_place(rows, name).alias(place) for name, place in zip(names, places, strict=True)),
         col(number).alias("block"),
         col(row_no).alias("n"),
     ).write.parquet(folder)
     counted = spark.read.parquet(folder)
-    totals = counted.groupBy("key", *places).agg(F.sum("n").alias("n"))
+    totals = counted.groupBy(*places).agg(F.sum("n").alias("n"))
     table = totals.limit(_MOST_KEYS + 1).toArrow()
-    if len(table) > _MOST_KEYS or len(table) > len(table["key"].unique()):
+    if len(table) > _MOST_KEYS:
         return None
     table = table.sort_by([(place, "ascending") for place in places])
     before = np.concatenate([[0], np.cumsum(table["n"].to_numpy())])
@@ -163,24 +160,26 @@ def _numbered_by_keys(
     # Ranges that begin after the first row of a key and before its end.
     after = np.searchsorted(starts, before[1:], "left")
     at = np.flatnonzero(first < after)
-    hashes = table["key"].to_pylist()
-    wanted = {hashes[g]: (starts[first[g] : after[g]] - before[g]).tolist() for g in at}
-
-    key, found = unused_name(rows, "_key"), unused_name(rows, "_found")
-    rows = rows.withColumn(key, row_hash(keys))
-    ends = _last_of_keys(rows.select(key, row_no).toDF("key", "row_no"), counted, wanted)
+    keys = list(zip(*(table[place].to_pylist() for place in places), strict=True))
+    wanted = {keys[g]: (starts[first[g] : after[g]] - before[g]).tolist() for g in at}
+
+    found = unused_name(rows, "_found")
+    key = [unused_name(rows, f"_p{i}") for i in range(len(names))]
+    rows = rows.withColumns({k: _place(rows, name) for k, name in zip(key, names, strict=True)})
+    narrow = rows.select(*key, row_no).toDF(*places, "row_no")
+    ends = _last_of_keys(narrow, counted, places, wanted)
     kind = T.StructType().add("first", T.IntegerType()).add("ends", T.ArrayType(T.LongType()))
     known = pa.table({
-        key: table["key"],
+        **{k: table[place] for k, place in zip(key, places, strict=True)},
         found: pa.StructArray.from_arrays(
             [
                 pa.array(first, pa.int32()),
-                pa.array([ends.get(h) for h in hashes], pa.list_(pa.int64())),
+                pa.array([ends.get(k) for k in keys], pa.list_(pa.int64())),
             ],
             ["first", "ends"],
         ),
     })
-    known = spark.createDataFrame(known, T.StructType().add(key, T.LongType()).add(found, kind))
+    known = spark.createDataFrame(known, T.StructType([*(T.StructField(k, T.LongType()) for k in key), T.StructField(found, kind)]))
     # Every key is known, so the join neither loses nor repeats a row.
     numbered = rows.join(F.broadcast(known), key, "left").withColumn(number, F.lit(0))
     # Bisection, a step a column: how many of the key's ranges end before a row.
@@ -189,38 +188,40 @@ def _numbered_by_keys(
         passed = F.when(end < col(row_no), 1 << bit).otherwise(0)
         numbered = numbered.withColumn(number, col(number) + passed)
     numbered = numbered.withColumn(number, col(number) + F.col(found)["first"])
-    return numbered.drop(key, found)
+    return numbered.drop(*key, found)
 
 
 def _last_of_keys(
-    rows: DataFrame, counted: DataFrame, wanted: dict[int, list[int]]
-) -> dict[int, list[int]]:
+    rows: DataFrame, counted: DataFrame, places: list[str], wanted: dict[tuple, list[int]]
+) -> dict[tuple, list[int]]:
     """The running number of the ``n``-th row of a key, for all wanted ``n`` in order. Rows are
     counted by key and block, and only those of blocks that hold a wanted row are sorted."""
     if not wanted:
         return {}
     spark = rows.sparkSession
     asked = pa.table({
-        "key": pa.array(list(wanted), pa.int64()),
+        **{p: pa.array(values, pa.int64()) for p, values in zip(places, zip(*wanted), strict=True)},
         "wanted": pa.array(list(wanted.values()), pa.list_(pa.int64())),
     })
-    blocks = counted.join(F.broadcast(spark.createDataFrame(asked)), "key")
-    upto = F.sum("n").over(Window.partitionBy("key").orderBy("block"))
+    # No key and the smallest number share a place.
+    blocks = counted.groupBy(*places, "block").agg(F.sum("n").alias("n"))
+    blocks = blocks.join(F.broadcast(spark.createDataFrame(asked)), places)
+    upto = F.sum("n").over(Window.partitionBy(*places).orderBy("block"))
     blocks = blocks.withColumn("before", upto - F.col("n"))
-    places = F.transform(
+    ranks = F.transform(
         F.filter("wanted", lambda w: (w > F.col("before")) & (w <= F.col("before") + F.col("n"))),
         lambda w: (w - F.col("before")).cast("int"),
     )
-    blocks = blocks.select("key", "block", places.alias("places")).where(F.size("places") > 0)
+    blocks = blocks.select(*places, "block", ranks.alias("ranks")).where(F.size("ranks") > 0)
     blocks = F.broadcast(spark.createDataFrame(blocks.toArrow()))
     rows = rows.withColumn("block", F.shiftright("row_no", _BLOCK_BITS))
-    held = rows.join(blocks, ["key", "block"]).groupBy("key", "block", "places").agg(
+    held = rows.join(blocks, [*places, "block"]).groupBy(*places, "block", "ranks").agg(
         F.array_sort(F.collect_list("row_no")).alias("row_nos")
     )
-    last = F.transform("places", lambda n: F.get("row_nos", n - 1))
-    found: dict[int, list[int]] = {}
-    for r in sorted(held.select("key", "block", last.alias("last")).collect()):
-        found.setdefault(r["key"], []).extend(r["last"])
+    last = F.transform("ranks", lambda n: F.get("row_nos", n - 1))
+    found: dict[tuple, list[int]] = {}
+    for *key, _, row_nos in sorted(held.select(*places, "block", last).collect()):
+        found.setdefault(tuple(key), []).extend(row_nos)
     return found
 
 
@@ -316,8 +317,9 @@ def _place(df: DataFrame, name: str) -> Column | None:
         number = F.unix_micros(value)
     elif isinstance(kind, T.TimestampNTZType):
         # Without a zone: the days and the time of day as they are written.
-        seconds = F.hour(value) * 3600 + F.minute(value) * 60
-        micros = (F.extract(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        seconds = F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
+        # In every zone a second has the same parts.
+        micros = F.pmod(F.unix_micros(value.cast("timestamp")), F.lit(1_000_000))
         days = F.unix_date(value.cast("date")).cast("bigint")
         number = (days * 86_400 + seconds) * 1_000_000 + micros
     elif isinstance(kind, T.DateType):
