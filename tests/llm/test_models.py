@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +274,29 @@ def test_words_with_a_place_of_their_own_and_shapes():
     assert len(set(kinds)) == len(words) and max(kinds) < gated_lm.SHAPES == 50
 
 
+def test_shapes_of_many_words_are_those_of_each():
+    words = [w.encode() for w in "a 7 x. größe größenordnung éé, Œuvre œ señor¿ ó слово 中文字 ² ½ ª x² été.😀 Ünïcode ß1".split()]
+    words += [bytes([k]) for k in range(33, 256)]  # alone, most of these are no characters
+    words += [b"ab\xc3", b"\xa4b", b"\xc3\xa4\xa4", b"\xc0\xaf", b"\xc3", b"\xa4", b"\xe2\x82", b"\xf0\x9f\x98\x80.", b"\xc3\xb1" * 9]
+    assert gated_lm.shapes(words).tolist() == [gated_lm.shape(w) for w in words]
+    assert gated_lm.shapes([]).tolist() == [] and gated_lm.shapes([b"end."]).tolist() == [2]
+
+
+def test_texts_are_read_for_counts_and_for_symbols_alone(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            ids = batch.column(0)
+            made = [f"word{k % 7} and word{k % 11} again {k}" for k in ids.to_pylist()]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(made)], ["doc_id", "text"])
+
+    docs = spark.range(0, 2_000, 1, 2).mapInArrow(make, "doc_id long, text string")
+    assert gated_lm.score(docs, F.col("doc_id") % 7 != 2).count() == 2_000
+    assert read.value == 2 * 2_000  # neither training nor scores need them again
+
+
 def test_language_model_of_nothing(no_docs):
     assert gated_lm.score(no_docs, F.lit(True)).count() == 0
 
