@@ -23,18 +23,17 @@ other columns, so their names are free.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableship.llm.common import slices, staged, texts
+from tableship.llm.common import slices, staged
 
 #: The end of a text; no word is equal to it.
 END = b"\n"
@@ -66,8 +65,16 @@ class Options:
 DEFAULTS = Options()
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    return [*raw.lower().split(), END]  # of bytes: A to Z and ASCII white space alone
+def words_of(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts of a batch, one after the other, and whose they are. Only A to Z
+    and ASCII white space count; the ends of texts are not among them."""
+    given = batch.column("text").cast(pa.string()).fill_null("")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(given))
+    words = split.flatten().view(pa.binary())
+    owner = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
+    # White space at the start or the end of a text leaves an empty word there.
+    held = pc.greater(pc.binary_length(words), 0)
+    return words.filter(held), owner[held.to_numpy(zero_copy_only=False)]
 
 
 def shape(word: bytes) -> int:
@@ -95,14 +102,17 @@ _LETTERS = np.array(
 )
 
 
-def shapes(words: list[bytes]) -> np.ndarray:
+def shapes(words: list[bytes] | pa.Array) -> np.ndarray:
     """``shape`` of many words at once; one by one only where a character has three bytes or
     more, or is none."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    if not len(sizes):
+    if not len(words):
         return np.zeros(0, np.int32)
-    flat = np.frombuffer(b"".join(words), np.uint8)
-    ends = np.cumsum(sizes)
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+    sizes = pc.binary_length(words).to_numpy()
+    _, offsets, flat = words.buffers()
+    first = int(np.frombuffer(offsets, np.int32)[words.offset])
+    flat = np.frombuffer(flat, np.uint8)[first : first + int(sizes.sum(dtype=np.int64))]
+    ends = np.cumsum(sizes, dtype=np.int64)
     starts = ends - sizes
     if flat.max() < 0x80:
         return _ENDS[flat[ends - 1]] * 2 + (sizes > 8)
@@ -120,7 +130,7 @@ def shapes(words: list[bytes]) -> np.ndarray:
     long = sizes - np.add.reduceat(follows, starts, dtype=np.int64) > 8
     kinds = letters * 10 + _ENDS[character[ends - 1] & 2047] * 2 + long
     for k in np.flatnonzero(odd).tolist():
-        kinds[k] = shape(words[k])
+        kinds[k] = shape(words[k].as_py())
     return kinds
 
 
@@ -131,25 +141,21 @@ def word_counts(docs: DataFrame, training: Column, text: str = "text") -> DataFr
     """``word``, ``n`` among the tokens of training documents and ``n_all`` of all tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["word", "n", "n_all"]
-        learn, other = Counter(), Counter()
-
-        def found():
-            words = list(learn.keys() | other.keys())
-            n = np.fromiter(map(learn.get, words, repeat(0)), np.int64, len(words))
-            rest = np.fromiter(map(other.get, words, repeat(0)), np.int64, len(words))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(n), pa.array(n + rest)], names
+        for batch in slices(batches, DEFAULTS.held):
+            trains = batch.column("t").to_numpy(zero_copy_only=False).astype(bool)
+            words, owner = words_of(batch)
+            coded = words.dictionary_encode()
+            codes, kinds = coded.indices.to_numpy(), len(coded.dictionary)
+            counts = np.bincount(codes[trains[owner]], minlength=kinds)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([coded.dictionary, pa.array([END], pa.binary())]),
+                    pa.array(np.append(counts, trains.sum())),
+                    pa.array(np.append(np.bincount(codes, minlength=kinds), len(trains))),
+                ],
+                ["word", "n", "n_all"],
             )
 
-        for batch in slices(batches, 500):
-            for raw, trains in zip(texts(batch), batch.column(1).to_pylist(), strict=True):
-                (learn if trains else other).update(words_of(raw))
-            if len(learn) + len(other) > 600_000:
-                yield found()
-                learn, other = Counter(), Counter()
-        yield found()
-
     rows = docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("t"))
     counted = rows.mapInArrow(count, "word binary, n long, n_all long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
@@ -186,13 +192,13 @@ def lexicon(counted: DataFrame, options: Options = DEFAULTS) -> Lexicon:
     core = [bytes(r["word"]) for r in rows[:places] if r["n"] > 0]
     if END not in core:
         core = [END, *core[: places - 1]]
-    held = set(core)
 
     def by_shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            at = [k for k in np.flatnonzero(n).tolist() if words[k] not in held]
-            kinds, sums = shapes([words[k] for k in at]), np.zeros(SHAPES, np.int64)
+            words, n = batch.column(0).cast(pa.binary()), batch.column(1).to_numpy()
+            other = pc.invert(pc.is_in(words, value_set=pa.array(core, pa.binary())))
+            at = np.flatnonzero(other.to_numpy(zero_copy_only=False) & (n > 0))
+            kinds, sums = shapes(words.take(pa.array(at))), np.zeros(SHAPES, np.int64)
             np.add.at(sums, kinds, n[at])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -512,16 +518,6 @@ def _sorting(numbers: np.ndarray, limit: int) -> np.ndarray:
     return np.argsort(numbers.astype(np.min_scalar_type(limit)), kind="stable")
 
 
-def _symbols(lex: Lexicon, words: list[bytes], places: int) -> tuple[np.ndarray, np.ndarray, list]:
-    """Symbols of the words, their numbers in the lexicon (-1: rare), and the rare words."""
-    numbers = np.fromiter(map(lex.numbers.get, words, repeat(-1)), np.int32, len(words))
-    symbols = lex.symbols[numbers]
-    at = np.flatnonzero(numbers < 0)
-    rare = [words[k] for k in at.tolist()]
-    symbols[at] = places + shapes(rare)
-    return symbols, numbers, rare
-
-
 def train(rows: DataFrame, lex: Lexicon, options: Options = DEFAULTS) -> Model:
     """Model from two rounds over the training documents of ``rows``, which have ``symbols``,
     ``trains`` and ``share`` and ``judge`` by hashes of the text. Copies are summed in tasks
@@ -614,7 +610,7 @@ def score(
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         key = (context.partitionId() if context else 0) << 40
-        for batch in slices(batches, options.held):
+        for batch in slices(batches, options.held // 4 or 1):  # words are held beside texts
             yield _looked_up(batch, key, words.value, options, base)
             key += batch.num_rows
 
@@ -672,10 +668,6 @@ def score(
     )
 
 
-def _packed(symbols: np.ndarray, options: Options) -> bytes:
-    return symbols.astype(_number(options)).tobytes()
-
-
 def _unpacked(batch: pa.RecordBatch, options: Options) -> list[np.ndarray]:
     kind = _number(options)
     packed = batch.column("symbols").to_pylist()
@@ -689,27 +681,34 @@ def _number(options: Options) -> str:
 def _looked_up(batch: pa.RecordBatch, key: int, lex: Lexicon, options: Options, base: float):
     places = options.classes * options.members
     divisors = np.log10(lex.shape_counts + lex.shape_words + 1.0)
-    symbols, n_tokens, n_known, bases, extra = [], [], [], [], []
-    rares, times, ends = [], [], [0]
-    for raw in texts(batch):
-        words = words_of(raw)
-        found, numbers, rare = _symbols(lex, words, places)
-        frequent = numbers >= 0
-        logs = np.where(frequent, lex.logs[numbers], 0.0)
-        outside = found >= places
-        symbols.append(_packed(found, options))
-        n_tokens.append(len(words))
-        n_known.append(int(lex.known[numbers[frequent]].sum()))
-        bases.append(float(logs.sum()) - len(words) * base)
-        extra.append(float(logs[outside].sum() - divisors[found[outside] - places].sum()))
-        counted = Counter(rare)
-        rares.append(pa.array(list(counted), pa.binary()))
-        times.extend(counted.values())
-        ends.append(len(times))
+    words, owner = words_of(batch)
+    n_tokens = np.bincount(owner, minlength=batch.num_rows) + 1
+    ends = np.cumsum(n_tokens)
+    starts = ends - n_tokens
+    # Every text before a word has an end as well.
+    at = np.arange(len(words)) + owner
+    known = pc.index_in(words, value_set=pa.array(list(lex.numbers), pa.binary()))
+    numbers = np.full(ends[-1], lex.numbers[END], np.int32)
+    numbers[at] = known.fill_null(-1).to_numpy()
+    frequent = numbers >= 0
+    symbols = lex.symbols[numbers]
+    missing = known.is_null()
+    coded = words.filter(missing).dictionary_encode()
+    codes, kinds = coded.indices.to_numpy(), max(1, len(coded.dictionary))
+    symbols[~frequent] = places + shapes(coded.dictionary)[codes]
+    logs = np.where(frequent, lex.logs[numbers], 0.0)
+    outside = symbols >= places
+    extra = np.zeros(len(symbols))
+    extra[outside] = logs[outside] - divisors[symbols[outside] - places]
+    packed = symbols.astype(_number(options))
+    bounds = np.append(0, ends) * packed.itemsize
+    # The rare words of each text, once each and with their number.
+    pairs = owner[missing.to_numpy(zero_copy_only=False)] * kinds + codes
+    pairs, times = np.unique(pairs, return_counts=True)
     rare = pa.StructArray.from_arrays(
-        [pa.concat_arrays([pa.array([], pa.binary()), *rares]), pa.array(times, pa.int64())],
-        ["word", "n"],
+        [coded.dictionary.take(pa.array(pairs % kinds)), pa.array(times)], ["word", "n"]
     )
+    rare_ends = np.searchsorted(pairs // kinds, np.arange(batch.num_rows + 1))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(range(key, key + batch.num_rows), pa.int64()),
@@ -717,12 +716,16 @@ def _looked_up(batch: pa.RecordBatch, key: int, lex: Lexicon, options: Options,
             batch.column("trains"),
             batch.column("share"),
             batch.column("judge"),
-            pa.array(symbols, pa.binary()),
-            pa.array(n_tokens, pa.int64()),
-            pa.array(n_known, pa.int64()),
-            pa.array(bases, pa.float64()),
-            pa.array(extra, pa.float64()),
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare),
+            pa.Array.from_buffers(
+                pa.binary(),
+                batch.num_rows,
+                [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(packed)],
+            ),
+            pa.array(n_tokens),
+            pa.array(np.add.reduceat(np.where(frequent, lex.known[numbers], 0), starts)),
+            pa.array(np.add.reduceat(logs, starts) - n_tokens * base),
+            pa.array(np.add.reduceat(extra, starts)),
+            pa.ListArray.from_arrays(pa.array(rare_ends.astype(np.int32)), rare),
         ],
         [
             "key", "id", "trains", "share", "judge", "symbols",

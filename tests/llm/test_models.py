@@ -282,6 +282,14 @@ def test_shapes_of_many_words_are_those_of_each():
     assert gated_lm.shapes([]).tolist() == [] and gated_lm.shapes([b"end."]).tolist() == [2]
 
 
+def test_words_are_those_of_lower_case_texts_cut_at_ascii_space():
+    kept = ["", " ", "A b", "\t\x0b x\x0c\r\n", "Größe\u00a0É\u2003Z \x1c", " lead", "trail ", "\x00 a\x85b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["cut off", *kept, None])], ["text"]).slice(1)
+    words, owner = gated_lm.words_of(batch)
+    plain = [(w, k) for k, t in enumerate(kept) for w in t.encode().lower().split()]
+    assert list(zip(words.to_pylist(), owner.tolist())) == plain
+
+
 def test_texts_are_read_for_counts_and_for_symbols_alone(spark):
     read = spark.sparkContext.accumulator(0)
 
